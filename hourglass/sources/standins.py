@@ -29,6 +29,10 @@ Rules (fixed values that the oracle SQL repeats):
 
 from __future__ import annotations
 
+import hashlib
+import os
+from dataclasses import fields
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,7 +106,65 @@ def calendar(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def build(spark: SparkSession, base: str) -> ProjectSources:
+# Snapshot facts are stored partitioned by their snapshot, as the source views are.
+PARTITIONED = {"activity_l2_weekly", "activity_l3_weekly", "time_phase_weekly", "time_phase_baseline_weekly",
+               "resource_assignment_l3_weekly", "resource_code_weekly"}
+_CACHE: dict[tuple[str, str], ProjectSources] = {}
+
+
+def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSources:
+    """The stand-in source views for the tables in `base`.
+
+    With `materialize=True` the views are written once as parquet tables into the shared
+    folder the session names in `spark.checkpoint.dir` (snapshot facts partitioned by
+    `Snapshot_Date`) and read back, so every report reads stored, partition-pruned tables
+    as it would in production, and the derivation is not repeated in every plan. The
+    folder is keyed by the input files' names, sizes and modification times.
+    """
+    if not materialize:
+        return derive(spark, base)
+    from hourglass.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark)
+    key = (root, _fingerprint(base))
+    if key in _CACHE:
+        return _CACHE[key]
+    folder = f"{root.rstrip('/')}/hourglass-standins/{key[1]}"
+    derived = derive(spark, base)
+    out = {}
+    for f in fields(ProjectSources):
+        df = getattr(derived, f.name)
+        if df is None:
+            continue
+        path = f"{folder}/{f.name}"
+        if not _complete(spark, path):
+            w = df.write.mode("overwrite")
+            if f.name in PARTITIONED:
+                w = w.partitionBy("Snapshot_Date")
+            w.parquet(path)
+        table = spark.read.parquet(path)
+        out[f.name] = table.select(*df.columns)
+    sources = ProjectSources(**out)
+    _CACHE[key] = sources
+    return sources
+
+
+def _fingerprint(base: str) -> str:
+    h = hashlib.sha1(os.path.abspath(base).encode())
+    for name in sorted(os.listdir(base)) if os.path.isdir(base) else []:
+        st = os.stat(os.path.join(base, name))
+        h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return p.getFileSystem(conf).exists(p)
+
+
+def derive(spark: SparkSession, base: str) -> ProjectSources:
     t = _tables(spark, base)
     cal = calendar(t)
     lf = line_facts(t)
