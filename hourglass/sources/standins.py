@@ -25,6 +25,8 @@ Rules (fixed values that the oracle SQL repeats):
                     finance (source 'Tempus' for l_linestatus 'O'): PROMO, STANDARD, LARGE;
                     timesheets (F APPROVED, O PENDING, P REJECTED): PROMO, LARGE
   resource        = 'R' || supplier nation key; resource group = region of that nation
+  live data       = the latest weekly snapshot S is unprocessed; the daily facts hold its rows
+                    twice: as a 'Daily' snapshot dated S and as 'Live' rows dated S + 1 day
 """
 
 from __future__ import annotations
@@ -108,7 +110,8 @@ def calendar(t: dict[str, DataFrame]) -> DataFrame:
 
 # Snapshot facts are stored partitioned by their snapshot, as the source views are.
 PARTITIONED = {"activity_l2_weekly", "activity_l3_weekly", "time_phase_weekly", "time_phase_baseline_weekly",
-               "resource_assignment_l3_weekly", "resource_code_weekly"}
+               "resource_assignment_l3_weekly", "resource_code_weekly", "activity_l2_daily", "activity_l3_daily",
+               "time_phase_daily"}
 _CACHE: dict[tuple[str, str], ProjectSources] = {}
 
 
@@ -151,6 +154,8 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
 
 def _fingerprint(base: str) -> str:
     h = hashlib.sha1(os.path.abspath(base).encode())
+    with open(__file__, "rb") as f:  # the derivation rules are part of the key
+        h.update(f.read())
     for name in sorted(os.listdir(base)) if os.path.isdir(base) else []:
         st = os.stat(os.path.join(base, name))
         h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
@@ -173,9 +178,11 @@ def derive(spark: SparkSession, base: str) -> ProjectSources:
     # --- dimensions -------------------------------------------------------------------
     ww = cal.groupBy("WorkWeek").agg(F.min("Date").alias("WWStartDate"))
     snaps = lf.select("Snapshot_Date").distinct()
-    weekly = snaps.select(
+    latest = snaps.agg(F.max("Snapshot_Date").alias("latest"))
+    weekly = snaps.crossJoin(F.broadcast(latest)).select(
         work_week_code("Snapshot_Date").alias("SnapshotPeriod"), F.col("Snapshot_Date").alias("SnapshotDate"),
-        F.lit("Weekly").alias("PeriodType"), F.lit(1).alias("ActivityIsProcessed"))
+        F.lit("Weekly").alias("PeriodType"),
+        F.when(F.col("Snapshot_Date") == F.col("latest"), 0).otherwise(1).alias("ActivityIsProcessed"))
     months = t["orders"].select(F.trunc(F.to_date("o_orderdate"), "month").alias("m")).distinct()
     monthly = months.select(
         month_label("m").alias("SnapshotPeriod"), F.last_day("m").alias("SnapshotDate"),
@@ -280,12 +287,22 @@ def derive(spark: SparkSession, base: str) -> ProjectSources:
         F.col("BR_ProjectNumber").alias("Project"), F.col("WBS"), status.alias("Approval_Status"),
         F.col("ship_date").alias("TS_Date"), hours.alias("Hrs"))
 
+    def daily(df: DataFrame) -> DataFrame:
+        """Rows of the latest snapshot as a 'Daily' snapshot and as 'Live' rows a day later."""
+        arms = F.array(F.struct(F.col("Snapshot_Date").alias("d"), F.lit("Daily").alias("p")),
+                       F.struct(F.date_add("Snapshot_Date", 1).alias("d"), F.lit("Live").alias("p")))
+        cur = df.join(F.broadcast(latest), F.col("Snapshot_Date") == F.col("latest")).drop("latest")
+        cols = [c for c in df.columns if c != "Snapshot_Date"]
+        return cur.select(*cols, F.explode(arms).alias("_a")).select(
+            *cols, F.col("_a.d").alias("Snapshot_Date"), F.col("_a.p").alias("Snapshot_Period"))
+
     wbs_monthly = t["orders"].select(F.trunc(F.to_date("o_orderdate"), "month").cast("timestamp_ntz").alias("SNAPSHOT_DATE"))
 
     return ProjectSources(
         snapshot_period=snapshot_period, time_phase_period=cal, date_dim=cal.select("Date", "FiscalWeek"),
         work_week=ww, project_master=projects, project_master_ext=pm_ext, fin_source_system=fss,
         resource_code_weekly=rc, activity_l2_weekly=l2, activity_l3_weekly=l3, time_phase_weekly=tp,
+        activity_l2_daily=daily(l2), activity_l3_daily=daily(l3), time_phase_daily=daily(tp),
         time_phase_baseline_weekly=bl, time_phase_baseline=bl.drop("Snapshot_Date"),
         resource_assignment_l3_weekly=ra, wbs_monthly=wbs_monthly,
         weekly_burden=burden, wbs_lookup=wbs_lookup, actual_hour=actual_hour, fin_transaction=fin, timesheet=timesheet,

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reports this library rebuilds are batch computations over stored snapshots: every
+input is a snapshot-stamped table and every output is recomputed for a chosen period. They
+use no watermarks, event-time windows, late data or per-key state, so there is no
+Structured Streaming operator to provide. A caller who lands snapshots continuously can
+run the batch reports from `foreachBatch` on the snapshot table; nothing here needs to
+change for that.
+"""

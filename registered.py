@@ -383,3 +383,32 @@ def q_null_defaults(spark, d):
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
+
+
+LIVE_PARAMS = ReportParams(period_type="Weekly", period=dt.date(2001, 1, 1), projects=None, piepccc=None,
+                           baseline_type="Approved", group="Bundle")
+
+
+def _ev_live(spark: SparkSession, d: str):
+    src = standins.build(spark, d)
+    rollup = cal_plans.period_rollup_table(src.snapshot_period)
+    per = cal_plans.resolve_periods(rollup, src.work_week, LIVE_PARAMS.period_type, LIVE_PARAMS.period)
+    live = use_live_sources(src.snapshot_period, LIVE_PARAMS.period)
+    return src, Branch(src, LIVE_PARAMS, per, live)
+
+
+def q_ledger_live(spark, d):
+    src, br = _ev_live(spark, d)
+    return build_ledger(br, earned=earned_arm(br, src.time_phase_period))
+
+
+def q_ev_project_report_live(spark, d):
+    src, br = _ev_live(spark, d)
+    out = project_report(build_ledger(br, earned=earned_arm(br, src.time_phase_period)), br, sort=True)
+    measures = [c for c in out.columns if c.startswith(("Week_", "LTD_", "LC_")) or c == "Burn"]
+    return _cast(out, measures, D38)
+
+
+QUERIES = {
+    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+}
