@@ -148,14 +148,23 @@ def project_report(ledger: DataFrame, br: Branch, sort: bool = True) -> DataFram
     return out
 
 
-def ev_report(src: ProjectSources, params: ReportParams, live: bool | None = None, sort: bool = True) -> DataFrame:
-    """The whole EV project report: resolve periods, pick sources, build the ledger, pivot."""
+def ev_report(src: ProjectSources, params: ReportParams, live: bool | None = None, sort: bool = True,
+              checkpoint_ledger: bool = False) -> DataFrame:
+    """The whole EV project report: resolve periods, pick sources, build the ledger, pivot.
+
+    `checkpoint_ledger=True` writes the ledger to the session's shared checkpoint folder
+    first (reliable checkpoint), for callers that pivot one ledger several ways or want the
+    thirteen-arm lineage cut before the report stage."""
     rollup = period_rollup_table(src.snapshot_period)
     periods = resolve_periods(rollup, src.work_week, params.period_type, params.period)
     if live is None:
         live = use_live_sources(src.snapshot_period, params.period)
     br = Branch(src, params, periods, live)
     ledger = build_ledger(br, earned=earned_arm(br, src.time_phase_period))
+    if checkpoint_ledger:
+        from hourglass.session import cut_lineage
+
+        ledger = cut_lineage(ledger)
     return project_report(ledger, br, sort=sort)
 
 

@@ -142,20 +142,24 @@ def baseline_selection(baseline: DataFrame, requested: str) -> DataFrame:
 # --------------------------------------------------------------------------- ledger arms
 
 def planned_and_budget(br: Branch) -> list[DataFrame]:
-    """Planned (chosen baseline) and Budget (Approved) hours per L2 activity and week."""
+    """Planned (chosen baseline) and Budget (Approved) hours per L2 activity and week.
+
+    One scan of the baseline, one join to the activities and one aggregate with a
+    conditional sum per arm; a group yields an arm row only if the arm had rows in it.
+    """
     acts = scope(br.l2_now(), br.params, wbs_only=not br.live)
     a = acts.select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
     bl_all = br.baseline()
+    pb = baseline_selection(bl_all, br.params.baseline_type).withColumn("_planned", F.lit(True))
     bl = bl_all.where(F.col("BR_Resource_Type") == LABOUR)
-    pb = baseline_selection(bl_all, br.params.baseline_type)
-    joined = bl.join(a, "Activity_Key")
-    planned = joined.join(pb, ["Project_ID", "BaselineType"])
-    budget = joined.where(F.col("BaselineType") == "Approved")
-    out = []
-    for df, tag in ((planned, PLANNED), (budget, BUDGET)):
-        g = df.groupBy(*_act_cols(df), F.col("BR_WorkWeek").alias("WorkWeek")).agg(F.sum("Planned_Hours").alias("h"))
-        out.append(_arm(g, F.col("h"), F.lit(0), tag))
-    return out
+    j = bl.join(a, "Activity_Key").join(pb, ["Project_ID", "BaselineType"], "left")
+    is_planned = F.col("_planned").isNotNull()
+    is_budget = F.col("BaselineType") == "Approved"
+    g = j.where(is_planned | is_budget).groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
+        F.sum(F.when(is_planned, F.col("Planned_Hours"))).alias("planned"), F.count_if(is_planned).alias("n_planned"),
+        F.sum(F.when(is_budget, F.col("Planned_Hours"))).alias("budget"), F.count_if(is_budget).alias("n_budget"))
+    return [_arm(g.where(F.col("n_planned") > 0), F.col("planned"), F.lit(0), PLANNED),
+            _arm(g.where(F.col("n_budget") > 0), F.col("budget"), F.lit(0), BUDGET)]
 
 
 def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
