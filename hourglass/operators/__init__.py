@@ -5,6 +5,6 @@ from hourglass.operators.relational import (  # noqa: F401
     template_row, union_distinct, sort_key,
 )
 from hourglass.operators.joins import range_join_days, dim_lookup  # noqa: F401
-from hourglass.operators.aggregates import conditional_sums, two_level_ratio  # noqa: F401
+from hourglass.operators.aggregates import conditional_sums, exact_sum, sum_of, two_level_ratio  # noqa: F401
 from hourglass.operators.windows import ordinal, running_total, nth_value_of  # noqa: F401
 from hourglass.operators.pivot import dynamic_pivot, month_steps  # noqa: F401

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import concat_null, first_char_in, in_list, isnull, lacks_suffix
-from hourglass.operators import append_typed, null_aware_anti_join, top1_per_group, two_level_ratio
+from hourglass.operators import append_typed, null_aware_anti_join, sum_of, top1_per_group, two_level_ratio
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans.calendar import fiscal_week_map
 from hourglass.sources.catalog import ProjectSources, live_scan, snapshot_scan
@@ -156,8 +156,8 @@ def planned_and_budget(br: Branch) -> list[DataFrame]:
     is_planned = F.col("_planned").isNotNull()
     is_budget = F.col("BaselineType") == "Approved"
     g = j.where(is_planned | is_budget).groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
-        F.sum(F.when(is_planned, F.col("Planned_Hours"))).alias("planned"), F.count_if(is_planned).alias("n_planned"),
-        F.sum(F.when(is_budget, F.col("Planned_Hours"))).alias("budget"), F.count_if(is_budget).alias("n_budget"))
+        sum_of(j, "Planned_Hours", is_planned).alias("planned"), F.count_if(is_planned).alias("n_planned"),
+        sum_of(j, "Planned_Hours", is_budget).alias("budget"), F.count_if(is_budget).alias("n_budget"))
     return [_arm(g.where(F.col("n_planned") > 0), F.col("planned"), F.lit(0), PLANNED),
             _arm(g.where(F.col("n_budget") > 0), F.col("budget"), F.lit(0), BUDGET)]
 
@@ -173,7 +173,7 @@ def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
         a = scope(acts, p).select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
         j = tp.where(F.col("BR_Resource_Type") == LABOUR).join(a, "Activity_Key")
         g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
-            F.sum("Planned_Hours").alias("f"), F.sum("Remaining_Hours").alias("r"))
+            sum_of(j, "Planned_Hours").alias("f"), sum_of(j, "Remaining_Hours").alias("r"))
         out.append(_arm(g, F.col("f"), F.lit(0), tags[0]))
         out.append(_arm(g, F.col("r"), F.lit(0), tags[1]))
         if tags[0] == FORECAST:
@@ -204,7 +204,7 @@ def l3_rollup(br: Branch, package_map: DataFrame) -> DataFrame:
     act_id = isnull("m_id", concat_null(F.col("BR_ProjectNumber"), F.col("BR_PIEPCCC"), "xxxx"))
     g = j.groupBy(F.col("BR_ProjectNumber").alias("ProjectNumber"), act_id.alias("Activity_ID"),
                   isnull("m_name", "Not Available").alias("Activity_Name"), F.col("BR_WorkWeek").alias("WorkWeek"),
-                  F.col("BR_PIEPCCC").alias("PIEPCCC")).agg(F.sum("Planned_Hours").alias("h"))
+                  F.col("BR_PIEPCCC").alias("PIEPCCC")).agg(sum_of(j, "Planned_Hours").alias("h"))
     return _arm(g, F.col("h"), F.lit(0), FORECAST_L3)
 
 
@@ -230,7 +230,7 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     j1 = (inv.join(s.wbs_lookup, F.col("line_code") == F.col("alter_cost_c1_"))
           .join(a1, (F.col("Activity_ID") == F.col("wp")) & (F.col("BR_ProjectNumber") == F.col("project_no")))
           .join(cal, F.col("tpp_date") == F.col("week_ending")))
-    g1 = j1.groupBy(*_act_cols(j1), F.col("tpp_week").alias("WorkWeek")).agg(F.sum("Total_Hours").alias("h"))
+    g1 = j1.groupBy(*_act_cols(j1), F.col("tpp_week").alias("WorkWeek")).agg(sum_of(j1, "Total_Hours").alias("h"))
     src1 = _arm(g1, F.col("h"), F.lit(0), ACTUAL)
 
     # 2. actual-hour feed for projects without source-1 rows
@@ -242,7 +242,7 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
           .join(pm, F.col("pm_project") == F.col("Project"))
           .join(cal.where(F.col("tpp_date") <= F.lit(per.period)), F.col("tpp_date") == F.col("date00")))
     j2 = null_aware_anti_join(j2, "pm_project", src1, "ProjectNumber")
-    g2 = j2.groupBy("Project", "wbs", "a_name", "tpp_week", "a_pie").agg(F.sum("Hours").alias("h"))
+    g2 = j2.groupBy("Project", "wbs", "a_name", "tpp_week", "a_pie").agg(sum_of(j2, "Hours").alias("h"))
     src2 = g2.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("wbs")).alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
@@ -262,7 +262,7 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
           .join(a34, (F.col("a_id") == F.col("WorkPackage")) & (F.col("a_project") == F.col("Project")), "left")
           .join(fw.where(F.col("fw_ww") <= F.lit(per.period_week)), F.col("fw_week") == F.col("FiscalWeek"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
-    g3 = j3.groupBy("Project", "WorkPackage", "a_name", "fw_ww", "a_pie").agg(F.sum("HoursQuantity").alias("h"))
+    g3 = j3.groupBy("Project", "WorkPackage", "a_name", "fw_ww", "a_pie").agg(sum_of(j3, "HoursQuantity").alias("h"))
     src3 = g3.select(F.col("Project").alias("ProjectNumber"), F.col("WorkPackage").alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("fw_ww").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
@@ -273,7 +273,7 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     j4 = (onc.join(a34, (F.col("a_id") == concat_null(F.col("Project"), F.col("WBS"))) & (F.col("a_project") == F.col("Project")), "left")
           .join(cal.where(F.col("tpp_week") <= F.lit(per.period_week)), F.col("tpp_date") == F.col("TS_Date"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
-    g4 = j4.groupBy("Project", "WBS", "a_name", "tpp_week", "a_pie").agg(F.sum("Hrs").alias("h"))
+    g4 = j4.groupBy("Project", "WBS", "a_name", "tpp_week", "a_pie").agg(sum_of(j4, "Hrs").alias("h"))
     src4 = g4.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("WBS")).alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),

@@ -33,13 +33,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.functions import fiscal_month_code, month_label, work_week_code
-from hourglass.sources.catalog import ProjectSources
+from hourglass.sources.catalog import ProjectSources, stage
 
 DEC = "decimal(19,6)"
 
@@ -133,20 +134,27 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     if key in _CACHE:
         return _CACHE[key]
     folder = f"{root.rstrip('/')}/hourglass-standins/{key[1]}"
-    derived = derive(spark, base)
-    out = {}
-    for f in fields(ProjectSources):
-        df = getattr(derived, f.name)
-        if df is None:
-            continue
-        path = f"{folder}/{f.name}"
+    names = [f.name for f in fields(ProjectSources)]
+    missing = [n for n in names if not _complete(spark, f"{folder}/{n}")]
+    staged: list[DataFrame] = []
+    derived = derive(spark, base, staged if missing else None)
+    todo = [(f.name, getattr(derived, f.name)) for f in fields(ProjectSources) if getattr(derived, f.name) is not None]
+
+    def write(item) -> None:
+        name, df = item
+        path = f"{folder}/{name}"
         if not _complete(spark, path):
             w = df.write.mode("overwrite")
-            if f.name in PARTITIONED:
+            if name in PARTITIONED:
                 w = w.partitionBy("Snapshot_Date")
             w.parquet(path)
-        table = spark.read.parquet(path)
-        out[f.name] = table.select(*df.columns)
+
+    # the views are independent jobs; submitting a few at once keeps the executors busy
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, todo))
+    out = {name: spark.read.parquet(f"{folder}/{name}").select(*df.columns) for name, df in todo}
+    for df in staged:
+        df.unpersist()
     sources = ProjectSources(**out)
     _CACHE[key] = sources
     return sources
@@ -169,11 +177,17 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def derive(spark: SparkSession, base: str) -> ProjectSources:
+def derive(spark: SparkSession, base: str, staged: list | None = None) -> ProjectSources:
+    """Derive the views. With a `staged` list, the intermediates that several views share
+    (line facts, part attributes, activity keys) are persisted while the views are
+    written, and appended to the list so the caller can release them."""
     t = _tables(spark, base)
     cal = calendar(t)
     lf = line_facts(t)
     pa = part_attrs(t["part"])
+    if staged is not None:
+        lf, pa = stage(lf), stage(pa)
+        staged.extend([lf, pa])
 
     # --- dimensions -------------------------------------------------------------------
     ww = cal.groupBy("WorkWeek").agg(F.min("Date").alias("WWStartDate"))
@@ -203,6 +217,9 @@ def derive(spark: SparkSession, base: str) -> ProjectSources:
 
     # --- schedule facts ----------------------------------------------------------------
     act_base = lf.select(F.col("l_partkey").alias("Activity_Key"), "Snapshot_Date").distinct().join(pa, "Activity_Key")
+    if staged is not None:
+        act_base = stage(act_base)
+        staged.append(act_base)
     l2 = act_base.select(
         "Snapshot_Date", "Activity_Key", "Activity_ID", "Activity_Name",
         F.col("L2_Type").alias("Activity_Type"), "BR_ProjectNumber", "BR_PIEPCCC",
