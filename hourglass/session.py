@@ -49,6 +49,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder itself, as named by `spark.checkpoint.dir`.
+
+    `SparkContext.getCheckpointDir()` is a fresh per-application subfolder of it; tables
+    that should outlive one application (materialized stand-in sources) go under the
+    named folder instead."""
+    ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's shared checkpoint folder.
 

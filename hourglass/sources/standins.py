@@ -127,9 +127,9 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     """
     if not materialize:
         return derive(spark, base)
-    from hourglass.session import ensure_checkpoint_dir
+    from hourglass.session import shared_folder
 
-    root = ensure_checkpoint_dir(spark)
+    root = shared_folder(spark)
     key = (root, _fingerprint(base))
     if key in _CACHE:
         return _CACHE[key]
@@ -152,7 +152,8 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     # the views are independent jobs; submitting a few at once keeps the executors busy
     with ThreadPoolExecutor(max_workers=4) as pool:
         list(pool.map(write, todo))
-    out = {name: spark.read.parquet(f"{folder}/{name}").select(*df.columns) for name, df in todo}
+    # the schemas are known from the derivation; giving them skips footer inference
+    out = {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}").select(*df.columns) for name, df in todo}
     for df in staged:
         df.unpersist()
     sources = ProjectSources(**out)
