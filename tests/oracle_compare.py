@@ -40,15 +40,28 @@ def rows_of(cols, rows):
     return [cols[i] for i in order], sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+                  "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT"}
+
+
+def type_mismatches(spark_df, con, sql: str):
+    st = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+          for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    dt_ = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return [(c, st[c], dt_.get(c)) for c in st if st[c].replace(" ", "") != (dt_.get(c) or "").replace(" ", "")]
+
+
 def compare(spark_df, con, sql: str):
     s_cols = spark_df.columns
+    types = type_mismatches(spark_df, con, sql)
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     sc, sr = rows_of(s_cols, s_rows)
     dc, dr = rows_of(d_cols, d_rows)
-    problems = []
+    problems = [f"types differ: {types}"] if types else []
     if sc != dc:
         problems.append(f"columns differ: spark-only {set(sc) - set(dc)}, oracle-only {set(dc) - set(sc)}")
     if len(sr) != len(dr):
