@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,15 @@ from pyspark.sql import types as T
 
 
 def _ansi() -> bool:
+    """Whether ANSI mode is on (overflow raises). Asked without a fallback value, so an
+    unset key reports Spark's own default rather than ours."""
     spark = SparkSession.getActiveSession()
-    return spark is not None and str(spark.conf.get("spark.sql.ansi.enabled", "false")).lower() == "true"
+    if spark is None:
+        return False
+    try:
+        return str(spark.conf.get("spark.sql.ansi.enabled")).lower() == "true"
+    except Exception:
+        return False
 
 
 def exact_sum(c: Column, scale: int = 6) -> Column:
@@ -41,6 +49,35 @@ def sum_of(df: DataFrame, name: str, cond: Column | None = None) -> Column:
     return exact_sum(c, dt.scale) if _long_safe(dt) else F.sum(c)
 
 
+def pre_sum(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Early aggregation: SUM `cols` by `keys` before the frame is joined.
+
+    Catalyst does not push aggregates below joins; summing a fact to the grain of its join
+    and group keys first makes the join shuffle carry one row per key instead of one per
+    fact row. SUM distributes over the later join (each pre-summed row meets the same
+    partners its fact rows would have), so a later `resum` gives the same totals. Exact
+    decimal columns are kept as unscaled longs (`_u<scale>_<name>`) for `resum`."""
+    aggs = []
+    for c in cols:
+        dt = df.schema[c].dataType
+        if _ansi() and _long_safe(dt):
+            aggs.append(F.sum((F.col(c) * F.lit(10 ** dt.scale)).cast("long")).alias(f"_u{dt.scale}_{c}"))
+        else:
+            aggs.append(F.sum(c).alias(c))
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def resum(df: DataFrame, name: str, cond: Column | None = None) -> Column:
+    """The final SUM of a column produced by `pre_sum` (or of any column, via `sum_of`)."""
+    for col in df.columns:
+        m = re.fullmatch(rf"_u(\d+)_{re.escape(name)}", col)
+        if m:
+            scale = int(m.group(1))
+            x = F.col(col) if cond is None else F.when(cond, F.col(col))
+            return (F.sum(x).cast("decimal(38,0)") / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
+    return sum_of(df, name, cond)
+
+
 def conditional_sums(
     df: DataFrame,
     keys: Sequence,

@@ -39,3 +39,41 @@ def dim_lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataF
     not by the data; Spark's size estimate decides whether to broadcast them.
     """
     return fact.join(dim, on, how)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of a plan (after partition and column pruning)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark) -> int:
+    """The session's broadcast threshold in bytes (-1 = broadcasting disabled)."""
+    try:  # no fallback argument: an unset key must report Spark's default, not ours
+        raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
+    except Exception:
+        raw = "10485760"
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    limit = broadcast_limit(df.sparkSession)
+    return limit > 0 and 0 <= estimated_bytes(df) <= limit
+
+
+def size_checked_join(fact: DataFrame, dim: DataFrame, on, pre_keys, pre_cols, how: str = "inner") -> DataFrame:
+    """Join a fact to a dimension-like side, choosing the plan by the side's checked size.
+
+    * side within the broadcast threshold: broadcast it; the join is map-side and the
+      caller's aggregate runs partially right after it, so no extra shuffle is added;
+    * larger side: first sum the fact to its join/group grain (`pre_sum`), so the
+      shuffle join moves one row per key instead of one per fact row.
+    The caller aggregates with `resum`, which reads either form."""
+    from hourglass.operators.aggregates import pre_sum
+
+    if fits_broadcast(dim):
+        return fact.join(F.broadcast(dim), on, how)
+    return pre_sum(fact, pre_keys, pre_cols).join(dim, on, how)

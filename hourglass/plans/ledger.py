@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import concat_null, first_char_in, in_list, isnull, lacks_suffix
-from hourglass.operators import append_typed, null_aware_anti_join, sum_of, top1_per_group, two_level_ratio
+from hourglass.operators import (append_typed, null_aware_anti_join, resum, size_checked_join, top1_per_group,
+                                 two_level_ratio)
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans.calendar import fiscal_week_map
 from hourglass.sources.catalog import ProjectSources, live_scan, snapshot_scan
@@ -152,12 +153,13 @@ def planned_and_budget(br: Branch) -> list[DataFrame]:
     bl_all = br.baseline()
     pb = baseline_selection(bl_all, br.params.baseline_type).withColumn("_planned", F.lit(True))
     bl = bl_all.where(F.col("BR_Resource_Type") == LABOUR)
-    j = bl.join(a, "Activity_Key").join(pb, ["Project_ID", "BaselineType"], "left")
+    j = size_checked_join(bl, a, "Activity_Key", ["Activity_Key", "Project_ID", "BaselineType", "BR_WorkWeek"],
+                          ["Planned_Hours"]).join(pb, ["Project_ID", "BaselineType"], "left")
     is_planned = F.col("_planned").isNotNull()
     is_budget = F.col("BaselineType") == "Approved"
     g = j.where(is_planned | is_budget).groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
-        sum_of(j, "Planned_Hours", is_planned).alias("planned"), F.count_if(is_planned).alias("n_planned"),
-        sum_of(j, "Planned_Hours", is_budget).alias("budget"), F.count_if(is_budget).alias("n_budget"))
+        resum(j, "Planned_Hours", is_planned).alias("planned"), F.count_if(is_planned).alias("n_planned"),
+        resum(j, "Planned_Hours", is_budget).alias("budget"), F.count_if(is_budget).alias("n_budget"))
     return [_arm(g.where(F.col("n_planned") > 0), F.col("planned"), F.lit(0), PLANNED),
             _arm(g.where(F.col("n_budget") > 0), F.col("budget"), F.lit(0), BUDGET)]
 
@@ -171,9 +173,10 @@ def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
     for acts, tp, tags in ((br.l2_now(), br.tp_now(), (FORECAST, REMAINING)),
                            (br.l2_last(), br.tp_last(), (FORECAST_LAST, REMAINING_LAST))):
         a = scope(acts, p).select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
-        j = tp.where(F.col("BR_Resource_Type") == LABOUR).join(a, "Activity_Key")
+        j = size_checked_join(tp.where(F.col("BR_Resource_Type") == LABOUR), a, "Activity_Key",
+                              ["Activity_Key", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
         g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
-            sum_of(j, "Planned_Hours").alias("f"), sum_of(j, "Remaining_Hours").alias("r"))
+            resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
         out.append(_arm(g, F.col("f"), F.lit(0), tags[0]))
         out.append(_arm(g, F.col("r"), F.lit(0), tags[1]))
         if tags[0] == FORECAST:
@@ -198,13 +201,13 @@ def l3_rollup(br: Branch, package_map: DataFrame) -> DataFrame:
         m = snapshot_scan(m, br.periods.period)
     m = m.select(F.col("Snapshot_Date").alias("m_date"), F.col("BR_L2WorkPackage").alias("m_pkg"),
                  F.col("Activity_ID").alias("m_id"), F.col("Activity_Name").alias("m_name"))
-    j = (tp.where(F.col("BR_Resource_Type") == LABOUR).select("Activity_Key", "Snapshot_Date", "BR_WorkWeek", "Planned_Hours")
-         .join(l3, ["Activity_Key", "Snapshot_Date"])
+    j = (size_checked_join(tp.where(F.col("BR_Resource_Type") == LABOUR), l3, ["Activity_Key", "Snapshot_Date"],
+                           ["Activity_Key", "Snapshot_Date", "BR_WorkWeek"], ["Planned_Hours"])
          .join(m, (F.col("BR_L2WorkPackage") == F.col("m_pkg")) & (F.col("Snapshot_Date") == F.col("m_date")), "left"))
     act_id = isnull("m_id", concat_null(F.col("BR_ProjectNumber"), F.col("BR_PIEPCCC"), "xxxx"))
     g = j.groupBy(F.col("BR_ProjectNumber").alias("ProjectNumber"), act_id.alias("Activity_ID"),
                   isnull("m_name", "Not Available").alias("Activity_Name"), F.col("BR_WorkWeek").alias("WorkWeek"),
-                  F.col("BR_PIEPCCC").alias("PIEPCCC")).agg(sum_of(j, "Planned_Hours").alias("h"))
+                  F.col("BR_PIEPCCC").alias("PIEPCCC")).agg(resum(j, "Planned_Hours").alias("h"))
     return _arm(g, F.col("h"), F.lit(0), FORECAST_L3)
 
 
@@ -227,10 +230,11 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     a1 = aa.where(in_list("BR_ProjectNumber", p.projects) & in_list("BR_PIEPCCC", p.piepccc)).select(
         "Activity_ID", "BR_ProjectNumber", "Activity_Name", "BR_PIEPCCC")
     inv = s.weekly_burden.where(F.col("week_ending") <= F.lit(per.period))
-    j1 = (inv.join(s.wbs_lookup, F.col("line_code") == F.col("alter_cost_c1_"))
+    j1 = (size_checked_join(inv, s.wbs_lookup, F.col("line_code") == F.col("alter_cost_c1_"),
+                            ["alter_cost_c1_", "week_ending"], ["Total_Hours"])
           .join(a1, (F.col("Activity_ID") == F.col("wp")) & (F.col("BR_ProjectNumber") == F.col("project_no")))
           .join(cal, F.col("tpp_date") == F.col("week_ending")))
-    g1 = j1.groupBy(*_act_cols(j1), F.col("tpp_week").alias("WorkWeek")).agg(sum_of(j1, "Total_Hours").alias("h"))
+    g1 = j1.groupBy(*_act_cols(j1), F.col("tpp_week").alias("WorkWeek")).agg(resum(j1, "Total_Hours").alias("h"))
     src1 = _arm(g1, F.col("h"), F.lit(0), ACTUAL)
 
     # 2. actual-hour feed for projects without source-1 rows
@@ -238,11 +242,12 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     ah = s.actual_hour.where(first_char_in("wbs", p.piepccc))
     a2 = aa.select(F.col("Activity_ID").alias("a_id"), F.col("Activity_Name").alias("a_name"),
                    F.col("BR_PIEPCCC").alias("a_pie"))
-    j2 = (ah.join(a2, F.col("a_id") == concat_null(F.col("Project"), F.col("wbs")))
+    j2 = (size_checked_join(ah, a2, F.col("a_id") == concat_null(F.col("Project"), F.col("wbs")),
+                            ["Project", "wbs", "date00"], ["Hours"])
           .join(pm, F.col("pm_project") == F.col("Project"))
           .join(cal.where(F.col("tpp_date") <= F.lit(per.period)), F.col("tpp_date") == F.col("date00")))
     j2 = null_aware_anti_join(j2, "pm_project", src1, "ProjectNumber")
-    g2 = j2.groupBy("Project", "wbs", "a_name", "tpp_week", "a_pie").agg(sum_of(j2, "Hours").alias("h"))
+    g2 = j2.groupBy("Project", "wbs", "a_name", "tpp_week", "a_pie").agg(resum(j2, "Hours").alias("h"))
     src2 = g2.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("wbs")).alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
@@ -258,11 +263,12 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     fw = fiscal_week_map(s.date_dim, s.work_week).select(F.col("FiscalWeek").alias("fw_week"), F.col("WorkWeek").alias("fw_ww"))
     fss = s.fin_source_system.where(F.col("FinSourceSystemDesc") == "Tempus").select("FinSourceSystem_Key")
     ft = s.fin_transaction.where(first_char_in("Local", p.piepccc))
-    j3 = (ft.join(fss, F.col("FinSourceSystem_Key") == F.col("FinSourceSystem_FKey"))
+    j3 = (size_checked_join(ft, fss, F.col("FinSourceSystem_Key") == F.col("FinSourceSystem_FKey"),
+                            ["Project", "WorkPackage", "FiscalWeek", "FinSourceSystem_FKey"], ["HoursQuantity"])
           .join(a34, (F.col("a_id") == F.col("WorkPackage")) & (F.col("a_project") == F.col("Project")), "left")
           .join(fw.where(F.col("fw_ww") <= F.lit(per.period_week)), F.col("fw_week") == F.col("FiscalWeek"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
-    g3 = j3.groupBy("Project", "WorkPackage", "a_name", "fw_ww", "a_pie").agg(sum_of(j3, "HoursQuantity").alias("h"))
+    g3 = j3.groupBy("Project", "WorkPackage", "a_name", "fw_ww", "a_pie").agg(resum(j3, "HoursQuantity").alias("h"))
     src3 = g3.select(F.col("Project").alias("ProjectNumber"), F.col("WorkPackage").alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("fw_ww").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
@@ -270,10 +276,11 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
 
     # 4. timesheets
     onc = s.timesheet.where(first_char_in("WBS", p.piepccc) & F.col("Approval_Status").isin(*TIMESHEET_STATUSES))
-    j4 = (onc.join(a34, (F.col("a_id") == concat_null(F.col("Project"), F.col("WBS"))) & (F.col("a_project") == F.col("Project")), "left")
+    j4 = (size_checked_join(onc, a34, (F.col("a_id") == concat_null(F.col("Project"), F.col("WBS")))
+                            & (F.col("a_project") == F.col("Project")), ["Project", "WBS", "TS_Date"], ["Hrs"], how="left")
           .join(cal.where(F.col("tpp_week") <= F.lit(per.period_week)), F.col("tpp_date") == F.col("TS_Date"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
-    g4 = j4.groupBy("Project", "WBS", "a_name", "tpp_week", "a_pie").agg(sum_of(j4, "Hrs").alias("h"))
+    g4 = j4.groupBy("Project", "WBS", "a_name", "tpp_week", "a_pie").agg(resum(j4, "Hrs").alias("h"))
     src4 = g4.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("WBS")).alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
