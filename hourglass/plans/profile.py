@@ -18,7 +18,8 @@ from hourglass.functions import concat_null, in_list, lacks_suffix_like, left, r
 from hourglass.operators import template_row, union_distinct, update_from_join
 from hourglass.params import ProfileParams
 from hourglass.plans.calendar import (axis_bounds, clamp_year_month, dense_month_spine, spine_bounds, year_axis)
-from hourglass.sources.catalog import ProjectSources, stage, window_scan
+from hourglass.session import cut_lineage
+from hourglass.sources.catalog import ProjectSources, window_scan
 
 ATTRS = ["ResourceCode", "BR_CM_RESOURCE_GROUP_Val", "Resource_ID", "Resource_Name", "BR_ProgramWBS", "BR_UnitWBS",
          "BR_BundleWBS", "Bundle", "ProjectNumber", "ProjectTitle", "Project", "Vendor", "BR_VendorDescription"]
@@ -83,7 +84,9 @@ def resource_profile_parts(src: ProjectSources, pp: ProfileParams) -> ProfilePar
     cal = src.time_phase_period
     axis = year_axis(cal, pp.report, pp.base_year)
     min_year, max_year = axis_bounds(axis)
-    bb = stage(monthly_profile(src, pp, resource_hours(src, pp), min_year, max_year))
+    # `#BB` is read four times (bounds, spine, template, union) and sits on the two fact
+    # joins: checkpoint it into the shared folder rather than pinning executor memory.
+    bb = cut_lineage(monthly_profile(src, pp, resource_hours(src, pp), min_year, max_year))
     row = bb.agg(F.min(F.concat("Year", "Month")).alias("mn"), F.max(F.concat("Year", "Month")).alias("mx")).collect()[0]
     mn, mx = row["mn"], row["mx"]
     lo, hi = spine_bounds(pp.graph_start, pp.graph_end, mn, mx)

@@ -32,12 +32,14 @@ Rules (fixed values that the oracle SQL repeats):
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourglass.functions import fiscal_month_code, month_label, work_week_code
 from hourglass.sources.catalog import ProjectSources, stage
@@ -134,10 +136,15 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     if key in _CACHE:
         return _CACHE[key]
     folder = f"{root.rstrip('/')}/hourglass-standins/{key[1]}"
-    names = [f.name for f in fields(ProjectSources)]
-    missing = [n for n in names if not _complete(spark, f"{folder}/{n}")]
+    schemas = _read_text(spark, f"{folder}/_schemas.json")
+    if schemas is not None:  # written last: every table is complete
+        out = {name: spark.read.schema(T.StructType.fromJson(js)).parquet(f"{folder}/{name}").select(
+            *[f["name"] for f in js["fields"]]) for name, js in json.loads(schemas).items()}
+        sources = ProjectSources(**out)
+        _CACHE[key] = sources
+        return sources
     staged: list[DataFrame] = []
-    derived = derive(spark, base, staged if missing else None)
+    derived = derive(spark, base, staged)
     todo = [(f.name, getattr(derived, f.name)) for f in fields(ProjectSources) if getattr(derived, f.name) is not None]
 
     def write(item) -> None:
@@ -156,6 +163,7 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     out = {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}").select(*df.columns) for name, df in todo}
     for df in staged:
         df.unpersist()
+    _write_text(spark, f"{folder}/_schemas.json", json.dumps({name: df.schema.jsonValue() for name, df in todo}))
     sources = ProjectSources(**out)
     _CACHE[key] = sources
     return sources
@@ -171,6 +179,32 @@ def _fingerprint(base: str) -> str:
     return h.hexdigest()[:16]
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    p, fs = _fs_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _complete(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
