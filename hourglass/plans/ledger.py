@@ -38,8 +38,10 @@ LEDGER_SCHEMA = T.StructType([
 PLANNED, BUDGET, ACTUAL = "Planned", "Budget", "Actual"
 FORECAST, FORECAST_LAST, BURN = "Forecast", "Forecast Last", "Forecast burned rate"
 REMAINING, REMAINING_LAST, FORECAST_L3, EARNED = "Remaining", "Remaining Last", "Forecast L3", "Earned"
-# Timesheet statuses that count as actual hours.
+# Timesheet statuses that count as actual hours, and the finance source system whose
+# transactions count (fixed values of the report).
 TIMESHEET_STATUSES = ("APPROVED", "NEGATED", "PENDING")
+FINANCE_SOURCE = "Tempus"
 LABOUR = "RT_Labor"
 L3_TYPES = ("TT_Task", "TT_LOE")
 
@@ -218,7 +220,7 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
 
     1 weekly burden through the WBS lookup (date <= period);
     2 actual-hour feed, only for projects without a source-1 row;
-    3 finance transactions of source 'Tempus' and 4 timesheets, only for projects absent
+    3 finance transactions of FINANCE_SOURCE and 4 timesheets, only for projects absent
       from the whole actual-hour feed and from the WBS lookup (NOT IN, NULL-aware).
     1 and 2 drop hours without an L2 activity; 3 and 4 keep them as 'Not Available'.
     """
@@ -261,7 +263,7 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
 
     # 3. finance transactions
     fw = fiscal_week_map(s.date_dim, s.work_week).select(F.col("FiscalWeek").alias("fw_week"), F.col("WorkWeek").alias("fw_ww"))
-    fss = s.fin_source_system.where(F.col("FinSourceSystemDesc") == "Tempus").select("FinSourceSystem_Key")
+    fss = s.fin_source_system.where(F.col("FinSourceSystemDesc") == FINANCE_SOURCE).select("FinSourceSystem_Key")
     ft = s.fin_transaction.where(first_char_in("Local", p.piepccc))
     j3 = (size_checked_join(ft, fss, F.col("FinSourceSystem_Key") == F.col("FinSourceSystem_FKey"),
                             ["Project", "WorkPackage", "FiscalWeek", "FinSourceSystem_FKey"], ["HoursQuantity"])
