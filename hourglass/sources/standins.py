@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import fields
 
@@ -125,7 +126,8 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     folder the session names in `spark.checkpoint.dir` (snapshot facts partitioned by
     `Snapshot_Date`) and read back, so every report reads stored, partition-pruned tables
     as it would in production, and the derivation is not repeated in every plan. The
-    folder is keyed by the input files' names, sizes and modification times.
+    folder is keyed by the input files' names, sizes and modification times and by the
+    derivation code; it is published with one rename and reused by later applications.
     """
     if not materialize:
         return derive(spark, base)
@@ -146,24 +148,32 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     staged: list[DataFrame] = []
     derived = derive(spark, base, staged)
     todo = [(f.name, getattr(derived, f.name)) for f in fields(ProjectSources) if getattr(derived, f.name) is not None]
+    # Write into a private folder and publish it with one rename, so two applications
+    # materializing at once never see (or overwrite) each other's half-written tables.
+    work = f"{folder}.part-{uuid.uuid4().hex}"
 
     def write(item) -> None:
         name, df = item
-        path = f"{folder}/{name}"
-        if not _complete(spark, path):
-            w = df.write.mode("overwrite")
-            if name in PARTITIONED:
-                w = w.partitionBy("Snapshot_Date")
-            w.parquet(path)
-
-    # the views are independent jobs; submitting a few at once keeps the executors busy
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(write, todo))
+        w = df.write.mode("overwrite")
+        if name in PARTITIONED:
+            w = w.partitionBy("Snapshot_Date")
+        w.parquet(f"{work}/{name}")
+
+    try:
+        # the views are independent jobs; submitting a few at once keeps the executors busy
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(write, todo))
+        _write_text(spark, f"{work}/_schemas.json", json.dumps({name: df.schema.jsonValue() for name, df in todo}))
+        _publish(spark, work, folder)
+    except Exception:  # e.g. the shared folder is not writable: use the views as derived
+        for df in staged:
+            df.unpersist()
+        _CACHE[key] = derived
+        return derived
     # the schemas are known from the derivation; giving them skips footer inference
     out = {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}").select(*df.columns) for name, df in todo}
     for df in staged:
         df.unpersist()
-    _write_text(spark, f"{folder}/_schemas.json", json.dumps({name: df.schema.jsonValue() for name, df in todo}))
     sources = ProjectSources(**out)
     _CACHE[key] = sources
     return sources
@@ -205,11 +215,16 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return p.getFileSystem(conf).exists(p)
+def _publish(spark: SparkSession, work: str, folder: str) -> None:
+    """Rename the finished private folder to its shared name, unless another application
+    published it first (then ours is left unused)."""
+    src, fs = _fs_path(spark, work)
+    dst, _ = _fs_path(spark, folder)
+    fs.mkdirs(dst.getParent())
+    if not fs.exists(dst):
+        fs.rename(src, dst)
+    if not fs.exists(_fs_path(spark, f"{folder}/_schemas.json")[0]):
+        raise RuntimeError(f"stand-in tables were not published at {folder}")
 
 
 def derive(spark: SparkSession, base: str, staged: list | None = None) -> ProjectSources:
