@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def month_steps(start: dt.date | None, end: dt.date | None) -> list[dt.date]:

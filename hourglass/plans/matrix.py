@@ -44,14 +44,12 @@ def snapshot_month_matrix(df: DataFrame, project: str = "73113", date_col: str =
     labels = [s.strftime("%m/%d/%Y") for s in steps]
     d = F.col(date_col)
     if match == "month":
-        key = F.when(d.isNotNull(), F.date_format(d, "MM")).otherwise(None)
         values = {}
         for s, lab in zip(steps, labels):
             values.setdefault((s.year, s.month), lab)
         lbl = F.lit(None).cast("string")
         for (y, m), lab in values.items():
             lbl = F.when((F.year(d) == y) & (F.month(d) == m), F.lit(lab)).otherwise(lbl)
-        del key
     else:
         lbl = F.when(F.to_timestamp(F.to_date(d)).cast("timestamp_ntz") == d.cast("timestamp_ntz"), mdy(d))
     src = aa.withColumn("lbl", lbl)

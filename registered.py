@@ -18,7 +18,7 @@ from hourglass.functions import (add_days, add_months, add_weeks, concat_null, f
                                  lacks_suffix_like, left, mdy, number_text, right, spaces, work_week_code, year_text)
 from hourglass.functions.nulls import in_list
 from hourglass.operators import (append_typed, conditional_sums, null_aware_anti_join, range_join_days, running_total,
-                                 template_row, top1_per_group, union_distinct, update_from_join, ordinal)
+                                 top1_per_group, update_from_join, ordinal)
 from hourglass.params import ProfileParams, ReportParams, ResolvedPeriods
 from hourglass.plans import calendar as cal_plans
 from hourglass.plans.earned import earned_arm, earned_value_rows, project_report, work_packages
@@ -26,7 +26,7 @@ from hourglass.plans.gate import gate_frame, use_live_sources
 from hourglass.plans.ledger import (LEDGER_SCHEMA, Branch, actuals_cascade, baseline_selection, build_ledger,
                                     forecast_remaining_burn, l3_rollup, planned_and_budget, scope, work_package_map)
 from hourglass.plans.matrix import snapshot_month_matrix
-from hourglass.plans.profile import resource_hours, monthly_profile, resource_profile_parts
+from hourglass.plans.profile import resource_profile_parts
 from hourglass.sources import standins
 from hourglass.sources.catalog import snapshot_scan, stage
 
