@@ -9,7 +9,6 @@ aggregate here.
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -264,10 +263,10 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     # 3. finance transactions
     fw = fiscal_week_map(s.date_dim, s.work_week).select(F.col("FiscalWeek").alias("fw_week"), F.col("WorkWeek").alias("fw_ww"))
     fss = s.fin_source_system.where(F.col("FinSourceSystemDesc") == FINANCE_SOURCE).select("FinSourceSystem_Key")
-    ft = s.fin_transaction.where(first_char_in("Local", p.piepccc))
-    j3 = (size_checked_join(ft, fss, F.col("FinSourceSystem_Key") == F.col("FinSourceSystem_FKey"),
-                            ["Project", "WorkPackage", "FiscalWeek", "FinSourceSystem_FKey"], ["HoursQuantity"])
-          .join(a34, (F.col("a_id") == F.col("WorkPackage")) & (F.col("a_project") == F.col("Project")), "left")
+    ft = s.fin_transaction.where(first_char_in("Local", p.piepccc)).join(
+        fss, F.col("FinSourceSystem_Key") == F.col("FinSourceSystem_FKey"))
+    j3 = (size_checked_join(ft, a34, (F.col("a_id") == F.col("WorkPackage")) & (F.col("a_project") == F.col("Project")),
+                            ["Project", "WorkPackage", "FiscalWeek"], ["HoursQuantity"], how="left")
           .join(fw.where(F.col("fw_ww") <= F.lit(per.period_week)), F.col("fw_week") == F.col("FiscalWeek"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
     g3 = j3.groupBy("Project", "WorkPackage", "a_name", "fw_ww", "a_pie").agg(resum(j3, "HoursQuantity").alias("h"))
@@ -298,10 +297,3 @@ def build_ledger(br: Branch, earned: DataFrame | None = None) -> DataFrame:
         arms.append(earned)
     return append_typed(arms, LEDGER_SCHEMA)
 
-
-def choose_branch(src: ProjectSources, params: ReportParams, periods: ResolvedPeriods, live: bool) -> Branch:
-    return Branch(src, params, periods, live)
-
-
-def as_date(d) -> dt.date | None:
-    return d
