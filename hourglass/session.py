@@ -55,8 +55,12 @@ def shared_folder(spark: SparkSession) -> str:
     `SparkContext.getCheckpointDir()` is a fresh per-application subfolder of it; tables
     that should outlive one application (materialized stand-in sources) go under the
     named folder instead."""
-    ensure_checkpoint_dir(spark)
-    return spark.conf.get("spark.checkpoint.dir")
+    app_dir = ensure_checkpoint_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    # set through SparkContext.setCheckpointDir only: its per-application subfolder's parent
+    return app_dir.rstrip("/").rsplit("/", 1)[0]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
