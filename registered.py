@@ -412,3 +412,31 @@ def q_ev_project_report_live(spark, d):
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
+
+
+RECOVERY_STRAT3 = ReportParams(period_type="Weekly", period=dt.date(2000, 1, 1), projects=None, piepccc=None,
+                               baseline_type="Recovery", group="Strat III")
+
+
+def q_ev_project_report_recovery_strat3(spark, d):
+    src = standins.build(spark, d)
+    rollup = cal_plans.period_rollup_table(src.snapshot_period)
+    per = cal_plans.resolve_periods(rollup, src.work_week, RECOVERY_STRAT3.period_type, RECOVERY_STRAT3.period)
+    br = Branch(src, RECOVERY_STRAT3, per, use_live_sources(src.snapshot_period, RECOVERY_STRAT3.period))
+    out = project_report(build_ledger(br, earned=earned_arm(br, src.time_phase_period)), br, sort=True)
+    measures = [c for c in out.columns if c.startswith(("Week_", "LTD_", "LC_")) or c == "Burn"]
+    return _cast(out, measures, D38)
+
+
+def q_fiscal_week_map_half_open(spark, d):
+    src = standins.build(spark, d)
+    return cal_plans.fiscal_week_map(src.date_dim, src.work_week, half_open=True)
+
+
+def q_snapshot_month_matrix_by_month(spark, d):
+    return snapshot_month_matrix(standins.build(spark, d).wbs_monthly, project="73113", match="month")
+
+
+QUERIES = {
+    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+}
