@@ -42,9 +42,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="hourglass-ckpt-")
+        # unset (tests, a laptop): a stable local folder, so later applications reuse
+        # what earlier ones wrote; on a cluster the setting names a shared folder
+        configured = os.path.join(tempfile.gettempdir(), "hourglass-checkpoints")
         spark.conf.set("spark.checkpoint.dir", configured)
-    os.makedirs(configured, exist_ok=True) if configured.startswith("/") else None
+    if configured.startswith("/"):
+        os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
