@@ -106,6 +106,17 @@ def _arm(df: DataFrame, hours: Column, hours_ltd: Column, type_: str, week: Colu
         hours.alias("Hours"), hours_ltd.alias("HoursLTD"), F.lit(type_).alias("Type"))
 
 
+def _stacked(g: DataFrame, arms: list[tuple[str, str, Column]]) -> DataFrame:
+    """Several ledger arms from one aggregate: each group row is exploded into one row per
+    arm present in it (type tag, hours). Because every arm's column is consumed by the same
+    plan, the aggregate (and the scan and join under it) runs once; separate filtered
+    copies would each be pruned to their own column and computed again."""
+    parts = F.array(*[F.struct(F.lit(tag).alias("t"), F.col(hours).cast("decimal(38,6)").alias("h"), present.alias("k"))
+                      for tag, hours, present in arms])
+    out = g.select(*KEYS, F.explode(parts).alias("_a")).where(F.col("_a.k"))
+    return out.select(*KEYS, F.col("_a.h").alias("Hours"), F.lit(0).alias("HoursLTD"), F.col("_a.t").alias("Type"))
+
+
 def _act_cols(a: DataFrame) -> list[Column]:
     return [a.BR_ProjectNumber.alias("ProjectNumber"), a.Activity_ID, a.Activity_Name, a.BR_PIEPCCC.alias("PIEPCCC")]
 
@@ -147,7 +158,8 @@ def planned_and_budget(br: Branch) -> list[DataFrame]:
     """Planned (chosen baseline) and Budget (Approved) hours per L2 activity and week.
 
     One scan of the baseline, one join to the activities and one aggregate with a
-    conditional sum per arm; a group yields an arm row only if the arm had rows in it.
+    conditional sum per arm, stacked into ledger rows; a group yields an arm row only if
+    the arm had rows in it.
     """
     acts = scope(br.l2_now(), br.params, wbs_only=not br.live)
     a = acts.select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
@@ -161,8 +173,7 @@ def planned_and_budget(br: Branch) -> list[DataFrame]:
     g = j.where(is_planned | is_budget).groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
         resum(j, "Planned_Hours", is_planned).alias("planned"), F.count_if(is_planned).alias("n_planned"),
         resum(j, "Planned_Hours", is_budget).alias("budget"), F.count_if(is_budget).alias("n_budget"))
-    return [_arm(g.where(F.col("n_planned") > 0), F.col("planned"), F.lit(0), PLANNED),
-            _arm(g.where(F.col("n_budget") > 0), F.col("budget"), F.lit(0), BUDGET)]
+    return [_stacked(g, [(PLANNED, "planned", F.col("n_planned") > 0), (BUDGET, "budget", F.col("n_budget") > 0)])]
 
 
 def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
@@ -178,8 +189,7 @@ def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
                               ["Activity_Key", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
         g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
             resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
-        out.append(_arm(g, F.col("f"), F.lit(0), tags[0]))
-        out.append(_arm(g, F.col("r"), F.lit(0), tags[1]))
+        out.append(_stacked(g, [(tags[0], "f", F.lit(True)), (tags[1], "r", F.lit(True))]))
         if tags[0] == FORECAST:
             burn = two_level_ratio(
                 g.withColumnRenamed("f", "h"), ["ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC"],
