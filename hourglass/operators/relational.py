@@ -62,7 +62,8 @@ def top1_per_group(
     return out.select(*keys, *[F.col("_best._row").getField(c).alias(c) for c in keep])
 
 
-def null_aware_anti_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
+def null_aware_anti_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
+                         materialize_right: bool = True) -> DataFrame:
     """`left.left_col NOT IN (SELECT right_col FROM right)` with SQL three-valued logic.
 
     * right empty: every left row is kept, NULL keys included;
@@ -73,8 +74,18 @@ def null_aware_anti_join(left: DataFrame, left_col: str, right: DataFrame, right
     an ordinary equi-join that AQE may broadcast or shuffle, and guarded by a one-row
     summary (size bound: one row) instead of Spark's null-aware join, which only exists
     as a broadcast of the whole right side.
+
+    The join side and the summary both read the distinct list. With `materialize_right`
+    (default) that list is checkpointed once into the shared folder (one job when the
+    plan is built), so the right side's plan — possibly a whole ledger arm — runs once;
+    otherwise each consumer re-evaluates it, because the filters Catalyst pushes into the
+    two copies differ and defeat exchange reuse.
     """
     vals = right.select(F.col(right_col).alias("_nav")).distinct()
+    if materialize_right:
+        from hourglass.session import cut_lineage
+
+        vals = cut_lineage(vals)
     summary = vals.agg(
         F.count(F.lit(1)).alias("_nav_n"),
         F.count_if(F.col("_nav").isNull()).alias("_nav_null"),
