@@ -189,10 +189,14 @@ def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
                               ["Activity_Key", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
         g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
             resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
-        out.append(_stacked(g, [(tags[0], "f", F.lit(True)), (tags[1], "r", F.lit(True))]))
+        stacked = _stacked(g, [(tags[0], "f", F.lit(True)), (tags[1], "r", F.lit(True))])
+        out.append(stacked)
         if tags[0] == FORECAST:
+            # read the stacked Forecast rows, not `g` pruned to one column: the plan under the
+            # explode is then the forecast arm's own, and its exchange is reused at run time
+            fc = stacked.where(F.col("Type") == FORECAST).withColumnRenamed("Hours", "h")
             burn = two_level_ratio(
-                g.withColumnRenamed("f", "h"), ["ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC"],
+                fc, ["ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC"],
                 ["ProjectNumber", "PIEPCCC"], "h", "WorkWeek", {"Activity_ID": "dummy", "Activity_Name": "dummy"},
                 out="rate")
             out.append(_arm(burn, F.col("rate"), F.lit(0), BURN, week=F.lit(p.burn_week)))
