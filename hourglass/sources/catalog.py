@@ -74,13 +74,19 @@ def live_scan(df: DataFrame, col: str = "Snapshot_Period") -> DataFrame:
     return df.where(F.col(col) == F.lit("Live"))
 
 
-def stage(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, columns: Iterable[str] | None = None, how: str = "persist") -> DataFrame:
     """`SELECT ... INTO #t`: keep a relation that is read more than once.
 
-    Columns are pruned *before* persisting (a persisted `SELECT *` would pin every column).
-    MEMORY_AND_DISK: partitions that do not fit spill instead of being recomputed; a lost
-    executor's blocks are recomputed from lineage.
+    Columns are pruned *before* staging (a staged `SELECT *` would keep every column).
+    `how="persist"`: MEMORY_AND_DISK, partitions that do not fit spill, a lost executor's
+    blocks are recomputed from lineage; the caller unpersists when done.
+    `how="checkpoint"`: a reliable checkpoint into the shared checkpoint folder, for
+    relations handed to code that cannot release them (nothing stays pinned in memory).
     """
     if columns is not None:
         df = df.select(*columns)
+    if how == "checkpoint":
+        from hourglass.session import cut_lineage
+
+        return cut_lineage(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -166,7 +166,9 @@ def q_snapshot_scoped_scan(spark, d):
 
 def q_staged_relation_reuse(spark, d):
     src = standins.build(spark, d)
-    staged = stage(src.time_phase_weekly, ["BR_WorkWeek", "BR_FiscalMonth", "Planned_Hours", "Remaining_Hours"])
+    # read twice below; checkpointed (not persisted) because the returned frame outlives this call
+    staged = stage(src.time_phase_weekly, ["BR_WorkWeek", "BR_FiscalMonth", "Planned_Hours", "Remaining_Hours"],
+                   how="checkpoint")
     a = staged.groupBy(F.col("BR_WorkWeek").alias("period")).agg(F.sum("Planned_Hours").alias("Hours")).select(
         F.lit("week").alias("grain"), "period", "Hours")
     b = staged.groupBy(F.col("BR_FiscalMonth").alias("period")).agg(F.sum("Remaining_Hours").alias("Hours")).select(
