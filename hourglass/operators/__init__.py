@@ -4,7 +4,7 @@ from hourglass.operators.relational import (  # noqa: F401
     top1_per_group, null_aware_anti_join, update_from_join, conform, append_typed,
     template_row, union_distinct, sort_key,
 )
-from hourglass.operators.joins import dim_lookup, fits_broadcast, range_join_days, size_checked_join  # noqa: F401
+from hourglass.operators.joins import asof_max, dim_lookup, fits_broadcast, range_join_days, size_checked_join  # noqa: F401
 from hourglass.operators.aggregates import conditional_sums, exact_sum, pre_sum, resum, sum_of, two_level_ratio  # noqa: F401
 from hourglass.operators.windows import ordinal, running_total, nth_value_of  # noqa: F401
 from hourglass.operators.pivot import dynamic_pivot, month_steps  # noqa: F401

@@ -77,3 +77,23 @@ def size_checked_join(fact: DataFrame, dim: DataFrame, on, pre_keys, pre_cols, h
     if fits_broadcast(dim):
         return fact.join(F.broadcast(dim), on, how)
     return pre_sum(fact, pre_keys, pre_cols).join(dim, on, how)
+
+
+def asof_max(probes: DataFrame, probe_col: str, ref: DataFrame, ref_key: str, value: str, out: str) -> DataFrame:
+    """For each probe row: `MAX(value) FROM ref WHERE ref_key <= probe` (NULL if none).
+
+    Probes and reference rows are put in one date-ordered stream (reference rows first on
+    ties, as the test is `<=`) and a running max is carried along it: linear in the two
+    inputs, no (probe, reference) pairs. The stream is ordered globally, so both sides must
+    be calendar-sized (snapshot dates, work weeks) — the only use in the reports.
+    """
+    from pyspark.sql import Window
+
+    r = ref.select(F.col(ref_key).cast("date").alias("_k"), F.lit(0).alias("_probe"), F.col(value).alias("_v"),
+                   *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in probes.columns])
+    p = probes.select(F.col(probe_col).cast("date").alias("_k"), F.lit(1).alias("_probe"),
+                      F.lit(None).cast(ref.schema[value].dataType).alias("_v"), *probes.columns)
+    w = Window.orderBy(F.col("_k").asc_nulls_first(), "_probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stream = r.unionByName(p).withColumn("_m", F.max("_v").over(w))
+    return (stream.where(F.col("_probe") == 1)
+            .select(*probes.columns, F.when(F.col("_k").isNotNull(), F.col("_m")).alias(out)))

@@ -143,21 +143,18 @@ def previous_periods_all(rollup: DataFrame, period_type: str, work_week: DataFra
 
     Per snapshot date: the previous and second-previous snapshot (strictly before) and the
     work week of each (`MAX(WorkWeek) WHERE WWStartDate <= d`). Runs on the distinct
-    snapshot dates (a dimension); the as-of week lookup is a join of those dates against
-    work weeks, both calendar-sized."""
+    snapshot dates (a dimension); the week lookups are as-of running maxima over the
+    date-ordered union of dates and work weeks, so no (date, week) pairs are formed."""
     from pyspark.sql import Window
 
+    from hourglass.operators import asof_max
+
     dates = (rollup.where(F.col("PeriodType") == period_type).select(F.col("SnapshotDate").cast("date").alias("SnapshotDate"))
              .where(F.col("SnapshotDate").isNotNull()).distinct())
     w = Window.orderBy("SnapshotDate")
-    prev = dates.select("SnapshotDate", F.lag("SnapshotDate", 1).over(w).alias("last_period"),
-                        F.lag("SnapshotDate", 2).over(w).alias("last2_period"))
-    ww = work_week.select(F.col("WorkWeek").alias("_wk"), F.col("WWStartDate").alias("_start"))
-
-    def week_at(df: DataFrame, col: str, name: str) -> DataFrame:
-        j = df.join(ww, F.col("_start") <= F.col(col), "left")
-        return j.groupBy(*df.columns).agg(F.max("_wk").alias(name))
-
-    out = week_at(prev, "SnapshotDate", "period_week")
-    out = week_at(out, "last_period", "last_period_week")
-    return week_at(out, "last2_period", "last2_period_week")
+    out = dates.select("SnapshotDate", F.lag("SnapshotDate", 1).over(w).alias("last_period"),
+                       F.lag("SnapshotDate", 2).over(w).alias("last2_period"))
+    for col, name in (("SnapshotDate", "period_week"), ("last_period", "last_period_week"),
+                      ("last2_period", "last2_period_week")):
+        out = asof_max(out, col, work_week, "WWStartDate", "WorkWeek", name)
+    return out

@@ -79,3 +79,15 @@ def test_dynamic_pivot_keeps_requested_columns(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "lbl string, v int")
     out = dynamic_pivot(df, [F.lit("X").alias("g")], "lbl", ["a", "b", "c"], F.max("v"))
     assert out.columns == ["g", "a", "b", "c"] and out.collect()[0]["c"] is None
+
+
+def test_asof_max_ties_and_nulls(spark):
+    from hourglass.operators import asof_max
+
+    ref = spark.createDataFrame([(dt.date(2017, 1, 2), "W1"), (dt.date(2017, 1, 9), "W2"), (dt.date(2017, 1, 16), "W0")],
+                                "s date, wk string")
+    probes = spark.createDataFrame([(1, dt.date(2017, 1, 9)), (2, dt.date(2017, 1, 1)), (3, None), (4, dt.date(2017, 2, 1))],
+                                   "id int, d date")
+    got = rows(asof_max(probes, "d", ref, "s", "wk", "w"), "id", "w")
+    # max code, not latest start: on 2017-02-01 the weeks W1, W2, W0 all qualify and 'W2' is the max
+    assert got == [(1, "W2"), (2, None), (3, None), (4, "W2")]
