@@ -32,15 +32,6 @@ def range_join_days(
     return joined.drop(day)
 
 
-def dim_lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join a fact to a calendar-like dimension keyed by date.
-
-    Calendar dimensions have one row per day, so their size is bounded by the date range,
-    not by the data; Spark's size estimate decides whether to broadcast them.
-    """
-    return fact.join(dim, on, how)
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of a plan (after partition and column pruning)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -24,13 +24,3 @@ def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame
     instead of the triangular self-join."""
     w = Window.orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(name, F.sum(F.coalesce(F.col(value), F.lit(0))).over(w))
-
-
-def nth_value_of(df: DataFrame, ordinal_col: str, n: int, value: str):
-    """`(SELECT value FROM t WHERE rn = n)` as a one-row frame (NULL when absent).
-
-    Raises like a scalar subquery if more than one row matches."""
-    rows = df.where(F.col(ordinal_col) == n).select(value).limit(2).collect()
-    if len(rows) > 1:
-        raise ValueError("scalar subquery returned more than one row")
-    return rows[0][0] if rows else None

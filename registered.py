@@ -21,12 +21,12 @@ from hourglass.operators import (append_typed, conditional_sums, null_aware_anti
                                  top1_per_group, update_from_join, ordinal)
 from hourglass.params import ProfileParams, ReportParams, ResolvedPeriods
 from hourglass.plans import calendar as cal_plans
-from hourglass.plans.earned import earned_arm, earned_value_rows, project_report, work_packages
+from hourglass.plans.earned import earned_value_rows, ev_report, ledger_only, work_packages
 from hourglass.plans.gate import gate_frame, use_live_sources
-from hourglass.plans.ledger import (LEDGER_SCHEMA, Branch, actuals_cascade, baseline_selection, build_ledger,
+from hourglass.plans.ledger import (LEDGER_SCHEMA, Branch, actuals_cascade, baseline_selection,
                                     forecast_remaining_burn, l3_rollup, planned_and_budget, scope, work_package_map)
 from hourglass.plans.matrix import snapshot_month_matrix
-from hourglass.plans.profile import resource_profile_parts
+from hourglass.plans.profile import resource_profile, resource_profile_parts
 from hourglass.sources import standins
 from hourglass.sources.catalog import snapshot_scan, stage
 
@@ -130,17 +130,17 @@ def q_earned_value_delta(spark, d):
     return _cast(v, ["Earned_LTD", "Earned_Last_LTD"], D)
 
 
+def _report_measures(out: DataFrame) -> DataFrame:
+    measures = [c for c in out.columns if c.startswith(("Week_", "LTD_", "LC_")) or c == "Burn"]
+    return _cast(out, measures, D38)
+
+
 def q_typed_ledger_append(spark, d):
-    src, br = _ev(spark, d)
-    return build_ledger(br, earned=earned_arm(br, src.time_phase_period))
+    return ledger_only(standins.build(spark, d), EV_PARAMS)
 
 
 def q_ev_project_report(spark, d):
-    src, br = _ev(spark, d)
-    ledger = build_ledger(br, earned=earned_arm(br, src.time_phase_period))
-    out = project_report(ledger, br, sort=True)
-    measures = [c for c in out.columns if c.startswith(("Week_", "LTD_", "LC_")) or c == "Burn"]
-    return _cast(out, measures, D38)
+    return _report_measures(ev_report(standins.build(spark, d), EV_PARAMS))
 
 
 def q_conditional_measure_pivot(spark, d):
@@ -287,7 +287,7 @@ def q_template_row(spark, d):
 
 
 def q_profile_union(spark, d):
-    return resource_profile_parts(standins.build(spark, d), PROFILE_PARAMS).final
+    return resource_profile(standins.build(spark, d), PROFILE_PARAMS)
 
 
 def q_star_join_inner(spark, d):
@@ -391,24 +391,12 @@ LIVE_PARAMS = ReportParams(period_type="Weekly", period=dt.date(2001, 1, 1), pro
                            baseline_type="Approved", group="Bundle")
 
 
-def _ev_live(spark: SparkSession, d: str):
-    src = standins.build(spark, d)
-    rollup = cal_plans.period_rollup_table(src.snapshot_period)
-    per = cal_plans.resolve_periods(rollup, src.work_week, LIVE_PARAMS.period_type, LIVE_PARAMS.period)
-    live = use_live_sources(src.snapshot_period, LIVE_PARAMS.period)
-    return src, Branch(src, LIVE_PARAMS, per, live)
-
-
 def q_ledger_live(spark, d):
-    src, br = _ev_live(spark, d)
-    return build_ledger(br, earned=earned_arm(br, src.time_phase_period))
+    return ledger_only(standins.build(spark, d), LIVE_PARAMS)
 
 
 def q_ev_project_report_live(spark, d):
-    src, br = _ev_live(spark, d)
-    out = project_report(build_ledger(br, earned=earned_arm(br, src.time_phase_period)), br, sort=True)
-    measures = [c for c in out.columns if c.startswith(("Week_", "LTD_", "LC_")) or c == "Burn"]
-    return _cast(out, measures, D38)
+    return _report_measures(ev_report(standins.build(spark, d), LIVE_PARAMS))
 
 
 QUERIES = {
@@ -421,13 +409,7 @@ RECOVERY_STRAT3 = ReportParams(period_type="Weekly", period=dt.date(2000, 1, 1),
 
 
 def q_ev_project_report_recovery_strat3(spark, d):
-    src = standins.build(spark, d)
-    rollup = cal_plans.period_rollup_table(src.snapshot_period)
-    per = cal_plans.resolve_periods(rollup, src.work_week, RECOVERY_STRAT3.period_type, RECOVERY_STRAT3.period)
-    br = Branch(src, RECOVERY_STRAT3, per, use_live_sources(src.snapshot_period, RECOVERY_STRAT3.period))
-    out = project_report(build_ledger(br, earned=earned_arm(br, src.time_phase_period)), br, sort=True)
-    measures = [c for c in out.columns if c.startswith(("Week_", "LTD_", "LC_")) or c == "Burn"]
-    return _cast(out, measures, D38)
+    return _report_measures(ev_report(standins.build(spark, d), RECOVERY_STRAT3))
 
 
 def q_fiscal_week_map_half_open(spark, d):
