@@ -2,6 +2,7 @@
 ROW_NUMBER() = 1 for arbitrary strings, numbers, dates and NULLs in mixed directions."""
 
 import datetime as dt
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -17,7 +18,7 @@ day = st.one_of(st.none(), st.dates(min_value=dt.date(1999, 12, 30), max_value=d
 row = st.tuples(st.integers(min_value=0, max_value=2), text, num, day, text)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=int(os.environ.get("HOURGLASS_PROPERTY_EXAMPLES", "25")), deadline=None, suppress_health_check=list(HealthCheck))
 @given(data=st.lists(row, min_size=1, max_size=30), dirs=st.tuples(st.booleans(), st.booleans(), st.booleans()))
 def test_top1_equals_row_number(spark, data, dirs):
     data = [(k, s, n, d, t, i) for i, (k, s, n, d, t) in enumerate(data)]
