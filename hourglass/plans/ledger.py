@@ -56,34 +56,42 @@ class Branch:
     periods: ResolvedPeriods
     live: bool
 
+    def need(self, name: str) -> DataFrame:
+        """A source view, or a clear error naming it when the caller did not supply it."""
+        df = getattr(self.src, name)
+        if df is None:
+            branch = "Live/Daily" if self.live else "Weekly"
+            raise ValueError(f"the {branch} report needs the source view '{name}'")
+        return df
+
     # L2 activities "now": Live rows, or the weekly snapshot at the period
     def l2_now(self) -> DataFrame:
         if self.live:
-            return live_scan(self.src.activity_l2_daily)
-        return snapshot_scan(self.src.activity_l2_weekly, self.periods.period)
+            return live_scan(self.need("activity_l2_daily"))
+        return snapshot_scan(self.need("activity_l2_weekly"), self.periods.period)
 
     def l2_last(self) -> DataFrame:
-        return snapshot_scan(self.src.activity_l2_weekly, self.periods.last_period)
+        return snapshot_scan(self.need("activity_l2_weekly"), self.periods.last_period)
 
     def tp_now(self) -> DataFrame:
-        tp = self.src.time_phase_daily if self.live else self.src.time_phase_weekly
+        tp = self.need("time_phase_daily") if self.live else self.need("time_phase_weekly")
         return snapshot_scan(tp, self.periods.period)
 
     def tp_last(self) -> DataFrame:
-        return snapshot_scan(self.src.time_phase_weekly, self.periods.last_period)
+        return snapshot_scan(self.need("time_phase_weekly"), self.periods.last_period)
 
     def baseline(self) -> DataFrame:
         if self.live:
-            return self.src.time_phase_baseline
-        return snapshot_scan(self.src.time_phase_baseline_weekly, self.periods.period)
+            return self.need("time_phase_baseline")
+        return snapshot_scan(self.need("time_phase_baseline_weekly"), self.periods.period)
 
     def l3_with_time_phase(self) -> DataFrame:
         if self.live:
-            tp = live_scan(self.src.time_phase_daily)
-            l3 = live_scan(self.src.activity_l3_daily)
+            tp = live_scan(self.need("time_phase_daily"))
+            l3 = live_scan(self.need("activity_l3_daily"))
         else:
-            tp = snapshot_scan(self.src.time_phase_weekly, self.periods.period)
-            l3 = snapshot_scan(self.src.activity_l3_weekly, self.periods.period)
+            tp = snapshot_scan(self.need("time_phase_weekly"), self.periods.period)
+            l3 = snapshot_scan(self.need("activity_l3_weekly"), self.periods.period)
         return tp, l3
 
 

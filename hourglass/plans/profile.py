@@ -9,7 +9,7 @@ itself: months x resources, small.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +80,17 @@ class ProfileParts:
     final: DataFrame
 
 
+def current_week(snapshot_period: DataFrame):
+    """CW when the caller gives none: the latest processed Weekly snapshot (one aggregate)."""
+    return snapshot_period.where((F.col("PeriodType") == "Weekly") & (F.col("ActivityIsProcessed") == 1)).agg(
+        F.max(F.col("SnapshotDate").cast("date"))).collect()[0][0]
+
+
 def resource_profile_parts(src: ProjectSources, pp: ProfileParams) -> ProfileParts:
+    if pp.cw is None:
+        pp = replace(pp, cw=current_week(src.snapshot_period))
+    if pp.cw is None:
+        raise ValueError("no processed Weekly snapshot to use as the current week")
     cal = src.time_phase_period
     axis = year_axis(cal, pp.report, pp.base_year)
     min_year, max_year = axis_bounds(axis)

@@ -57,3 +57,20 @@ def test_live_rows_without_period_plus_one(spark):
     got = rows(v.select("Snapshot_Date", F.col("Earned_LTD").cast("double"), F.col("Earned_Last_LTD").cast("double")))
     assert got == [(D(2017, 5, 26), 20.0, 0.0), (D(2017, 6, 2), 50.0, 0.0), (D(2017, 6, 3), 0.0, 20.0)]
     assert float(v.agg(F.sum(F.col("Earned_LTD") - F.col("Earned_Last_LTD"))).collect()[0][0]) == 50.0
+
+
+def test_branch_names_missing_sources(spark):
+    import pytest
+
+    per = ResolvedPeriods(D(2017, 6, 2), None, None, None, None, None)
+    with pytest.raises(ValueError, match="activity_l2_daily"):
+        Branch(ProjectSources(), ReportParams(), per, live=True).l2_now()
+
+
+def test_profile_current_week_defaults_to_latest_processed(spark):
+    from hourglass.plans.profile import current_week
+
+    sp = spark.createDataFrame([("a", D(2017, 5, 26), "Weekly", 1), ("b", D(2017, 6, 2), "Weekly", 0),
+                                ("c", D(2017, 6, 30), "Monthly", 1)],
+                               "SnapshotPeriod string, SnapshotDate date, PeriodType string, ActivityIsProcessed int")
+    assert current_week(sp) == D(2017, 5, 26)
