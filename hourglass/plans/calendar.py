@@ -63,11 +63,21 @@ def week_of(work_week: DataFrame, dates: dict[str, object]) -> dict[str, str | N
 
 
 def resolve_periods(rollup: DataFrame, work_week: DataFrame, period_type: str, period: dt.date) -> ResolvedPeriods:
-    """The seven scalars of the EV report (period, previous two, and their work weeks)."""
-    row = previous_periods_frame(rollup, period_type, period).collect()
-    last, last2 = (row[0]["last_period"], row[0]["last2_period"]) if row else (None, None)
-    weeks = week_of(work_week, {"p": period, "l1": last, "l2": last2})
-    return ResolvedPeriods(period, last, last2, weeks["p"], weeks["l1"], weeks["l2"])
+    """The seven scalars of the EV report (period, previous two, and their work weeks), in
+    one small job: the one-row previous-periods frame meets the work weeks (linear in the
+    weeks) and a single aggregate returns everything."""
+    prev = previous_periods_frame(rollup, period_type, period)
+    start = F.col("WWStartDate")
+    row = work_week.crossJoin(F.broadcast(prev)).agg(
+        F.first("last_period", ignorenulls=True).alias("l1"), F.first("last2_period", ignorenulls=True).alias("l2"),
+        F.max(F.when(start <= F.lit(period), F.col("WorkWeek"))).alias("pw"),
+        F.max(F.when(start <= F.col("last_period"), F.col("WorkWeek"))).alias("l1w"),
+        F.max(F.when(start <= F.col("last2_period"), F.col("WorkWeek"))).alias("l2w"),
+    ).collect()[0]
+    if row["l1"] is None and row["pw"] is None:  # no work weeks at all: resolve the dates alone
+        r = prev.collect()[0]
+        return ResolvedPeriods(period, r["last_period"], r["last2_period"], None, None, None)
+    return ResolvedPeriods(period, row["l1"], row["l2"], row["pw"], row["l1w"], row["l2w"])
 
 
 def fiscal_week_map(date_dim: DataFrame, work_week: DataFrame, half_open: bool = False) -> DataFrame:
