@@ -66,3 +66,13 @@ def test_no_cartesian_product_on_facts_and_pruned_scans(spark, ev):
 def test_top1_is_a_partial_aggregate(spark):
     plan = _plan(R.q_work_package_map(spark, SF))
     assert "partial_min" in plan and "Window" not in plan
+
+
+def test_checkpointed_ledger_gives_the_same_report(spark):
+    from hourglass.plans.earned import ev_report
+
+    src = R.standins.build(spark, SF)
+    lazy = ev_report(src, R.EV_PARAMS, sort=False)
+    cut = ev_report(src, R.EV_PARAMS, sort=False, checkpoint_ledger=True)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(lazy.collect(), key=key) == sorted(cut.collect(), key=key)
