@@ -181,8 +181,12 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
 
 def _fingerprint(base: str) -> str:
     h = hashlib.sha1(os.path.abspath(base).encode())
-    with open(__file__, "rb") as f:  # the derivation rules are part of the key
-        h.update(f.read())
+    # the derivation rules are part of the key: this module and the helpers it calls
+    here = os.path.dirname(os.path.abspath(__file__))
+    for path in (__file__, os.path.join(here, "catalog.py"), os.path.join(here, "..", "functions", "dates.py"),
+                 os.path.join(here, "..", "functions", "strings.py")):
+        with open(path, "rb") as f:
+            h.update(f.read())
     for name in sorted(os.listdir(base)) if os.path.isdir(base) else []:
         st = os.stat(os.path.join(base, name))
         h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
