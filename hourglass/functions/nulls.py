@@ -35,4 +35,6 @@ def in_list(c, values) -> Column:
     """`c IN (@multi)`; `None` means the parameter does not restrict."""
     if values is None:
         return F.lit(True)
+    if isinstance(values, str):  # one value given bare, not a list of characters
+        values = (values,)
     return _c(c).isin(list(values))

@@ -41,6 +41,8 @@ def first_char_in(c, values) -> Column:
     """`LEFT(c, 1) IN (values)`; `values=None` means no restriction."""
     if values is None:
         return F.lit(True)
+    if isinstance(values, str):
+        values = (values,)
     return left(c, 1).isin(list(values))
 
 

@@ -55,3 +55,11 @@ def test_isnull_default(spark):
     df = spark.createDataFrame([(None,), ("Not Available",)], "n string")
     assert rows(df.groupBy("n").count(), "n") == [("Not Available",), (None,)]
     assert [r[0] for r in df.select(isnull("n", "Not Available")).collect()] == ["Not Available", "Not Available"]
+
+
+def test_multi_value_parameters_accept_a_bare_string(spark):
+    from hourglass.functions import first_char_in, in_list
+
+    df = spark.createDataFrame([("73113", "5A"), ("7", "55"), ("99", "6")], "p string, w string")
+    assert rows(df.where(in_list("p", "73113")), "p") == [("73113",)]
+    assert rows(df.where(first_char_in("w", "5")), "w") == [("55",), ("5A",)]
