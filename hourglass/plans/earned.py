@@ -7,14 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.functions import concat_null, in_list, isnull
+from hourglass.functions import concat_null, isnull
 from hourglass.operators import conditional_sums
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans.calendar import period_rollup_table, resolve_periods
 from hourglass.plans.gate import use_live_sources
-from hourglass.plans.ledger import EARNED, LEDGER_SCHEMA, Branch, build_ledger, scope
+from hourglass.plans.ledger import EARNED, Branch, build_ledger, scope
 from hourglass.sources.catalog import ProjectSources, live_scan, snapshot_scan
-from hourglass.operators import append_typed
 
 DEC = "decimal(19,6)"
 # Budget column per requested baseline (Daily branch, current rows).
@@ -175,7 +174,3 @@ def ledger_only(src: ProjectSources, params: ReportParams, live: bool | None = N
         live = use_live_sources(src.snapshot_period, params.period)
     br = Branch(src, params, periods, live)
     return build_ledger(br, earned=earned_arm(br, src.time_phase_period))
-
-
-__all__ = ["earned_value_rows", "earned_arm", "project_report", "ev_report", "ledger_only", "LEDGER_SCHEMA",
-           "append_typed", "in_list"]

@@ -21,7 +21,7 @@ from hourglass.operators import (append_typed, conditional_sums, null_aware_anti
                                  top1_per_group, update_from_join, ordinal)
 from hourglass.params import ProfileParams, ReportParams, ResolvedPeriods
 from hourglass.plans import calendar as cal_plans
-from hourglass.plans.earned import earned_value_rows, ev_report, ledger_only, work_packages
+from hourglass.plans.earned import earned_value_rows, ev_report, ledger_only, measures, work_packages
 from hourglass.plans.gate import gate_frame, use_live_sources
 from hourglass.plans.ledger import (LEDGER_SCHEMA, Branch, actuals_cascade, baseline_selection,
                                     forecast_remaining_burn, l3_rollup, planned_and_budget, scope, work_package_map)
@@ -152,7 +152,6 @@ def q_conditional_measure_pivot(spark, d):
         F.col("p_type").alias("ProjectNumber"), F.col("p_brand").alias("Activity_ID"), F.col("p_brand").alias("Activity_Name"),
         right(F.col("p_size").cast("string"), 1).alias("PIEPCCC"), work_week_code("l_shipdate").alias("WorkWeek"),
         F.col("l_quantity").cast(D).alias("Hours"), F.col("l_extendedprice").cast(D).alias("HoursLTD"), typ.alias("Type"))
-    from hourglass.plans.earned import measures
     out = conditional_sums(led, ["ProjectNumber", "Activity_ID", "PIEPCCC"], measures(PIVOT_WEEKS))
     return _cast(out, [c for c in out.columns if c not in ("ProjectNumber", "Activity_ID", "PIEPCCC")], D38)
 
