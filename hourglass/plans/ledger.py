@@ -187,27 +187,42 @@ def planned_and_budget(br: Branch) -> list[DataFrame]:
 def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
     """Forecast, Remaining and burn rate (this period) and Forecast/Remaining Last.
 
-    One join and one partial aggregate per snapshot feeds all arms of that snapshot."""
-    p = br.params
-    out = []
-    for acts, tp, tags in ((br.l2_now(), br.tp_now(), (FORECAST, REMAINING)),
-                           (br.l2_last(), br.tp_last(), (FORECAST_LAST, REMAINING_LAST))):
-        a = scope(acts, p).select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
-        j = size_checked_join(tp.where(F.col("BR_Resource_Type") == LABOUR), a, "Activity_Key",
-                              ["Activity_Key", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
-        g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
+    Weekly: this period's and last period's time-phase live in one table, so both
+    snapshots are read in one scan, joined to their activities on (activity, snapshot)
+    and summed once; the four arms are stacked out of that aggregate. Live/Daily: this
+    period comes from the daily table, so the two snapshots are two passes. The burn rate
+    reads the stacked Forecast rows (its exchange is reused)."""
+    p, per = br.params, br.periods
+    cols = ["Activity_Key", "Snapshot_Date", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC"]
+    labour = F.col("BR_Resource_Type") == LABOUR
+    if br.live:
+        passes = [(br.l2_now(), br.tp_now(), [(FORECAST, "f", None), (REMAINING, "r", None)]),
+                  (br.l2_last(), br.tp_last(), [(FORECAST_LAST, "f", None), (REMAINING_LAST, "r", None)])]
+    else:
+        both = [per.period, per.last_period]
+        passes = [(snapshot_scan(br.need("activity_l2_weekly"), both), snapshot_scan(br.need("time_phase_weekly"), both),
+                   [(FORECAST, "f", per.period), (REMAINING, "r", per.period),
+                    (FORECAST_LAST, "f", per.last_period), (REMAINING_LAST, "r", per.last_period)])]
+    out, forecast = [], None
+    for acts, tp, arms in passes:
+        a = scope(acts, p).select(*cols)
+        if br.live:  # one snapshot per pass, as in the report: join on the activity alone
+            a, keys, pre = a.drop("Snapshot_Date"), "Activity_Key", ["Activity_Key", "BR_WorkWeek"]
+        else:
+            keys, pre = ["Activity_Key", "Snapshot_Date"], ["Activity_Key", "Snapshot_Date", "BR_WorkWeek"]
+        j = size_checked_join(tp.where(labour), a, keys, pre, ["Planned_Hours", "Remaining_Hours"])
+        snap = [] if br.live else [F.col("Snapshot_Date")]
+        g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek"), *snap).agg(
             resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
-        stacked = _stacked(g, [(tags[0], "f", F.lit(True)), (tags[1], "r", F.lit(True))])
+        present = [(t, c, F.lit(True) if d is None else F.col("Snapshot_Date") == F.lit(d)) for t, c, d in arms]
+        stacked = _stacked(g, present)
         out.append(stacked)
-        if tags[0] == FORECAST:
-            # read the stacked Forecast rows, not `g` pruned to one column: the plan under the
-            # explode is then the forecast arm's own, and its exchange is reused at run time
-            fc = stacked.where(F.col("Type") == FORECAST).withColumnRenamed("Hours", "h")
-            burn = two_level_ratio(
-                fc, ["ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC"],
-                ["ProjectNumber", "PIEPCCC"], "h", "WorkWeek", {"Activity_ID": "dummy", "Activity_Name": "dummy"},
-                out="rate")
-            out.append(_arm(burn, F.col("rate"), F.lit(0), BURN, week=F.lit(p.burn_week)))
+        if any(t == FORECAST for t, _, _ in arms):
+            forecast = stacked.where(F.col("Type") == FORECAST).withColumnRenamed("Hours", "h")
+    burn = two_level_ratio(
+        forecast, ["ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC"], ["ProjectNumber", "PIEPCCC"], "h",
+        "WorkWeek", {"Activity_ID": "dummy", "Activity_Name": "dummy"}, out="rate")
+    out.append(_arm(burn, F.col("rate"), F.lit(0), BURN, week=F.lit(p.burn_week)))
     return out
 
 
