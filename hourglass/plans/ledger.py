@@ -114,15 +114,17 @@ def _arm(df: DataFrame, hours: Column, hours_ltd: Column, type_: str, week: Colu
         hours.alias("Hours"), hours_ltd.alias("HoursLTD"), F.lit(type_).alias("Type"))
 
 
-def _stacked(g: DataFrame, arms: list[tuple[str, str, Column]]) -> DataFrame:
+def _stacked(g: DataFrame, arms: list[tuple[str, str, Column]], carry: tuple[str, ...] = ()) -> DataFrame:
     """Several ledger arms from one aggregate: each group row is exploded into one row per
     arm present in it (type tag, hours). Because every arm's column is consumed by the same
     plan, the aggregate (and the scan and join under it) runs once; separate filtered
-    copies would each be pruned to their own column and computed again."""
+    copies would each be pruned to their own column and computed again. `carry` keeps
+    extra grouping columns for consumers that need them."""
     parts = F.array(*[F.struct(F.lit(tag).alias("t"), F.col(hours).cast("decimal(38,6)").alias("h"), present.alias("k"))
                       for tag, hours, present in arms])
-    out = g.select(*KEYS, F.explode(parts).alias("_a")).where(F.col("_a.k"))
-    return out.select(*KEYS, F.col("_a.h").alias("Hours"), F.lit(0).alias("HoursLTD"), F.col("_a.t").alias("Type"))
+    out = g.select(*KEYS, *carry, F.explode(parts).alias("_a")).where(F.col("_a.k"))
+    return out.select(*KEYS, F.col("_a.h").alias("Hours"), F.lit(0).alias("HoursLTD"), F.col("_a.t").alias("Type"),
+                      *carry)
 
 
 def _act_cols(a: DataFrame) -> list[Column]:
@@ -184,6 +186,75 @@ def planned_and_budget(br: Branch) -> list[DataFrame]:
     return [_stacked(g, [(PLANNED, "planned", F.col("n_planned") > 0), (BUDGET, "budget", F.col("n_budget") > 0)])]
 
 
+L3_PART = "_l3"  # internal tag: L3 hours carried through the shared time-phase pass
+
+
+def _l3_scope(l3: DataFrame, p: ReportParams) -> DataFrame:
+    return l3.where((F.col("BR_IsOPGSupport") == 0) & in_list("BR_ProjectNumber", p.projects)
+                    & lacks_suffix("BR_NR_EXECUTION_WINDOWS_Val") & in_list("BR_PIEPCCC", p.piepccc)
+                    & F.col("Activity_Type").isin(*L3_TYPES))
+
+
+def _credit_l3(l3_hours: DataFrame, package_map: DataFrame) -> DataFrame:
+    """L3 hours (project, PIEPCCC, package, snapshot, week) credited to the mapped L2 package."""
+    m = package_map.select(F.col("Snapshot_Date").alias("m_date"), F.col("BR_L2WorkPackage").alias("m_pkg"),
+                           F.col("Activity_ID").alias("m_id"), F.col("Activity_Name").alias("m_name"))
+    j = l3_hours.join(m, (F.col("pkg") == F.col("m_pkg")) & (F.col("Snapshot_Date") == F.col("m_date")), "left")
+    act_id = isnull("m_id", concat_null(F.col("ProjectNumber"), F.col("PIEPCCC"), "xxxx"))
+    g = j.groupBy("ProjectNumber", act_id.alias("Activity_ID"), isnull("m_name", "Not Available").alias("Activity_Name"),
+                  "WorkWeek", "PIEPCCC").agg(F.sum("Hours").alias("h"))
+    return _arm(g, F.col("h"), F.lit(0), FORECAST_L3)
+
+
+def _burn(forecast_rows: DataFrame, p: ReportParams) -> DataFrame:
+    fc = forecast_rows.withColumnRenamed("Hours", "h")
+    burn = two_level_ratio(
+        fc, ["ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC"], ["ProjectNumber", "PIEPCCC"], "h",
+        "WorkWeek", {"Activity_ID": "dummy", "Activity_Name": "dummy"}, out="rate")
+    return _arm(burn, F.col("rate"), F.lit(0), BURN, week=F.lit(p.burn_week))
+
+
+def weekly_time_phase_arms(br: Branch, package_map: DataFrame | None = None) -> dict[str, list[DataFrame]]:
+    """Weekly branch: Forecast, Remaining, their Last twins, the burn rate and the L3
+    roll-up from ONE read of the time-phase fact (this and last period's partitions).
+
+    The fact is joined once to the union of this and last period's L2 activities and this
+    period's L3 activities (tagged by level, on activity and snapshot), summed once, and
+    every arm is stacked out of that aggregate; consumers read the stacked rows, so the
+    aggregate's exchange is shared instead of the fact being read per arm."""
+    p, per = br.params, br.periods
+    both = [per.period, per.last_period]
+    null_s = F.lit(None).cast("string")
+    l2 = scope(snapshot_scan(br.need("activity_l2_weekly"), both), p).select(
+        "Activity_Key", "Snapshot_Date", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC",
+        null_s.alias("pkg"), F.lit(2).alias("lvl"))
+    l3 = _l3_scope(snapshot_scan(br.need("activity_l3_weekly"), per.period), p).select(
+        "Activity_Key", "Snapshot_Date", "BR_ProjectNumber", null_s.alias("Activity_ID"), null_s.alias("Activity_Name"),
+        "BR_PIEPCCC", F.col("BR_L2WorkPackage").alias("pkg"), F.lit(3).alias("lvl"))
+    tp = snapshot_scan(br.need("time_phase_weekly"), both).where(F.col("BR_Resource_Type") == LABOUR)
+    j = size_checked_join(tp, l2.unionByName(l3), ["Activity_Key", "Snapshot_Date"],
+                          ["Activity_Key", "Snapshot_Date", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
+    g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek"), "Snapshot_Date", "pkg", "lvl").agg(
+        resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
+    is_l2, now, last = F.col("lvl") == 2, F.col("Snapshot_Date") == F.lit(per.period), F.col("Snapshot_Date") == F.lit(per.last_period)
+    stacked = _stacked(g, [(FORECAST, "f", is_l2 & now), (REMAINING, "r", is_l2 & now), (FORECAST_LAST, "f", is_l2 & last),
+                           (REMAINING_LAST, "r", is_l2 & last), (L3_PART, "f", F.col("lvl") == 3)],
+                       carry=("Snapshot_Date", "pkg"))
+    ledger_rows = stacked.where(F.col("Type") != L3_PART).select(*KEYS, "Hours", "HoursLTD", "Type")
+    burn = _burn(stacked.where(F.col("Type") == FORECAST), p)
+    pm = package_map if package_map is not None else work_package_map(br)
+    l3_arm = _credit_l3(stacked.where(F.col("Type") == L3_PART), snapshot_scan(pm, per.period))
+    return {"forecast": [ledger_rows], "burn": [burn], "l3": [l3_arm]}
+
+
+def time_phase_arms(br: Branch, package_map: DataFrame | None = None) -> dict[str, list[DataFrame]]:
+    """The time-phased ledger arms of either branch (Forecast family, burn rate, L3)."""
+    if not br.live:
+        return weekly_time_phase_arms(br, package_map)
+    fam = forecast_remaining_burn(br)
+    return {"forecast": fam[:-1], "burn": fam[-1:], "l3": [l3_rollup(br, package_map or work_package_map(br))]}
+
+
 def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
     """Forecast, Remaining and burn rate (this period) and Forecast/Remaining Last.
 
@@ -192,6 +263,9 @@ def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
     and summed once; the four arms are stacked out of that aggregate. Live/Daily: this
     period comes from the daily table, so the two snapshots are two passes. The burn rate
     reads the stacked Forecast rows (its exchange is reused)."""
+    if not br.live:
+        arms = weekly_time_phase_arms(br)
+        return arms["forecast"] + arms["burn"]
     p, per = br.params, br.periods
     cols = ["Activity_Key", "Snapshot_Date", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC"]
     labour = F.col("BR_Resource_Type") == LABOUR
@@ -228,6 +302,8 @@ def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
 
 def l3_rollup(br: Branch, package_map: DataFrame) -> DataFrame:
     """L3 forecast credited to the mapped L2 package, else `project+PIEPCCC+'xxxx'`."""
+    if not br.live:
+        return weekly_time_phase_arms(br, package_map)["l3"][0]
     p = br.params
     tp, l3 = br.l3_with_time_phase()
     l3 = l3.where((F.col("BR_IsOPGSupport") == 0) & in_list("BR_ProjectNumber", p.projects)
@@ -328,8 +404,8 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
 
 def build_ledger(br: Branch, earned: DataFrame | None = None) -> DataFrame:
     """All ledger arms conformed to the declared ledger schema and unioned."""
-    arms = planned_and_budget(br) + actuals_cascade(br) + forecast_remaining_burn(br)
-    arms.append(l3_rollup(br, work_package_map(br)))
+    tp_arms = time_phase_arms(br)
+    arms = planned_and_budget(br) + actuals_cascade(br) + tp_arms["forecast"] + tp_arms["burn"] + tp_arms["l3"]
     if earned is not None:
         arms.append(earned)
     return append_typed(arms, LEDGER_SCHEMA)
