@@ -76,3 +76,29 @@ def test_checkpointed_ledger_gives_the_same_report(spark):
     cut = ev_report(src, R.EV_PARAMS, sort=False, checkpoint_ledger=True)
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(lazy.collect(), key=key) == sorted(cut.collect(), key=key)
+
+
+def test_report_reads_each_fact_once(spark):
+    """Executed (final adaptive) plan of the Weekly report: one scan of the time-phase fact
+    and of each actual-hour feed."""
+    import collections
+    import contextlib
+    import io
+    import re
+
+    df = R.QUERIES["ev_project_report"](spark, SF)
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
+    names = {}
+    for block in text.split("\n\n"):
+        m = re.match(r"\((\d+)\) Scan parquet", block.strip())
+        if m:
+            loc = re.search(r"/([a-z0-9_]+)\]", block)
+            names[m.group(1)] = loc.group(1) if loc else "?"
+    final = text.split("== Initial Plan ==")[0]
+    scans = collections.Counter(names.get(m.group(1)) for m in re.finditer(r"Scan parquet\s+\((\d+)\)", final))
+    for fact in ("time_phase_weekly", "weekly_burden", "actual_hour", "fin_transaction", "timesheet"):
+        assert scans[fact] == 1, (fact, dict(scans))
