@@ -73,10 +73,6 @@ class Branch:
     def l2_last(self) -> DataFrame:
         return snapshot_scan(self.need("activity_l2_weekly"), self.periods.last_period)
 
-    def tp_now(self) -> DataFrame:
-        tp = self.need("time_phase_daily") if self.live else self.need("time_phase_weekly")
-        return snapshot_scan(tp, self.periods.period)
-
     def tp_last(self) -> DataFrame:
         return snapshot_scan(self.need("time_phase_weekly"), self.periods.last_period)
 
@@ -85,15 +81,6 @@ class Branch:
             return self.need("time_phase_baseline")
         return snapshot_scan(self.need("time_phase_baseline_weekly"), self.periods.period)
 
-    def l3_with_time_phase(self) -> DataFrame:
-        if self.live:
-            tp = live_scan(self.need("time_phase_daily"))
-            l3 = live_scan(self.need("activity_l3_daily"))
-        else:
-            tp = snapshot_scan(self.need("time_phase_weekly"), self.periods.period)
-            l3 = snapshot_scan(self.need("activity_l3_weekly"), self.periods.period)
-        return tp, l3
-
 
 def scope(df: DataFrame, p: ReportParams, wbs_only: bool = True, level: bool = True) -> DataFrame:
     """The report's L2 filter: level '2', TT_WBS, window code not ending in C, PIEPCCC and
@@ -247,82 +234,68 @@ def weekly_time_phase_arms(br: Branch, package_map: DataFrame | None = None) ->
     return {"forecast": [ledger_rows], "burn": [burn], "l3": [l3_arm]}
 
 
+def live_time_phase_arms(br: Branch, package_map: DataFrame | None = None) -> dict[str, list[DataFrame]]:
+    """Live/Daily branch: this period's Forecast and Remaining, the burn rate and the L3
+    roll-up from ONE read of the daily time-phase fact; the "Last" arms read the weekly
+    fact at the last period.
+
+    The daily rows dated the period meet the Live L2 activities on the activity alone (as
+    the report joins them); the Live daily rows meet the Live L3 activities on activity
+    and snapshot. Both are one join on the activity key with a residual condition per
+    level, summed once and stacked."""
+    p, per = br.params, br.periods
+    null_s = F.lit(None).cast("string")
+    l2 = scope(live_scan(br.need("activity_l2_daily")), p).select(
+        "Activity_Key", F.lit(None).cast("date").alias("a_date"), "BR_ProjectNumber", "Activity_ID", "Activity_Name",
+        "BR_PIEPCCC", null_s.alias("pkg"), F.lit(2).alias("lvl"))
+    l3 = _l3_scope(live_scan(br.need("activity_l3_daily")), p).select(
+        "Activity_Key", F.col("Snapshot_Date").alias("a_date"), "BR_ProjectNumber", null_s.alias("Activity_ID"),
+        null_s.alias("Activity_Name"), "BR_PIEPCCC", F.col("BR_L2WorkPackage").alias("pkg"), F.lit(3).alias("lvl"))
+    tp = br.need("time_phase_daily").where(
+        ((F.col("Snapshot_Date") == F.lit(per.period)) | (F.col("Snapshot_Period") == "Live"))
+        & (F.col("BR_Resource_Type") == LABOUR))
+    acts = l2.unionByName(l3).withColumnRenamed("Activity_Key", "a_key")
+    on = (F.col("Activity_Key") == F.col("a_key")) & (
+        ((F.col("lvl") == 2) & (F.col("Snapshot_Date") == F.lit(per.period)))
+        | ((F.col("lvl") == 3) & (F.col("Snapshot_Period") == "Live") & (F.col("Snapshot_Date") == F.col("a_date"))))
+    j = size_checked_join(tp, acts, on, ["Activity_Key", "Snapshot_Date", "Snapshot_Period", "BR_WorkWeek"],
+                          ["Planned_Hours", "Remaining_Hours"])
+    g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek"), "Snapshot_Date", "pkg", "lvl").agg(
+        resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
+    is_l2 = F.col("lvl") == 2
+    stacked = _stacked(g, [(FORECAST, "f", is_l2), (REMAINING, "r", is_l2), (L3_PART, "f", F.col("lvl") == 3)],
+                       carry=("Snapshot_Date", "pkg"))
+    now_rows = stacked.where(F.col("Type") != L3_PART).select(*KEYS, "Hours", "HoursLTD", "Type")
+    burn = _burn(stacked.where(F.col("Type") == FORECAST), p)
+    pm = package_map if package_map is not None else work_package_map(br)
+    l3_arm = _credit_l3(stacked.where(F.col("Type") == L3_PART), pm)
+    # last period: weekly fact and weekly activities, one pass
+    a = scope(br.l2_last(), p).select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
+    jl = size_checked_join(br.tp_last().where(F.col("BR_Resource_Type") == LABOUR), a, "Activity_Key",
+                           ["Activity_Key", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
+    gl = jl.groupBy(*_act_cols(jl), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
+        resum(jl, "Planned_Hours").alias("f"), resum(jl, "Remaining_Hours").alias("r"))
+    last_rows = _stacked(gl, [(FORECAST_LAST, "f", F.lit(True)), (REMAINING_LAST, "r", F.lit(True))])
+    return {"forecast": [now_rows, last_rows], "burn": [burn], "l3": [l3_arm]}
+
+
 def time_phase_arms(br: Branch, package_map: DataFrame | None = None) -> dict[str, list[DataFrame]]:
     """The time-phased ledger arms of either branch (Forecast family, burn rate, L3)."""
-    if not br.live:
-        return weekly_time_phase_arms(br, package_map)
-    fam = forecast_remaining_burn(br)
-    return {"forecast": fam[:-1], "burn": fam[-1:], "l3": [l3_rollup(br, package_map or work_package_map(br))]}
+    if br.live:
+        return live_time_phase_arms(br, package_map)
+    return weekly_time_phase_arms(br, package_map)
 
 
 def forecast_remaining_burn(br: Branch) -> list[DataFrame]:
-    """Forecast, Remaining and burn rate (this period) and Forecast/Remaining Last.
-
-    Weekly: this period's and last period's time-phase live in one table, so both
-    snapshots are read in one scan, joined to their activities on (activity, snapshot)
-    and summed once; the four arms are stacked out of that aggregate. Live/Daily: this
-    period comes from the daily table, so the two snapshots are two passes. The burn rate
-    reads the stacked Forecast rows (its exchange is reused)."""
-    if not br.live:
-        arms = weekly_time_phase_arms(br)
-        return arms["forecast"] + arms["burn"]
-    p, per = br.params, br.periods
-    cols = ["Activity_Key", "Snapshot_Date", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC"]
-    labour = F.col("BR_Resource_Type") == LABOUR
-    if br.live:
-        passes = [(br.l2_now(), br.tp_now(), [(FORECAST, "f", None), (REMAINING, "r", None)]),
-                  (br.l2_last(), br.tp_last(), [(FORECAST_LAST, "f", None), (REMAINING_LAST, "r", None)])]
-    else:
-        both = [per.period, per.last_period]
-        passes = [(snapshot_scan(br.need("activity_l2_weekly"), both), snapshot_scan(br.need("time_phase_weekly"), both),
-                   [(FORECAST, "f", per.period), (REMAINING, "r", per.period),
-                    (FORECAST_LAST, "f", per.last_period), (REMAINING_LAST, "r", per.last_period)])]
-    out, forecast = [], None
-    for acts, tp, arms in passes:
-        a = scope(acts, p).select(*cols)
-        if br.live:  # one snapshot per pass, as in the report: join on the activity alone
-            a, keys, pre = a.drop("Snapshot_Date"), "Activity_Key", ["Activity_Key", "BR_WorkWeek"]
-        else:
-            keys, pre = ["Activity_Key", "Snapshot_Date"], ["Activity_Key", "Snapshot_Date", "BR_WorkWeek"]
-        j = size_checked_join(tp.where(labour), a, keys, pre, ["Planned_Hours", "Remaining_Hours"])
-        snap = [] if br.live else [F.col("Snapshot_Date")]
-        g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek"), *snap).agg(
-            resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
-        present = [(t, c, F.lit(True) if d is None else F.col("Snapshot_Date") == F.lit(d)) for t, c, d in arms]
-        stacked = _stacked(g, present)
-        out.append(stacked)
-        if any(t == FORECAST for t, _, _ in arms):
-            forecast = stacked.where(F.col("Type") == FORECAST).withColumnRenamed("Hours", "h")
-    burn = two_level_ratio(
-        forecast, ["ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC"], ["ProjectNumber", "PIEPCCC"], "h",
-        "WorkWeek", {"Activity_ID": "dummy", "Activity_Name": "dummy"}, out="rate")
-    out.append(_arm(burn, F.col("rate"), F.lit(0), BURN, week=F.lit(p.burn_week)))
-    return out
-
-
-def l3_rollup(br: Branch, package_map: DataFrame) -> DataFrame:
-    """L3 forecast credited to the mapped L2 package, else `project+PIEPCCC+'xxxx'`."""
-    if not br.live:
-        return weekly_time_phase_arms(br, package_map)["l3"][0]
-    p = br.params
-    tp, l3 = br.l3_with_time_phase()
-    l3 = l3.where((F.col("BR_IsOPGSupport") == 0) & in_list("BR_ProjectNumber", p.projects)
-                  & lacks_suffix("BR_NR_EXECUTION_WINDOWS_Val") & in_list("BR_PIEPCCC", p.piepccc)
-                  & F.col("Activity_Type").isin(*L3_TYPES))
-    l3 = l3.select("Activity_Key", "Snapshot_Date", "BR_ProjectNumber", "BR_PIEPCCC", "BR_L2WorkPackage")
-    m = package_map
-    if not br.live:
-        m = snapshot_scan(m, br.periods.period)
-    m = m.select(F.col("Snapshot_Date").alias("m_date"), F.col("BR_L2WorkPackage").alias("m_pkg"),
-                 F.col("Activity_ID").alias("m_id"), F.col("Activity_Name").alias("m_name"))
-    j = (size_checked_join(tp.where(F.col("BR_Resource_Type") == LABOUR), l3, ["Activity_Key", "Snapshot_Date"],
-                           ["Activity_Key", "Snapshot_Date", "BR_WorkWeek"], ["Planned_Hours"])
-         .join(m, (F.col("BR_L2WorkPackage") == F.col("m_pkg")) & (F.col("Snapshot_Date") == F.col("m_date")), "left"))
-    act_id = isnull("m_id", concat_null(F.col("BR_ProjectNumber"), F.col("BR_PIEPCCC"), "xxxx"))
-    g = j.groupBy(F.col("BR_ProjectNumber").alias("ProjectNumber"), act_id.alias("Activity_ID"),
-                  isnull("m_name", "Not Available").alias("Activity_Name"), F.col("BR_WorkWeek").alias("WorkWeek"),
-                  F.col("BR_PIEPCCC").alias("PIEPCCC")).agg(resum(j, "Planned_Hours").alias("h"))
-    return _arm(g, F.col("h"), F.lit(0), FORECAST_L3)
+    """Forecast, Remaining, their Last twins and the burn rate (from the shared pass)."""
+    arms = time_phase_arms(br)
+    return arms["forecast"] + arms["burn"]
+
+
+def l3_rollup(br: Branch, package_map: DataFrame | None = None) -> DataFrame:
+    """L3 forecast credited to the mapped L2 package, else `project+PIEPCCC+'xxxx'`
+    (from the shared pass)."""
+    return time_phase_arms(br, package_map)["l3"][0]
 
 
 # ------------------------------------------------------------------------ actuals cascade
