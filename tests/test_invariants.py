@@ -78,15 +78,20 @@ def test_checkpointed_ledger_gives_the_same_report(spark):
     assert sorted(lazy.collect(), key=key) == sorted(cut.collect(), key=key)
 
 
-def test_report_reads_each_fact_once(spark):
-    """Executed (final adaptive) plan of the Weekly report: one scan of the time-phase fact
-    and of each actual-hour feed."""
+@pytest.mark.parametrize("key, facts", [
+    ("ev_project_report", ("time_phase_weekly", "weekly_burden", "actual_hour", "fin_transaction", "timesheet")),
+    ("ev_project_report_live", ("time_phase_daily", "time_phase_weekly", "weekly_burden", "actual_hour",
+                                "fin_transaction", "timesheet")),
+])
+def test_report_reads_each_fact_once(spark, key, facts):
+    """Executed (final adaptive) plan of each report branch: one scan of each time-phase
+    fact and of each actual-hour feed."""
     import collections
     import contextlib
     import io
     import re
 
-    df = R.QUERIES["ev_project_report"](spark, SF)
+    df = R.QUERIES[key](spark, SF)
     df.collect()
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -100,5 +105,5 @@ def test_report_reads_each_fact_once(spark):
             names[m.group(1)] = loc.group(1) if loc else "?"
     final = text.split("== Initial Plan ==")[0]
     scans = collections.Counter(names.get(m.group(1)) for m in re.finditer(r"Scan parquet\s+\((\d+)\)", final))
-    for fact in ("time_phase_weekly", "weekly_burden", "actual_hour", "fin_transaction", "timesheet"):
+    for fact in facts:
         assert scans[fact] == 1, (fact, dict(scans))
