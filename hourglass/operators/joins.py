@@ -56,17 +56,19 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def size_checked_join(fact: DataFrame, dim: DataFrame, on, pre_keys, pre_cols, how: str = "inner") -> DataFrame:
-    """Join a fact to a dimension-like side, choosing the plan by the side's checked size.
+    """Join a fact to a dimension-like side, choosing the plan shape by the side's size.
 
-    * side within the broadcast threshold: broadcast it; the join is map-side and the
-      caller's aggregate runs partially right after it, so no extra shuffle is added;
+    * side estimated within the broadcast threshold: join the raw fact; Spark plans a
+      broadcast from the same estimate, the join is map-side and the caller's aggregate
+      runs partially right after it. No hint is forced: an estimate is not a proven bound,
+      and without a hint AQE can still re-plan from the measured size;
     * larger side: first sum the fact to its join/group grain (`pre_sum`), so the
       shuffle join moves one row per key instead of one per fact row.
     The caller aggregates with `resum`, which reads either form."""
     from hourglass.operators.aggregates import pre_sum
 
     if fits_broadcast(dim):
-        return fact.join(F.broadcast(dim), on, how)
+        return fact.join(dim, on, how)
     return pre_sum(fact, pre_keys, pre_cols).join(dim, on, how)
 
 
