@@ -223,7 +223,8 @@ def weekly_time_phase_arms(br: Branch, package_map: DataFrame | None = None) ->
                           ["Activity_Key", "Snapshot_Date", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
     g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek"), "Snapshot_Date", "pkg", "lvl").agg(
         resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
-    is_l2, now, last = F.col("lvl") == 2, F.col("Snapshot_Date") == F.lit(per.period), F.col("Snapshot_Date") == F.lit(per.last_period)
+    is_l2 = F.col("lvl") == 2
+    now, last = F.col("Snapshot_Date") == F.lit(per.period), F.col("Snapshot_Date") == F.lit(per.last_period)
     stacked = _stacked(g, [(FORECAST, "f", is_l2 & now), (REMAINING, "r", is_l2 & now), (FORECAST_LAST, "f", is_l2 & last),
                            (REMAINING_LAST, "r", is_l2 & last), (L3_PART, "f", F.col("lvl") == 3)],
                        carry=("Snapshot_Date", "pkg"))
