@@ -3,7 +3,7 @@
 There is no project data in the test environment, so each source view is derived from
 `lineitem`, `orders`, `part`, `supplier`, `nation` and `region` by fixed rules. Every view is
 computed from the whole tables; none is sampled or capped. The same rules are written
-independently as SQL in `hourglass/oracle.py` for the DuckDB comparison.
+independently as SQL in `hourglass_oracles.py` for the DuckDB comparison.
 
 Rules (fixed values that the oracle SQL repeats):
   project         = p_type                      activity key  = part key

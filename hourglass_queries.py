@@ -2,7 +2,7 @@
 (directly, or through the stand-in source views of `hourglass.sources.standins`).
 
 Every query reads whole tables. Report parameters are fixed values shared with
-`oracles.py`: EV period 2000-01-01 (Weekly branch), profile CW 2000-01-01 with report
+`hourglass_oracles.py`: EV period 2000-01-01 (Weekly branch), profile CW 2000-01-01 with report
 mode '0' and as-of year 2000, graph 199601..200112.
 """
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-import registered as R
+import hourglass_queries as R
 from hourglass.plans.earned import earned_arm, project_report
 from hourglass.plans.ledger import build_ledger
 from hourglass.plans.profile import resource_profile_parts
