@@ -82,8 +82,10 @@ def asof_max(probes: DataFrame, probe_col: str, ref: DataFrame, ref_key: str, va
     """
     from pyspark.sql import Window
 
-    r = ref.select(F.col(ref_key).cast("date").alias("_k"), F.lit(0).alias("_probe"), F.col(value).alias("_v"),
-                   *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in probes.columns])
+    # a NULL key never satisfies `key <= probe`
+    r = ref.where(F.col(ref_key).isNotNull()).select(
+        F.col(ref_key).cast("date").alias("_k"), F.lit(0).alias("_probe"), F.col(value).alias("_v"),
+        *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in probes.columns])
     p = probes.select(F.col(probe_col).cast("date").alias("_k"), F.lit(1).alias("_probe"),
                       F.lit(None).cast(ref.schema[value].dataType).alias("_v"), *probes.columns)
     w = Window.orderBy(F.col("_k").asc_nulls_first(), "_probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
