@@ -52,3 +52,23 @@ def test_asof_max_equals_correlated_max(spark, probes, ref):
     r_df.createOrReplaceTempView("ref_prop")
     want = spark.sql("SELECT p.id, p.d, (SELECT max(r.wk) FROM ref_prop r WHERE r.s <= p.d) AS w FROM p_prop p")
     assert rows(got, "id", "d", "w") == rows(want, "id", "d", "w")
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.sampled_from(["P", "Q"]), st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
+                               st.one_of(st.none(), st.sampled_from(["w1", "w2", "w3"])),
+                               st.one_of(st.none(), st.integers(min_value=-5, max_value=9))), min_size=1, max_size=20))
+def test_two_level_ratio_equals_two_group_bys(spark, data):
+    from pyspark.sql import functions as F
+
+    from hourglass.operators import two_level_ratio
+
+    df = spark.createDataFrame(data, "p string, act string, wk string, h int").withColumn("h", F.col("h").cast("decimal(19,6)"))
+    got = two_level_ratio(df, ["p", "act"], ["p"], "h", "wk", {"act": "dummy"}).select(
+        "p", "act", F.col("ratio").cast("decimal(38,6)").alias("ratio"))
+    df.createOrReplaceTempView("r_prop")
+    want = spark.sql("""
+        SELECT p, act, CAST(try_divide(sum(h), count(DISTINCT wk)) AS DECIMAL(38,6)) AS ratio FROM r_prop GROUP BY p, act
+        UNION ALL
+        SELECT p, 'dummy', CAST(try_divide(sum(h), count(DISTINCT wk)) AS DECIMAL(38,6)) FROM r_prop GROUP BY p""")
+    assert rows(got, "p", "act", "ratio") == rows(want, "p", "act", "ratio")
