@@ -72,3 +72,37 @@ def test_two_level_ratio_equals_two_group_bys(spark, data):
         UNION ALL
         SELECT p, 'dummy', CAST(try_divide(sum(h), count(DISTINCT wk)) AS DECIMAL(38,6)) FROM r_prop GROUP BY p""")
     assert rows(got, "p", "act", "ratio") == rows(want, "p", "act", "ratio")
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.sampled_from([dt.date(2017, 6, 2), dt.date(2017, 5, 26), dt.date(2017, 5, 19), None]),
+                               key, st.one_of(st.none(), st.integers(min_value=0, max_value=100)),
+                               st.one_of(st.none(), st.integers(min_value=0, max_value=50))), max_size=14),
+       no_last=st.booleans())
+def test_earned_value_rows_equal_three_join_form(spark, data, no_last):
+    from pyspark.sql import functions as F
+
+    from hourglass.plans.earned import earned_value_rows
+
+    cur, last = dt.date(2017, 6, 2), (None if no_last else dt.date(2017, 5, 26))
+    wp = spark.createDataFrame(
+        [(d, k, f"A{k}", "n", "P", "5", pct, units) for d, k, pct, units in data],
+        "Snapshot_Date date, Activity_Key int, Activity_ID string, Activity_Name string, BR_ProjectNumber string, "
+        "BR_PIEPCCC string, BR_Percent_Complete int, budget int").withColumn(
+        "BR_Percent_Complete", F.col("BR_Percent_Complete").cast("decimal(19,6)")).withColumn(
+        "budget", F.col("budget").cast("decimal(19,6)"))
+    got = earned_value_rows(wp, cur, last).select(
+        "Snapshot_Date", "Activity_ID", F.col("Earned_LTD").cast("double").alias("e"),
+        F.col("Earned_Last_LTD").cast("double").alias("el"))
+    wp.createOrReplaceTempView("wp_prop")
+    spark.createDataFrame([(cur, last)], "cur date, prev date").createOrReplaceTempView("map_prop")
+    want = spark.sql("""
+        SELECT coalesce(c.Snapshot_Date, back.cur) AS Snapshot_Date, coalesce(c.Activity_ID, q.Activity_ID) AS Activity_ID,
+               CAST(coalesce(c.budget, 0) * coalesce(c.BR_Percent_Complete, 0) / 100 AS DOUBLE) AS e,
+               CAST(coalesce(q.budget, 0) * coalesce(q.BR_Percent_Complete, 0) / 100 AS DOUBLE) AS el
+        FROM wp_prop c
+        LEFT JOIN map_prop fwd ON fwd.cur = c.Snapshot_Date
+        FULL OUTER JOIN wp_prop q ON q.Snapshot_Date = fwd.prev AND c.Activity_Key = q.Activity_Key
+        LEFT JOIN map_prop back ON q.Snapshot_Date = back.prev
+        WHERE coalesce(c.Snapshot_Date, back.cur) IS NOT NULL""")
+    assert rows(got, "Snapshot_Date", "Activity_ID", "e", "el") == rows(want, "Snapshot_Date", "Activity_ID", "e", "el")
