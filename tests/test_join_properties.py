@@ -106,3 +106,36 @@ def test_earned_value_rows_equal_three_join_form(spark, data, no_last):
         LEFT JOIN map_prop back ON q.Snapshot_Date = back.prev
         WHERE coalesce(c.Snapshot_Date, back.cur) IS NOT NULL""")
     assert rows(got, "Snapshot_Date", "Activity_ID", "e", "el") == rows(want, "Snapshot_Date", "Activity_ID", "e", "el")
+
+
+@settings(**SETTINGS)
+@given(target=st.lists(st.tuples(key, st.integers(min_value=0, max_value=3)), max_size=10),
+       source=st.lists(st.tuples(key, st.one_of(st.none(), st.integers(min_value=10, max_value=20))), max_size=8))
+def test_update_from_join_equals_python_model(spark, target, source):
+    from hourglass.operators import update_from_join
+
+    t = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(target)], "id int, k int, v int")
+    s = spark.createDataFrame(source, "k int, v int")
+    got = update_from_join(t, s, "k", "v")
+    # UPDATE t SET v = s.v FROM t JOIN s ON t.k = s.k: matched rows take a source value (the smallest, which is
+    # ours; T-SQL leaves the choice open); NULL keys never match; unmatched rows keep theirs
+    by_key = {}
+    for k, v in source:
+        if k is not None:
+            by_key.setdefault(k, []).append(v)
+    def pick(vals):
+        non_null = [x for x in vals if x is not None]
+        return min(non_null) if non_null else None
+    want = [(i, k, pick(by_key[k]) if k is not None and k in by_key else v) for i, (k, v) in enumerate(target)]
+    assert rows(got, "id", "k", "v") == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+@settings(**SETTINGS)
+@given(data=st.lists(st.tuples(st.one_of(st.none(), st.text(alphabet="ab", max_size=2)), key), min_size=1, max_size=10))
+def test_template_row_equals_order_by_limit(spark, data):
+    from hourglass.operators import template_row
+
+    df = spark.createDataFrame(data, "s string, n int")
+    df.createOrReplaceTempView("tr_prop")
+    want = spark.sql("SELECT * FROM tr_prop ORDER BY s ASC NULLS FIRST, n ASC NULLS FIRST LIMIT 1").collect()
+    assert template_row(df).collect() == want
