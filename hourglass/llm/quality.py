@@ -21,7 +21,7 @@ BITS = 18
 #: labelled documents the model is trained from, at most: those with the smallest hashes
 TRAIN_ROWS = 6_000
 #: FTRL-proximal parameters and passes over the training rows
-ALPHA, BETA, L1, L2, PASSES = 2.0, 1.0, 1e-4, 1e-4, 3
+ALPHA, BETA, L1, L2, PASSES = 2.0, 1.0, 1e-4, 1e-4, 2
 THRESHOLD = 0.7
 SEED = 11
 
@@ -92,15 +92,12 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, float]], bits: int = BITS)
         return np.where(np.abs(zs) <= L1, 0.0, -(zs - np.sign(zs) * L1) / ((BETA + np.sqrt(ns)) / ALPHA + L2))
 
     rng = np.random.default_rng(SEED)
-    share = max(sum(y for _, _, y in examples), 1) / max(len(examples), 1)
-    # both labels weigh as much in all: the rare one would be drowned else
-    heavy = {1.0: 0.5 / max(share, 1e-9), 0.0: 0.5 / max(1 - share, 1e-9)}
     for _ in range(PASSES):
         for k in rng.permutation(len(examples)):
             place, value, y = examples[k]
             at, x = np.append(place, size), np.append(value, 1.0)
             w = weights(at)
-            g = min(heavy[y], 10.0) * (_chance(float(w @ x)) - y) * x
+            g = (_chance(float(w @ x)) - y) * x
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - sigma * w
             n[at] += g * g
@@ -113,8 +110,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
-    """Weights from at most `rows` labelled documents outside the held-out fold: half of
-    them at most of either label, those with the smallest hashes of id and text.
+    """Weights from at most `rows` labelled documents outside the held-out fold, those
+    with the smallest hashes of the id, both labels in the shares that they have there.
 
     One task reads these rows, whose number is fixed. Null ids, texts and labels and
     labels other than 0 and 1 are not learnt from; an id with both labels is learnt as
@@ -123,8 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
     own = labels.select(F.col("doc_id").alias("_doc"), F.col("quality").cast("int").alias("y")).filter(
         F.col("_doc").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("_doc"))).distinct()
     order = F.xxhash64("_doc")
-    picked = [own.filter(F.col("y") == y).orderBy(order, "_doc").limit(rows // 2) for y in (0, 1)]
-    both = F.broadcast(picked[0].unionByName(picked[1]))  # `rows` rows of two numbers at most
+    both = F.broadcast(own.orderBy(order, "_doc", "y").limit(rows))  # `rows` rows of two numbers at most
     chosen = docs.select("doc_id", "text").filter("text IS NOT NULL").join(both, F.col("doc_id") == F.col("_doc"))
     chosen = chosen.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 

@@ -2,24 +2,59 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hourglass.llm import decontaminate, mixing, sharding, url_filter
+from hourglass.llm import (
+    decontaminate,
+    html_extract,
+    license_scan,
+    mixing,
+    near_dedup,
+    quality,
+    sharding,
+    token_count,
+    topk,
+    url_filter,
+)
 from hourglass.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=(85, 100)).drop("text_hash")
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("block_score")
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,4 +62,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_benchmark_decontamination, op5_source_mixing, op7_url_filter, op10_sharding)}
+    op1_license_scan, op2_benchmark_decontamination, op3_exact_top_k, op4_near_dedup, op5_source_mixing, op6_token_count,
+    op7_url_filter, op8_html_extraction, op9_quality_classifier, op10_sharding)}
