@@ -6,7 +6,7 @@ The second reads a piece byte by byte. Its state after a prefix is the last toke
 prefix's encoding, and each transition says how many tokens the prefix now has: the new
 last token is the one vocabulary suffix t whose remaining prefix ends in a token u such
 that the merges leave u, t as they are. Transitions are compiled when a piece first needs
-them and kept in a table of bounded size.
+them and kept, as are the counts of pieces, in tables of bounded size.
 
 A long text is cut into chunks anywhere, which any tasks may read in any order. What a chunk
 does to the state is a small map: the piece it finishes (head), the tokens of its inner
@@ -28,8 +28,10 @@ from hourglass.llm.common import sliced
 
 #: characters of a chunk; shorter texts are one chunk
 CHUNK = 1 << 16
-#: pieces whose counts and prefix states a worker keeps at most before it starts anew
-TABLE = 400_000
+#: pieces whose counts a worker keeps at most before it starts anew (about 150 bytes each)
+TABLE = 800_000
+#: longer pieces are not kept in the table
+LONG_PIECE = 32
 LIMIT = 512
 
 LETTER, NUMBER, MARK, SPACE, WHITE = range(5)
@@ -45,28 +47,37 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class PieceCounter:
-    """Counts the tokens of pieces by the prefix transducer."""
+class PieceCounter(dict):
+    """Token counts by piece, compiled when first asked for, in a table of bounded size.
+
+    Two neighbouring tokens u, t stay apart iff no merge across them comes up while they
+    are put together: of the tokens that end u (u, its right part, that one's right part,
+    ...) and those that start t, a pair with a merge that is due while both stand.
+    """
 
     def __init__(self, merges: list[tuple[bytes, bytes]], table: int = TABLE):
+        super().__init__()
         self.rank = {pair: k for k, pair in enumerate(merges)}
+        made = {a + b: k for k, (a, b) in reversed([*enumerate(merges)])}
+        if any(made.get(x, -1) >= k for k, pair in enumerate(merges) for x in pair if len(x) > 1):
+            raise ValueError("a merge comes before the merges that make its parts")
         self.whole = {a + b for a, b in merges} | {bytes([b]) for b in range(256)}
         self.longest = max(map(len, self.whole))
         self.suffixes = {t[k:] for t in self.whole for k in range(len(t))}
         self.table = table
+        self.last_merge: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self.ends: tuple[dict, dict] = ({}, {})
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.alone: dict[bytes, bool] = {}
-        self.counts: dict[bytes, int] = {}
-        self.states: dict[bytes, tuple[int, int]] = {b"": (0, 0)}
 
-    def merged(self, symbols: list[bytes]) -> list[bytes]:
-        """The merges applied in rank order: the definition, used on token pairs."""
+    def merged(self, symbols: list[bytes]) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
+        """The merges applied in rank order, by definition, and the last one applied."""
+        applied = None
         while len(symbols) > 1:
             best = min(range(len(symbols) - 1), key=lambda k: self.rank.get((symbols[k], symbols[k + 1]), 1 << 60))
             pair = (symbols[best], symbols[best + 1])
             if pair not in self.rank:
                 break
-            out, k = [], 0
+            out, k, applied = [], 0, pair
             while k < len(symbols):
                 if k + 1 < len(symbols) and (symbols[k], symbols[k + 1]) == pair:
                     out.append(pair[0] + pair[1])
@@ -75,21 +86,38 @@ class PieceCounter:
                     out.append(symbols[k])
                     k += 1
             symbols = out
-        return symbols
-
-    def _alone(self, t: bytes) -> bool:
-        known = self.alone.get(t)
+        return symbols, applied
+
+    def _made_of(self, t: bytes) -> tuple[bytes, bytes] | None:
+        """The two parts of a vocabulary entry; (t, b"") for a byte; None if the merges
+        never make t of its own bytes."""
+        if t not in self.last_merge:
+            symbols, applied = self.merged([t[k : k + 1] for k in range(len(t))])
+            self.last_merge[t] = (applied or (t, b"")) if symbols == [t] else None
+        return self.last_merge[t]
+
+    def _end(self, t: bytes, side: int) -> list[tuple[bytes, int]]:
+        """Tokens at one end of t, inner ones last, each with the rank that uses it up."""
+        known = self.ends[side].get(t)
         if known is None:
-            known = self.alone[t] = self.merged([t[k : k + 1] for k in range(len(t))]) == [t]
+            known, used = [(t, 1 << 60)], t
+            while len(used) > 1:
+                pair = self._made_of(used)
+                used = pair[side]
+                known.append((used, self.rank[pair]))
+            self.ends[side][t] = known
         return known
 
     def _fits(self, u: bytes, t: bytes) -> bool:
         known = self.fits.get((u, t))
         if known is None:
-            both = u + t
-            if len(self.fits) > 4 * self.table:
+            if len(self.fits) > 2 * self.table:
                 self.fits.clear()
-            known = self.fits[u, t] = self.merged([both[k : k + 1] for k in range(len(both))]) == [u, t]
+            due = self.rank.get
+            # equal merges apply from the left: u's own goes first, the one across before t's
+            known = self.fits[u, t] = not any(
+                due((a, b), 1 << 61) < used_a and due((a, b), 1 << 61) <= used_b
+                for a, used_a in self._end(u, 1) for b, used_b in self._end(t, 0))
         return known
 
     def _step(self, data: bytes, end: int, last: list[int], count: list[int]) -> None:
@@ -98,34 +126,26 @@ class PieceCounter:
             t = data[start:end]
             if t not in self.suffixes:
                 break
-            if t in self.whole and self._alone(t) and (start == 0 or self._fits(data[start - last[start] : start], t)):
+            if t in self.whole and self._made_of(t) and (start == 0 or self._fits(data[start - last[start] : start], t)):
                 last.append(end - start)
                 count.append(count[start] + 1)
                 return
         raise ValueError(f"no state follows on {data[:end]!r}")
 
-    def count(self, piece: bytes) -> int:
-        known = self.counts.get(piece)
-        if known is not None:
-            return known
-        if len(self.counts) > self.table or len(self.states) > 4 * self.table:
-            self.counts.clear()
-            self.states = {b"": (0, 0)}
-        last, count, n = [0], [0], len(piece)
-        keep = n <= 32  # states of long prefixes would hold their text once per byte
-        for end in range(1, n + 1):
-            state = self.states.get(piece[:end]) if keep else None
-            if state is None:
-                self._step(piece, end, last, count)
-                if keep:
-                    self.states[piece[:end]] = (last[-1], count[-1])
-            else:
-                last.append(state[0])
-                count.append(state[1])
-        if keep:
-            self.counts[piece] = count[-1]
+    def tokens(self, piece: bytes) -> int:
+        last, count = [0], [0]
+        for end in range(1, len(piece) + 1):
+            self._step(piece, end, last, count)
         return count[-1]
 
+    def __missing__(self, piece: str) -> int:
+        if len(self) > self.table:
+            self.clear()
+        n = self.tokens(piece.encode("utf-8", "surrogatepass"))
+        if len(piece) <= LONG_PIECE:
+            self[piece] = n
+        return n
+
 
 class Classes:
     """Class of each character, as the tokenizer's own pattern sees it; looked up once."""
@@ -214,13 +234,7 @@ class Counter:
 
     def plain(self, text: str) -> int:
         """Tokens of a text without special strings."""
-        known, count = self.pieces.counts.get, self.pieces.count
-        total = 0
-        for piece in self.cut(text):
-            raw = piece.encode("utf-8", "surrogatepass")
-            n = known(raw)
-            total += count(raw) if n is None else n
-        return total
+        return sum(map(self.pieces.__getitem__, self.cut(text)))
 
     def parts(self, text: str) -> tuple[list[str], int]:
         """The text between special strings, and how many of them there are."""
@@ -259,6 +273,13 @@ class Counter:
         return self.text(m[0]) + m[1] + (self.text(m[2]) if m[2] else 0)
 
 
+def compiled(shared) -> Counter:
+    """The counter of a worker, compiled once: a broadcast value stays with the worker."""
+    if "counter" not in shared.value:
+        shared.value["counter"] = Counter(shared.value["json"])
+    return shared.value["counter"]
+
+
 def _boundary(text: str, at: int) -> int:
     """The first space from `at` on that follows a character that is not white."""
     k = text.find(" ", max(at, 1))
@@ -275,10 +296,10 @@ def _last_boundary(text: str) -> int:
 
 
 def _maps(shared, limit: int):
-    """Rows (doc_id, text_hash, n_bytes, chunk, text) to their maps; one task compiles once."""
+    """Counts whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = compiled(shared)
         for batch in sliced(batches, 256):
             n = [counter.text(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -303,7 +324,7 @@ def _chunk_rows(size: int):
 
 def _chunk_maps(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = compiled(shared)
         for batch in sliced(batches, 16):
             maps = [counter.chunk_map(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([m[k] for m in maps], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.string()))]
@@ -317,7 +338,7 @@ def _scan(shared, limit: int):
     """Composes the maps of each document in order; rows repeated k times give k results."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = compiled(shared)
         at, copies, n_bytes, total, chunk = None, 0, 0, None, -1
 
         def done() -> pa.RecordBatch:
@@ -355,7 +376,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, chunk
     """
     spark: SparkSession = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
-        shared = spark.sparkContext.broadcast(f.read())
+        shared = spark.sparkContext.broadcast({"json": f.read()})
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
