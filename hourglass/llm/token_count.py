@@ -28,10 +28,11 @@ from hourglass.llm.common import sliced
 
 #: characters of a chunk; shorter texts are one chunk
 CHUNK = 1 << 16
-#: pieces whose counts a worker keeps at most before it starts anew (about 150 bytes each)
-TABLE = 800_000
+#: pieces whose counts a worker keeps at most, and three times as many states, before it
+#: starts its tables anew (about 150 bytes each)
+TABLE = 400_000
 #: longer pieces are not kept in the table
-LONG_PIECE = 32
+LONG_PIECE = 200
 LIMIT = 512
 
 LETTER, NUMBER, MARK, SPACE, WHITE = range(5)
@@ -61,13 +62,19 @@ class PieceCounter(dict):
         made = {a + b: k for k, (a, b) in reversed([*enumerate(merges)])}
         if any(made.get(x, -1) >= k for k, pair in enumerate(merges) for x in pair if len(x) > 1):
             raise ValueError("a merge comes before the merges that make its parts")
-        self.whole = {a + b for a, b in merges} | {bytes([b]) for b in range(256)}
-        self.longest = max(map(len, self.whole))
-        self.suffixes = {t[k:] for t in self.whole for k in range(len(t))}
+        self.token = [bytes([b]) for b in range(256)] + [*made]
+        whole = {t: k for k, t in enumerate(self.token)}
+        self.longest = max(map(len, self.token))
+        #: number of each token; -1 for what only ends tokens
+        self.number = {t[k:]: -1 for t in self.token for k in range(len(t))} | whole
+        self.due = {whole[a] << 20 | whole[b]: k for k, (a, b) in enumerate(merges)}
         self.table = table
-        self.last_merge: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self.parts: dict[int, tuple[int, int] | None] = {}
         self.ends: tuple[dict, dict] = ({}, {})
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.fits: dict[int, bool] = {}
+        #: compiled transitions by state and byte, and each state's last token and count
+        self.follow: dict[int, int] = {}
+        self.out: list[tuple[int, int]] = [(0, 0)]
 
     def merged(self, symbols: list[bytes]) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
         """The merges applied in rank order, by definition, and the last one applied."""
@@ -88,59 +95,92 @@ class PieceCounter(dict):
             symbols = out
         return symbols, applied
 
-    def _made_of(self, t: bytes) -> tuple[bytes, bytes] | None:
-        """The two parts of a vocabulary entry; (t, b"") for a byte; None if the merges
-        never make t of its own bytes."""
-        if t not in self.last_merge:
-            symbols, applied = self.merged([t[k : k + 1] for k in range(len(t))])
-            self.last_merge[t] = (applied or (t, b"")) if symbols == [t] else None
-        return self.last_merge[t]
-
-    def _end(self, t: bytes, side: int) -> list[tuple[bytes, int]]:
+    def _made_of(self, t: int) -> tuple[int, int] | None:
+        """The two parts of a token; (t, t) for a byte; None if the merges never make t of
+        its own bytes."""
+        if t not in self.parts:
+            raw = self.token[t]
+            symbols, applied = self.merged([raw[k : k + 1] for k in range(len(raw))])
+            pair = tuple(self.number[x] for x in applied) if applied else (t, t)
+            self.parts[t] = pair if symbols == [raw] else None
+        return self.parts[t]
+
+    def _end(self, t: int, side: int) -> list[tuple[int, int]]:
         """Tokens at one end of t, inner ones last, each with the rank that uses it up."""
         known = self.ends[side].get(t)
         if known is None:
             known, used = [(t, 1 << 60)], t
-            while len(used) > 1:
+            while used >= 256:
                 pair = self._made_of(used)
                 used = pair[side]
-                known.append((used, self.rank[pair]))
+                known.append((used, self.due[pair[0] << 20 | pair[1]]))
             self.ends[side][t] = known
         return known
 
-    def _fits(self, u: bytes, t: bytes) -> bool:
-        known = self.fits.get((u, t))
-        if known is None:
-            if len(self.fits) > 2 * self.table:
-                self.fits.clear()
-            due = self.rank.get
-            # equal merges apply from the left: u's own goes first, the one across before t's
-            known = self.fits[u, t] = not any(
-                due((a, b), 1 << 61) < used_a and due((a, b), 1 << 61) <= used_b
-                for a, used_a in self._end(u, 1) for b, used_b in self._end(t, 0))
-        return known
+    def _apart(self, u: int, t: int) -> bool:
+        if self._made_of(t) is None:
+            return False
+        due, right = self.due.get, self._end(t, 0)
+        for a, used_a in self._end(u, 1):
+            for b, used_b in right:
+                rank = due(a << 20 | b)
+                # equal merges apply from the left: u's own goes first, the one across before t's
+                if rank is not None and rank < used_a and rank <= used_b:
+                    return False
+        return True
 
     def _step(self, data: bytes, end: int, last: list[int], count: list[int]) -> None:
-        """The transition on byte end-1: length of the new last token and the new count."""
-        for start in range(end - 1, max(0, end - self.longest) - 1, -1):
-            t = data[start:end]
-            if t not in self.suffixes:
+        """The transition on byte end-1: number of the new last token and the new count."""
+        number, found, start = self.number.get, [], end - 1
+        while start >= 0:
+            t = number(data[start:end])
+            if t is None:
                 break
-            if t in self.whole and self._made_of(t) and (start == 0 or self._fits(data[start - last[start] : start], t)):
-                last.append(end - start)
+            if t >= 0:
+                found.append((start, t))
+            start -= 1
+        for start, t in reversed(found):
+            if start:
+                key = last[start] << 20 | t
+                fits = self.fits.get(key)
+                if fits is None:
+                    if len(self.fits) > 2 * self.table:
+                        self.fits.clear()
+                    fits = self.fits[key] = self._apart(last[start], t)
+            else:
+                fits = self._made_of(t) is not None
+            if fits:
+                last.append(t)
                 count.append(count[start] + 1)
                 return
         raise ValueError(f"no state follows on {data[:end]!r}")
 
     def tokens(self, piece: bytes) -> int:
+        """Runs the transducer; a transition that is missing is compiled on the way. Of a
+        very long piece the states are not kept."""
         last, count = [0], [0]
-        for end in range(1, len(piece) + 1):
-            self._step(piece, end, last, count)
+        if len(piece) > LONG_PIECE:
+            for end in range(1, len(piece) + 1):
+                self._step(piece, end, last, count)
+            return count[-1]
+        state, follow, out = 0, self.follow.get, self.out
+        for end, byte in enumerate(piece, 1):
+            to = follow(state << 8 | byte)
+            if to is None:
+                self._step(piece, end, last, count)
+                to = self.follow[state << 8 | byte] = len(out)
+                out.append((last[-1], count[-1]))
+            else:
+                token, n = out[to]
+                last.append(token)
+                count.append(n)
+            state = to
         return count[-1]
 
     def __missing__(self, piece: str) -> int:
-        if len(self) > self.table:
+        if len(self) > self.table or len(self.out) > 3 * self.table:
             self.clear()
+            self.follow, self.out = {}, [(0, 0)]
         n = self.tokens(piece.encode("utf-8", "surrogatepass"))
         if len(piece) <= LONG_PIECE:
             self[piece] = n
