@@ -30,7 +30,7 @@ from hourglass.llm.common import sliced
 CHUNK = 1 << 16
 #: pieces whose counts a worker keeps at most, and three times as many states, before it
 #: starts its tables anew (about 150 bytes each)
-TABLE = 400_000
+TABLE = 700_000
 #: longer pieces are not kept in the table
 LONG_PIECE = 200
 LIMIT = 512
@@ -72,9 +72,10 @@ class PieceCounter(dict):
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.ends: tuple[dict, dict] = ({}, {})
         self.fits: dict[int, bool] = {}
-        #: compiled transitions by state and byte, and each state's last token and count
+        #: compiled transitions by state and byte, and each state's last token and count, as
+        #: one number
         self.follow: dict[int, int] = {}
-        self.out: list[tuple[int, int]] = [(0, 0)]
+        self.out: list[int] = [0]
 
     def merged(self, symbols: list[bytes]) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
         """The merges applied in rank order, by definition, and the last one applied."""
@@ -169,18 +170,17 @@ class PieceCounter(dict):
             if to is None:
                 self._step(piece, end, last, count)
                 to = self.follow[state << 8 | byte] = len(out)
-                out.append((last[-1], count[-1]))
+                out.append(last[-1] << 8 | count[-1])
             else:
-                token, n = out[to]
-                last.append(token)
-                count.append(n)
+                last.append(out[to] >> 8)
+                count.append(out[to] & 0xFF)
             state = to
         return count[-1]
 
     def __missing__(self, piece: str) -> int:
         if len(self) > self.table or len(self.out) > 3 * self.table:
             self.clear()
-            self.follow, self.out = {}, [(0, 0)]
+            self.follow, self.out = {}, [0]
         n = self.tokens(piece.encode("utf-8", "surrogatepass"))
         if len(piece) <= LONG_PIECE:
             self[piece] = n
