@@ -64,14 +64,14 @@ class _Page:
 
     def __init__(self):
         self.stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, marks the article
-        self.boiler = self.article = self.link = 0
+        self.boiler = self.article = self.link = self.skip = 0
         self.blocks: list[tuple[str, int, bool, bool, str]] = []
         self.text: list[str] = []
         self.linked = 0
         self.tag = ""
 
     def add(self, raw: str, decode: bool = True) -> None:
-        if raw:
+        if raw and not self.skip:  # boilerplate inside a line is no part of the line
             s = unescape(raw) if decode else raw
             self.text.append(s)
             if self.link:
@@ -80,7 +80,7 @@ class _Page:
     def end_block(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((text, self.linked, self.boiler > 0, self.article > 0, self.tag))
+            self.blocks.append((text, self.linked, self.boiler > self.skip, self.article > 0, self.tag))
         self.text, self.linked, self.tag = [], 0, ""
 
     def open(self, tag: str, attributes: str) -> None:
@@ -105,6 +105,7 @@ class _Page:
         article = tag in ARTICLE
         self.stack.append((tag, boiler, article))
         self.boiler += boiler
+        self.skip += boiler and tag not in BLOCK
         self.article += article
         self.link += tag == "a"
 
@@ -114,6 +115,7 @@ class _Page:
             self.end_block()
         for tag, boiler, article in self.stack[k:]:
             self.boiler -= boiler
+            self.skip -= boiler and tag not in BLOCK
             self.article -= article
             self.link -= tag == "a"
         del self.stack[k:]

@@ -153,14 +153,14 @@ of it.<br>Same par.<p>Second &lt;one&gt; &#233;<form>Your name</form><ul><li>Ite
 def test_html_extraction(spark):
     plain = "<p>" + "It is the text of a page that has no article mark and yet is long enough to be read as one. " * 3 + "</p>"
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", plain + "<p>Short one</p>" + plain), (1, "u", PAGE), (None, "u", "<article>x"),
-            (5, "u", "<article>" + "<div>deep " * 3000), (6, "u", "a < b <"), (7, "u", '<article><p>one<p>two<script>"<p>no"')]
+            (5, "u", "<article>" + "<div>deep " * 3000), (6, "u", "a < b <"), (7, "u", '<article><p>one<script>"<p>no"</script> more<p>two<script>"<p>no"')]
     out = html_extract.extract(pages(spark, rows))
     text = {}
     for r in out.collect():
         assert r["n_chars"] == len(r["text"])
         text.setdefault(r["page_id"], []).append(r["text"])
     assert text[1] == ["Title & more\nFirst par of it. Same par.\nSecond <one> é\nItem"] * 2
-    assert text[2] == text[3] == [""] and text[None] == ["x"] and text[7] == ["one\ntwo"]
+    assert text[2] == text[3] == [""] and text[None] == ["x"] and text[7] == ["one more\ntwo"]
     assert text[4][0].split("\n")[1] == "Short one" and len(text[4][0].split("\n")) == 3
     assert text[5] == ["\n".join(["deep"] * 3000)]
     assert html_extract.extract(pages(spark, rows).filter("false")).count() == 0
