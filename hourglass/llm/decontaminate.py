@@ -127,8 +127,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFr
     """
     h = hits(docs.select("doc_id", "text"), benchmark, ["doc_id"], n).filter(F.size("spans") > 0)
     bad = h.select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("_bad_hash")), "left_anti")
+    # rows travel as one struct, so that no column of theirs can clash with one made here
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("row"))
+    return rows.join(bad, rows["doc_id"].eqNullSafe(F.col("_bad_id")) & (rows["text_hash"] == F.col("_bad_hash")),
+                     "left_anti").select("row.*")
 
 
 def masked(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
@@ -137,8 +139,9 @@ def masked(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     h = contamination(docs, benchmark, n).filter("contaminated").select(
         F.col("doc_id").alias("_id"), "spans").dropDuplicates()
     words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-    kept = F.filter(F.transform(F.col("w"), lambda w, i: F.when(
-        ~F.exists(F.coalesce(F.col("spans"), F.array().cast("array<struct<start:int,len:int>>")),
-                  lambda s: (s["start"] <= i) & (i < s["start"] + s["len"])), w)), lambda w: w.isNotNull())
+    spans = F.coalesce(F.col("spans"), F.array().cast("array<struct<start:int,len:int>>"))
+    hit = F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1)))
+    places = F.when(F.size("w") > 0, F.array_except(F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0))), hit))
+    kept = F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.get("w", i))
     return words.join(h, words["doc_id"].eqNullSafe(F.col("_id")), "left").select(
         "doc_id", F.array_join(kept, " ").alias("clean_text"))

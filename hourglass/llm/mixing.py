@@ -154,8 +154,9 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The mixed corpus: every document row as often as the mix takes it, all columns."""
     taken = mix(docs, **parameters).groupBy("doc_id", "text_hash", "source").agg(F.sum("copies").alias("_all")).filter("_all > 0")
     taken = taken.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("source").alias("_source"), "_all")
-    columns = docs.columns
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    # rows travel as one struct, so that no column of theirs can clash with one made here
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                         F.xxhash64("text").alias("_hash"), F.struct(*docs.columns).alias("row"))
     same = Window.partitionBy("doc_id", "_hash", "source")
     hashed = hashed.withColumn("_rows", F.count("*").over(same)).withColumn(
         "_place", F.row_number().over(same.orderBy("doc_id")))
@@ -163,4 +164,4 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
                          & hashed["source"].eqNullSafe(F.col("_source")))
     own = F.call_function("div", F.col("_all"), F.col("_rows")) + (F.col("_place") <= F.pmod("_all", "_rows")).cast("int")
     repeated = joined.withColumn("_own", own.cast("int")).filter("_own > 0")
-    return repeated.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.col("_own")))).select(*columns)
+    return repeated.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.col("_own")))).select("row.*")

@@ -343,9 +343,11 @@ def distinct_documents(docs: DataFrame, **parameters) -> DataFrame:
     same id one stays, the one with the smallest text hash."""
     kept = near_duplicates(docs, **parameters).filter("kept").groupBy("doc_id").agg(F.min("text_hash").alias("_text")).select(
         F.col("doc_id").alias("_doc"), "_text")
-    columns = docs.columns
-    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_text")), "left_semi")
-    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return out
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*columns)))
-    return out.withColumn("_place", place).filter("_place = 1").select(*columns)
+    # rows travel as one struct, so that no column of theirs can clash with one made here
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
+                       F.xxhash64(*docs.columns).alias("row_hash"), F.struct(*docs.columns).alias("row"))
+    out = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_text")), "left_semi")
+    if docs.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return out.select("row.*")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("row_hash"))
+    return out.withColumn("place", place).filter("place = 1").select("row.*")
