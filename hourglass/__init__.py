@@ -10,7 +10,6 @@ Layers:
   sources/    table catalog, snapshot-scoped scans, driver-table stand-ins
   plans/      the report pipelines built from the operators (period calendar, ledger,
               earned value, resource profile, snapshot month matrix)
-  streaming/  nothing: the reports are batch over snapshots (see module docstring)
 """
 
 from hourglass.params import ReportParams, ResolvedPeriods, ProfileParams  # noqa: F401

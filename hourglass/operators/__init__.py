@@ -2,9 +2,9 @@
 
 from hourglass.operators.relational import (  # noqa: F401
     top1_per_group, null_aware_anti_join, update_from_join, conform, append_typed,
-    template_row, union_distinct, sort_key,
+    template_row, union_distinct,
 )
-from hourglass.operators.joins import asof_max, fits_broadcast, range_join_days, size_checked_join  # noqa: F401
-from hourglass.operators.aggregates import conditional_sums, exact_sum, pre_sum, resum, sum_of, two_level_ratio  # noqa: F401
+from hourglass.operators.joins import asof_max, pre_aggregated_join, range_join_days  # noqa: F401
+from hourglass.operators.aggregates import conditional_sums, pre_sum, sum_of, two_level_ratio  # noqa: F401
 from hourglass.operators.windows import ordinal, running_total  # noqa: F401
 from hourglass.operators.pivot import dynamic_pivot, month_steps  # noqa: F401

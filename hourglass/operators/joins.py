@@ -32,43 +32,12 @@ def range_join_days(
     return joined.drop(day)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (after partition and column pruning)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark) -> int:
-    """The session's broadcast threshold in bytes (-1 = broadcasting disabled)."""
-    try:  # no fallback argument: an unset key must report Spark's default, not ours
-        raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
-    except Exception:
-        raw = "10485760"
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    limit = broadcast_limit(df.sparkSession)
-    return limit > 0 and 0 <= estimated_bytes(df) <= limit
-
-
-def size_checked_join(fact: DataFrame, dim: DataFrame, on, pre_keys, pre_cols, how: str = "inner") -> DataFrame:
-    """Join a fact to a dimension-like side, choosing the plan shape by the side's size.
-
-    * side estimated within the broadcast threshold: join the raw fact; Spark plans a
-      broadcast from the same estimate, the join is map-side and the caller's aggregate
-      runs partially right after it. No hint is forced: an estimate is not a proven bound,
-      and without a hint AQE can still re-plan from the measured size;
-    * larger side: first sum the fact to its join/group grain (`pre_sum`), so the
-      shuffle join moves one row per key instead of one per fact row.
-    The caller aggregates with `resum`, which reads either form."""
+def pre_aggregated_join(fact: DataFrame, dim: DataFrame, on, pre_keys, pre_cols, how: str = "inner") -> DataFrame:
+    """Sum a fact to its join and group grain (`pre_sum`), then join it to a dimension-like
+    side: whatever the side's size, the join moves one row per key instead of one per fact
+    row. Spark picks the join's physical form. The caller sums the sums."""
     from hourglass.operators.aggregates import pre_sum
 
-    if fits_broadcast(dim):
-        return fact.join(dim, on, how)
     return pre_sum(fact, pre_keys, pre_cols).join(dim, on, how)
 
 
@@ -77,16 +46,17 @@ def asof_max(probes: DataFrame, probe_col: str, ref: DataFrame, ref_key: str, va
 
     Probes and reference rows are put in one date-ordered stream (reference rows first on
     ties, as the test is `<=`) and a running max is carried along it: linear in the two
-    inputs, no (probe, reference) pairs. The stream is ordered globally, so both sides must
+    inputs, no (probe, reference) pairs. Keys are compared as timestamps: a reference key with a
+    time of day only qualifies from that time on. The stream is ordered globally, so both sides must
     be calendar-sized (snapshot dates, work weeks) — the only use in the reports.
     """
     from pyspark.sql import Window
 
     # a NULL key never satisfies `key <= probe`
     r = ref.where(F.col(ref_key).isNotNull()).select(
-        F.col(ref_key).cast("date").alias("_k"), F.lit(0).alias("_probe"), F.col(value).alias("_v"),
+        F.col(ref_key).cast("timestamp").alias("_k"), F.lit(0).alias("_probe"), F.col(value).alias("_v"),
         *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in probes.columns])
-    p = probes.select(F.col(probe_col).cast("date").alias("_k"), F.lit(1).alias("_probe"),
+    p = probes.select(F.col(probe_col).cast("timestamp").alias("_k"), F.lit(1).alias("_probe"),
                       F.lit(None).cast(ref.schema[value].dataType).alias("_v"), *probes.columns)
     w = Window.orderBy(F.col("_k").asc_nulls_first(), "_probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stream = r.unionByName(p).withColumn("_m", F.max("_v").over(w))

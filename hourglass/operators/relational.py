@@ -7,59 +7,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def sort_key(df: DataFrame, name: str, descending: bool) -> Column:
-    """An ascending-comparable key with T-SQL NULL placement (NULL lowest).
-
-    ASC: NULL first.  DESC: NULL last, larger values first. Strings are put in descending
-    order by complementing the hex digits of their UTF-8 bytes and ending them with a
-    sentinel above every hex digit, so a prefix sorts after its extensions.
-    """
-    c = F.col(name)
-    dtype = df.schema[name].dataType
-    if not descending:
-        return F.struct(F.when(c.isNull(), 0).otherwise(1).alias("n"), c.alias("v"))
-    if isinstance(dtype, _NUMERIC):
-        enc = -c
-    elif isinstance(dtype, (T.DateType,)):
-        enc = -F.unix_date(c)
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        enc = -F.unix_micros(c.cast("timestamp"))
-    elif isinstance(dtype, T.BooleanType):
-        enc = -c.cast("int")
-    else:
-        enc = F.concat(
-            F.translate(F.hex(F.encode(c.cast("string"), "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210"),
-            F.lit("G"),
-        )
-    return F.struct(F.when(c.isNull(), 1).otherwise(0).alias("n"), enc.alias("v"))
-
-
 def top1_per_group(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[tuple[str, bool]],
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order) = 1`, as an aggregate.
+    """`ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order) = 1`.
 
-    `order` is a list of (column, descending). The winner is `min(struct(order keys, row))`,
-    which Spark computes partially before the shuffle, so a hot key costs one row per map
-    partition instead of a sort of the whole group in one task. Ties on the order keys are
-    broken by the remaining columns (T-SQL leaves them arbitrary).
+    `order` is a list of (column, descending); NULL is lowest. Ties on the order keys are
+    broken by the remaining columns (T-SQL leaves them arbitrary). Spark limits each group
+    to its best row on the map side already (WindowGroupLimit, partial), so a hot key costs
+    one row per map task in the shuffle.
     """
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in keys]
-    okeys = [sort_key(df, c, d).alias(f"_o{i}") for i, (c, d) in enumerate(order)]
-    payload = F.struct(*[F.col(c) for c in keep]).alias("_row")
-    best = F.min(F.struct(*okeys, payload)).alias("_best")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*keys, *[F.col("_best._row").getField(c).alias(c) for c in keep])
+    by = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in order]
+    used = {c for c, _ in order}
+    ties = [F.col(c).asc_nulls_first() for c in keep if c not in used]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by, *ties))
+    return df.withColumn("_rn", place).where("_rn = 1").select(*keys, *keep)
 
 
 def null_aware_anti_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str,

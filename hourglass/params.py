@@ -1,7 +1,7 @@
 """Report parameters (the scripts' @rp* variables) as frozen dataclasses.
 
-Multi-valued parameters are tuples; `None` means "no restriction", which a report server
-cannot express but a library user needs.
+Multi-valued parameters are tuples; `None`, the default, means "no restriction", which a
+report server cannot express but a library user needs.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ class ReportParams:
 
     period_type: str = "Weekly"
     period: dt.date = dt.date(2017, 6, 2)
-    projects: tuple[str, ...] | None = ("73113",)
-    piepccc: tuple[str, ...] | None = ("5",)
+    projects: tuple[str, ...] | None = None
+    piepccc: tuple[str, ...] | None = None
     baseline_type: str = "Approved"
     group: str = "Bundle"
     live_offset_days: int = 1
@@ -51,11 +51,11 @@ class ProfileParams:
     """Parameters of the resource profile."""
 
     cw: dt.date | None = None
-    projects: tuple[str, ...] | None = ("73113",)
+    projects: tuple[str, ...] | None = None
     report: str = "0"
-    outage_segments: tuple[str, ...] | None = ("3",)
-    piepccc: tuple[str, ...] | None = ("5",)
-    resources: tuple[str, ...] | None = ("87JM",)
+    outage_segments: tuple[str, ...] | None = None
+    piepccc: tuple[str, ...] | None = None
+    resources: tuple[str, ...] | None = None
     graph_start: str = "201001"
     graph_end: str = "202701"
     as_of: dt.date = field(default_factory=dt.date.today)

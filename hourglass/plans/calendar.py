@@ -55,13 +55,6 @@ def previous_periods_frame(rollup: DataFrame, period_type: str, period) -> DataF
         F.max("d").alias("last2_period"))
 
 
-def week_of(work_week: DataFrame, dates: dict[str, object]) -> dict[str, str | None]:
-    """`SELECT MAX(WorkWeek) FROM work_week WHERE WWStartDate <= d` for several d at once."""
-    aggs = [F.max(F.when(F.col("WWStartDate") <= F.lit(d), F.col("WorkWeek"))).alias(k) for k, d in dates.items()]
-    row = work_week.agg(*aggs).collect()[0]
-    return {k: row[k] for k in dates}
-
-
 def resolve_periods(rollup: DataFrame, work_week: DataFrame, period_type: str, period: dt.date) -> ResolvedPeriods:
     """The seven scalars of the EV report (period, previous two, and their work weeks), in
     one small job: the one-row previous-periods frame meets the work weeks (linear in the
@@ -125,10 +118,13 @@ def year_axis(dates: DataFrame, report: str, base_year: str, date_col: str = "Da
 
 
 def axis_bounds(axis: DataFrame) -> tuple[str | None, str | None]:
-    """(year of rn 1, year of rn 7); NULL when the axis is shorter."""
-    row = axis.agg(F.max(F.when(F.col("rn") == 1, F.col("Year"))).alias("lo"),
-                   F.max(F.when(F.col("rn") == 7, F.col("Year"))).alias("hi")).collect()[0]
-    return row["lo"], row["hi"]
+    """(year of rn 1, year of rn 7); NULL when the axis is shorter. As scalar subqueries,
+    both raise when the axis holds such a number twice."""
+    rows = axis.where(F.col("rn").isin(1, 7)).groupBy("rn").agg(F.count("*").alias("n"), F.max("Year").alias("Year")).collect()
+    if any(r["n"] > 1 for r in rows):
+        raise ValueError("a scalar subquery returned more than one row")
+    years = {r["rn"]: r["Year"] for r in rows}
+    return years.get(1), years.get(7)
 
 
 def spine_bounds(graph_start: str, graph_end: str, data_min, data_max) -> tuple[Column, Column]:

@@ -93,12 +93,13 @@ def grouping_label(group: str):
     return labels.get(group, F.lit("N/A"))
 
 
-def measures(per: ResolvedPeriods):
-    """(name, condition, value column) of the 22 report measures, in the report's order."""
+def measures(per: ResolvedPeriods, live: bool = True):
+    """(name, condition, value column) of the 22 report measures, in the report's order: the
+    Weekly branch has LTD_FC3 before LTD_AV."""
     t, w = F.col("Type"), F.col("WorkWeek")
     p, l1, l2 = F.lit(per.period_week), F.lit(per.last_period_week), F.lit(per.last2_period_week)
     week = (w > l1) & (w <= p)
-    return [
+    out = [
         ("Week_PV", (t == "Planned") & week, "Hours"),
         ("Week_FC", (t == "Forecast") & week, "Hours"),
         ("Week_EV", (t == "Earned") & week, "Hours"),
@@ -122,6 +123,10 @@ def measures(per: ResolvedPeriods):
         ("LC_TV", t == "Target", "Hours"),
         ("Burn", t == "Forecast burned rate", "Hours"),
     ]
+    if not live:
+        names = [m[0] for m in out]
+        out.insert(names.index("LTD_AV"), out.pop(names.index("LTD_FC3")))
+    return out
 
 
 REPORT_KEYS = ["ProjectNumber", "BundleTitleLong", "ProgramWBS", "ProjectTitleCombined", "VendorDescription",
@@ -141,7 +146,7 @@ def project_report(ledger: DataFrame, br: Branch, sort: bool = True) -> DataFram
         fin = fin.groupBy("f_id", "f_project").agg(F.max("Finish").alias("Finish"))
     j = (ledger.join(mpl, F.col("m_project") == F.col("ProjectNumber"), "left")
          .join(fin, (F.col("f_id") == F.col("Activity_ID")) & (F.col("f_project") == F.col("ProjectNumber")), "left"))
-    out = conditional_sums(j, REPORT_KEYS, measures(br.periods), extra=[F.max("Finish").alias("finish")])
+    out = conditional_sums(j, REPORT_KEYS, measures(br.periods, br.live), extra=[F.max("Finish").alias("finish")])
     if sort:
         out = out.orderBy(F.col("Week_AV").asc_nulls_first(), F.col("LC_RV").desc_nulls_last())
     return out

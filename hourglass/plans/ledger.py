@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import concat_null, first_char_in, in_list, isnull, lacks_suffix
-from hourglass.operators import (append_typed, null_aware_anti_join, resum, size_checked_join, top1_per_group,
+from hourglass.operators import (append_typed, null_aware_anti_join, pre_aggregated_join, sum_of, top1_per_group,
                                  two_level_ratio)
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans.calendar import fiscal_week_map
@@ -163,13 +163,13 @@ def planned_and_budget(br: Branch) -> list[DataFrame]:
     bl_all = br.baseline()
     pb = baseline_selection(bl_all, br.params.baseline_type).withColumn("_planned", F.lit(True))
     bl = bl_all.where(F.col("BR_Resource_Type") == LABOUR)
-    j = size_checked_join(bl, a, "Activity_Key", ["Activity_Key", "Project_ID", "BaselineType", "BR_WorkWeek"],
+    j = pre_aggregated_join(bl, a, "Activity_Key", ["Activity_Key", "Project_ID", "BaselineType", "BR_WorkWeek"],
                           ["Planned_Hours"]).join(pb, ["Project_ID", "BaselineType"], "left")
     is_planned = F.col("_planned").isNotNull()
     is_budget = F.col("BaselineType") == "Approved"
     g = j.where(is_planned | is_budget).groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
-        resum(j, "Planned_Hours", is_planned).alias("planned"), F.count_if(is_planned).alias("n_planned"),
-        resum(j, "Planned_Hours", is_budget).alias("budget"), F.count_if(is_budget).alias("n_budget"))
+        sum_of(j, "Planned_Hours", is_planned).alias("planned"), F.count_if(is_planned).alias("n_planned"),
+        sum_of(j, "Planned_Hours", is_budget).alias("budget"), F.count_if(is_budget).alias("n_budget"))
     return [_stacked(g, [(PLANNED, "planned", F.col("n_planned") > 0), (BUDGET, "budget", F.col("n_budget") > 0)])]
 
 
@@ -219,10 +219,10 @@ def weekly_time_phase_arms(br: Branch, package_map: DataFrame | None = None) ->
         "Activity_Key", "Snapshot_Date", "BR_ProjectNumber", null_s.alias("Activity_ID"), null_s.alias("Activity_Name"),
         "BR_PIEPCCC", F.col("BR_L2WorkPackage").alias("pkg"), F.lit(3).alias("lvl"))
     tp = snapshot_scan(br.need("time_phase_weekly"), both).where(F.col("BR_Resource_Type") == LABOUR)
-    j = size_checked_join(tp, l2.unionByName(l3), ["Activity_Key", "Snapshot_Date"],
+    j = pre_aggregated_join(tp, l2.unionByName(l3), ["Activity_Key", "Snapshot_Date"],
                           ["Activity_Key", "Snapshot_Date", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
     g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek"), "Snapshot_Date", "pkg", "lvl").agg(
-        resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
+        sum_of(j, "Planned_Hours").alias("f"), sum_of(j, "Remaining_Hours").alias("r"))
     is_l2 = F.col("lvl") == 2
     now, last = F.col("Snapshot_Date") == F.lit(per.period), F.col("Snapshot_Date") == F.lit(per.last_period)
     stacked = _stacked(g, [(FORECAST, "f", is_l2 & now), (REMAINING, "r", is_l2 & now), (FORECAST_LAST, "f", is_l2 & last),
@@ -259,10 +259,10 @@ def live_time_phase_arms(br: Branch, package_map: DataFrame | None = None) -> di
     on = (F.col("Activity_Key") == F.col("a_key")) & (
         ((F.col("lvl") == 2) & (F.col("Snapshot_Date") == F.lit(per.period)))
         | ((F.col("lvl") == 3) & (F.col("Snapshot_Period") == "Live") & (F.col("Snapshot_Date") == F.col("a_date"))))
-    j = size_checked_join(tp, acts, on, ["Activity_Key", "Snapshot_Date", "Snapshot_Period", "BR_WorkWeek"],
+    j = pre_aggregated_join(tp, acts, on, ["Activity_Key", "Snapshot_Date", "Snapshot_Period", "BR_WorkWeek"],
                           ["Planned_Hours", "Remaining_Hours"])
     g = j.groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek"), "Snapshot_Date", "pkg", "lvl").agg(
-        resum(j, "Planned_Hours").alias("f"), resum(j, "Remaining_Hours").alias("r"))
+        sum_of(j, "Planned_Hours").alias("f"), sum_of(j, "Remaining_Hours").alias("r"))
     is_l2 = F.col("lvl") == 2
     stacked = _stacked(g, [(FORECAST, "f", is_l2), (REMAINING, "r", is_l2), (L3_PART, "f", F.col("lvl") == 3)],
                        carry=("Snapshot_Date", "pkg"))
@@ -272,10 +272,10 @@ def live_time_phase_arms(br: Branch, package_map: DataFrame | None = None) -> di
     l3_arm = _credit_l3(stacked.where(F.col("Type") == L3_PART), pm)
     # last period: weekly fact and weekly activities, one pass
     a = scope(br.l2_last(), p).select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
-    jl = size_checked_join(br.tp_last().where(F.col("BR_Resource_Type") == LABOUR), a, "Activity_Key",
+    jl = pre_aggregated_join(br.tp_last().where(F.col("BR_Resource_Type") == LABOUR), a, "Activity_Key",
                            ["Activity_Key", "BR_WorkWeek"], ["Planned_Hours", "Remaining_Hours"])
     gl = jl.groupBy(*_act_cols(jl), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
-        resum(jl, "Planned_Hours").alias("f"), resum(jl, "Remaining_Hours").alias("r"))
+        sum_of(jl, "Planned_Hours").alias("f"), sum_of(jl, "Remaining_Hours").alias("r"))
     last_rows = _stacked(gl, [(FORECAST_LAST, "f", F.lit(True)), (REMAINING_LAST, "r", F.lit(True))])
     return {"forecast": [now_rows, last_rows], "burn": [burn], "l3": [l3_arm]}
 
@@ -318,11 +318,11 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     a1 = aa.where(in_list("BR_ProjectNumber", p.projects) & in_list("BR_PIEPCCC", p.piepccc)).select(
         "Activity_ID", "BR_ProjectNumber", "Activity_Name", "BR_PIEPCCC")
     inv = s.weekly_burden.where(F.col("week_ending") <= F.lit(per.period))
-    j1 = (size_checked_join(inv, s.wbs_lookup, F.col("line_code") == F.col("alter_cost_c1_"),
+    j1 = (pre_aggregated_join(inv, s.wbs_lookup, F.col("line_code") == F.col("alter_cost_c1_"),
                             ["alter_cost_c1_", "week_ending"], ["Total_Hours"])
           .join(a1, (F.col("Activity_ID") == F.col("wp")) & (F.col("BR_ProjectNumber") == F.col("project_no")))
           .join(cal, F.col("tpp_date") == F.col("week_ending")))
-    g1 = j1.groupBy(*_act_cols(j1), F.col("tpp_week").alias("WorkWeek")).agg(resum(j1, "Total_Hours").alias("h"))
+    g1 = j1.groupBy(*_act_cols(j1), F.col("tpp_week").alias("WorkWeek")).agg(sum_of(j1, "Total_Hours").alias("h"))
     src1 = _arm(g1, F.col("h"), F.lit(0), ACTUAL)
 
     # 2. actual-hour feed for projects without source-1 rows
@@ -330,12 +330,12 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     ah = s.actual_hour.where(first_char_in("wbs", p.piepccc))
     a2 = aa.select(F.col("Activity_ID").alias("a_id"), F.col("Activity_Name").alias("a_name"),
                    F.col("BR_PIEPCCC").alias("a_pie"))
-    j2 = (size_checked_join(ah, a2, F.col("a_id") == concat_null(F.col("Project"), F.col("wbs")),
+    j2 = (pre_aggregated_join(ah, a2, F.col("a_id") == concat_null(F.col("Project"), F.col("wbs")),
                             ["Project", "wbs", "date00"], ["Hours"])
           .join(pm, F.col("pm_project") == F.col("Project"))
           .join(cal.where(F.col("tpp_date") <= F.lit(per.period)), F.col("tpp_date") == F.col("date00")))
     j2 = null_aware_anti_join(j2, "pm_project", src1, "ProjectNumber")
-    g2 = j2.groupBy("Project", "wbs", "a_name", "tpp_week", "a_pie").agg(resum(j2, "Hours").alias("h"))
+    g2 = j2.groupBy("Project", "wbs", "a_name", "tpp_week", "a_pie").agg(sum_of(j2, "Hours").alias("h"))
     src2 = g2.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("wbs")).alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
@@ -352,11 +352,11 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     fss = s.fin_source_system.where(F.col("FinSourceSystemDesc") == FINANCE_SOURCE).select("FinSourceSystem_Key")
     ft = s.fin_transaction.where(first_char_in("Local", p.piepccc)).join(
         fss, F.col("FinSourceSystem_Key") == F.col("FinSourceSystem_FKey"))
-    j3 = (size_checked_join(ft, a34, (F.col("a_id") == F.col("WorkPackage")) & (F.col("a_project") == F.col("Project")),
+    j3 = (pre_aggregated_join(ft, a34, (F.col("a_id") == F.col("WorkPackage")) & (F.col("a_project") == F.col("Project")),
                             ["Project", "WorkPackage", "FiscalWeek"], ["HoursQuantity"], how="left")
           .join(fw.where(F.col("fw_ww") <= F.lit(per.period_week)), F.col("fw_week") == F.col("FiscalWeek"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
-    g3 = j3.groupBy("Project", "WorkPackage", "a_name", "fw_ww", "a_pie").agg(resum(j3, "HoursQuantity").alias("h"))
+    g3 = j3.groupBy("Project", "WorkPackage", "a_name", "fw_ww", "a_pie").agg(sum_of(j3, "HoursQuantity").alias("h"))
     src3 = g3.select(F.col("Project").alias("ProjectNumber"), F.col("WorkPackage").alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("fw_ww").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
@@ -364,11 +364,11 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
 
     # 4. timesheets
     onc = s.timesheet.where(first_char_in("WBS", p.piepccc) & F.col("Approval_Status").isin(*TIMESHEET_STATUSES))
-    j4 = (size_checked_join(onc, a34, (F.col("a_id") == concat_null(F.col("Project"), F.col("WBS")))
+    j4 = (pre_aggregated_join(onc, a34, (F.col("a_id") == concat_null(F.col("Project"), F.col("WBS")))
                             & (F.col("a_project") == F.col("Project")), ["Project", "WBS", "TS_Date"], ["Hrs"], how="left")
           .join(cal.where(F.col("tpp_week") <= F.lit(per.period_week)), F.col("tpp_date") == F.col("TS_Date"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
-    g4 = j4.groupBy("Project", "WBS", "a_name", "tpp_week", "a_pie").agg(resum(j4, "Hrs").alias("h"))
+    g4 = j4.groupBy("Project", "WBS", "a_name", "tpp_week", "a_pie").agg(sum_of(j4, "Hrs").alias("h"))
     src4 = g4.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("WBS")).alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),

@@ -43,8 +43,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     # unset (tests, a laptop): a stable local folder, so later applications reuse what
     # earlier ones wrote; on a cluster the setting names a shared folder. The setting
     # itself cannot change at runtime, so only the context's folder is set here.
-    configured = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(
-        tempfile.gettempdir(), "hourglass-checkpoints")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        configured = os.path.join(tempfile.gettempdir(), "hourglass-checkpoints")
     if configured.startswith("/"):
         os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)

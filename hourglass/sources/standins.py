@@ -116,7 +116,7 @@ def calendar(t: dict[str, DataFrame]) -> DataFrame:
 PARTITIONED = {"activity_l2_weekly", "activity_l3_weekly", "time_phase_weekly", "time_phase_baseline_weekly",
                "resource_assignment_l3_weekly", "resource_code_weekly", "activity_l2_daily", "activity_l3_daily",
                "time_phase_daily"}
-_CACHE: dict[tuple[str, str], ProjectSources] = {}
+_CACHE: dict[tuple[str, str, str], ProjectSources] = {}
 
 
 def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSources:
@@ -134,10 +134,10 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     from hourglass.session import shared_folder
 
     root = shared_folder(spark)
-    key = (root, _fingerprint(base))
+    key = (spark.sparkContext.applicationId, root, _fingerprint(spark, base))
     if key in _CACHE:
         return _CACHE[key]
-    folder = f"{root.rstrip('/')}/hourglass-standins/{key[1]}"
+    folder = f"{root.rstrip('/')}/hourglass-standins/{key[-1]}"
     schemas = _read_text(spark, f"{folder}/_schemas.json")
     if schemas is not None:  # written last: every table is complete
         out = {name: spark.read.schema(T.StructType.fromJson(js)).parquet(f"{folder}/{name}").select(
@@ -165,11 +165,10 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
             list(pool.map(write, todo))
         _write_text(spark, f"{work}/_schemas.json", json.dumps({name: df.schema.jsonValue() for name, df in todo}))
         _publish(spark, work, folder)
-    except Exception:  # e.g. the shared folder is not writable: use the views as derived
+    except BaseException:
         for df in staged:
             df.unpersist()
-        _CACHE[key] = derived
-        return derived
+        raise
     # the schemas are known from the derivation; giving them skips footer inference
     out = {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}").select(*df.columns) for name, df in todo}
     for df in staged:
@@ -179,17 +178,21 @@ def build(spark: SparkSession, base: str, materialize: bool = True) -> ProjectSo
     return sources
 
 
-def _fingerprint(base: str) -> str:
-    h = hashlib.sha1(os.path.abspath(base).encode())
-    # the derivation rules are part of the key: this module and the helpers it calls
+def _fingerprint(spark: SparkSession, base: str) -> str:
+    """Of the derivation rules (this module and the helpers it calls) and of every file under
+    `base`, on whatever file system: name, size and modification time."""
+    h = hashlib.sha1(base.encode())
     here = os.path.dirname(os.path.abspath(__file__))
     for path in (__file__, os.path.join(here, "catalog.py"), os.path.join(here, "..", "functions", "dates.py"),
                  os.path.join(here, "..", "functions", "strings.py")):
         with open(path, "rb") as f:
             h.update(f.read())
-    for name in sorted(os.listdir(base)) if os.path.isdir(base) else []:
-        st = os.stat(os.path.join(base, name))
-        h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+    p, fs = _fs_path(spark, base)
+    found, files = fs.listFiles(p, True), []
+    while found.hasNext():
+        st = found.next()
+        files.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    h.update("\n".join(sorted(files)).encode())
     return h.hexdigest()[:16]
 
 

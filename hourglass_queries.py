@@ -318,7 +318,7 @@ def q_null_aware_anti_join(spark, d):
     cust = c.select("c_custkey")
     f = o.where(F.col("o_orderstatus") == "F").select("o_custkey")
     with_null = o.select(F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_custkey")).alias("o_custkey"))
-    guarded = with_null.select(F.coalesce("o_custkey", F.lit(-1).cast("long")).alias("o_custkey")).where(F.col("o_custkey") != 0)
+    guarded = with_null.select(F.coalesce("o_custkey", F.lit(-1).cast("long")).alias("o_custkey"))
     empty = f.where(F.lit(False))
     arms = [
         null_aware_anti_join(cust, "c_custkey", f, "o_custkey").select(F.lit("plain").alias("variant"), "c_custkey"),

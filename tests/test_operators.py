@@ -91,3 +91,45 @@ def test_asof_max_ties_and_nulls(spark):
     got = rows(asof_max(probes, "d", ref, "s", "wk", "w"), "id", "w")
     # max code, not latest start: on 2017-02-01 the weeks W1, W2, W0 all qualify and 'W2' is the max
     assert got == [(1, "W2"), (2, None), (3, None), (4, "W2")]
+
+
+def test_asof_compares_times_of_day(spark):
+    from hourglass.operators import asof_max
+
+    ref = spark.sql("SELECT * FROM VALUES (timestamp '2017-05-26 05:00', '2017WW21'), (timestamp '2017-06-02 05:00', '2017WW22') t(s, w)")
+    probes = spark.sql("SELECT date '2017-06-02' AS d UNION ALL SELECT date '2017-06-03'")
+    assert {str(r["d"]): r["o"] for r in asof_max(probes, "d", ref, "s", "w", "o").collect()} == {
+        "2017-06-02": "2017WW21", "2017-06-03": "2017WW22"}
+
+
+def test_top1_on_the_smallest_int(spark):
+    from hourglass.operators import top1_per_group
+
+    df = spark.createDataFrame([(1, -2147483648), (1, 5), (2, -2147483648), (2, None)], "k int, v int")
+    out = top1_per_group(df, ["k"], [("v", True)])
+    assert sorted(map(tuple, out.collect())) == [(1, 5), (2, -2147483648)]
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ratio_raises_on_zero(spark):
+    import pytest
+
+    from hourglass.operators import two_level_ratio
+
+    def ratio(value):
+        df = spark.createDataFrame([("p", "a", value, None)], "p string, a string, h double, w string")
+        return two_level_ratio(df, ["p", "a"], ["p"], "h", "w", {"a": "all"}).collect()
+
+    with pytest.raises(Exception, match="division by zero"):
+        ratio(1.0)
+    assert {r["ratio"] for r in ratio(None)} == {None}
+
+
+def test_axis_bounds_raise_on_two_rows(spark):
+    import pytest
+
+    from hourglass.plans.calendar import axis_bounds
+
+    axis = spark.createDataFrame([("2014", 1), ("2015", 1)], "Year string, rn long")
+    with pytest.raises(ValueError):
+        axis_bounds(axis)

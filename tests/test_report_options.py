@@ -74,3 +74,20 @@ def test_profile_current_week_defaults_to_latest_processed(spark):
                                 ("c", D(2017, 6, 30), "Monthly", 1)],
                                "SnapshotPeriod string, SnapshotDate date, PeriodType string, ActivityIsProcessed int")
     assert current_week(sp) == D(2017, 5, 26)
+
+
+def test_weekly_columns_have_l3_before_actuals():
+    from hourglass.params import ResolvedPeriods
+    from hourglass.plans.earned import measures
+
+    per = ResolvedPeriods(None, None, None, "a", "b", "c")
+    names = [[m[0] for m in measures(per, live) if m[0].startswith("LTD_")] for live in (False, True)]
+    assert names == [["LTD_PV", "LTD_FC", "LTD_EV", "LTD_FC3", "LTD_AV", "LTD_AVLast"],
+                     ["LTD_PV", "LTD_FC", "LTD_EV", "LTD_AV", "LTD_AVLast", "LTD_FC3"]]
+
+
+def test_no_list_restricts_by_default():
+    from hourglass.params import ProfileParams, ReportParams
+
+    p, q = ReportParams(), ProfileParams()
+    assert (p.projects, p.piepccc, q.projects, q.piepccc, q.outage_segments, q.resources) == (None,) * 6
