@@ -45,7 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     # itself cannot change at runtime, so only the context's folder is set here.
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         configured = os.path.join(tempfile.gettempdir(), "hourglass-checkpoints")
     if configured.startswith("/"):
