@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from hourglass.plans.calendar import clamp_year_month, period_rollup_table
 
 SETTINGS = dict(max_examples=int(os.environ.get("HOURGLASS_PROPERTY_EXAMPLES", "25")), deadline=None,

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from hourglass.functions import (add_months, concat_null, lacks_suffix, lacks_suffix_like, left, max2, mdy, min2,
                                  number_text, right, work_week_code, fiscal_month_code, isnull)
 from hourglass.operators import month_steps

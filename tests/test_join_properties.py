@@ -6,7 +6,7 @@ import os
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from sorted_rows import rows
 from hourglass.operators import asof_max, null_aware_anti_join, range_join_days
 
 N = int(os.environ.get("HOURGLASS_PROPERTY_EXAMPLES", "25"))

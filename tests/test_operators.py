@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from sorted_rows import rows
 from hourglass.operators import (append_typed, conform, dynamic_pivot, null_aware_anti_join, range_join_days,
                                  running_total, template_row, top1_per_group, two_level_ratio, update_from_join)
 

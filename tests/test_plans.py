@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans import calendar as C
 from hourglass.plans.earned import earned_value_rows

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from hourglass.operators import top1_per_group
 
 text = st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("aAzé€𝄞 -0~")), max_size=4))
