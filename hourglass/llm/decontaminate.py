@@ -18,7 +18,7 @@ from hourglass.llm.common import words_of
 #: words of a window
 N = 10
 #: The hash set is broadcast while it has at most so many entries (about 200 bytes each);
-#: beyond, the same join shuffles both sides. Results are the same.
+#: beyond, grams and entries are shuffled to each other. Results are the same.
 BROADCAST_ENTRIES = 500_000
 
 
@@ -69,9 +69,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, keys: list[str], n: int = N) ->
     windows = benchmark_windows(benchmark, n)
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect()) or [n]  # n values at most
     entries = _entries(windows, lengths)
-    if windows.count() * n <= BROADCAST_ENTRIES:
-        entries = F.broadcast(entries)
-    e = entries.select(F.col("gram").alias("e_gram"), F.col("len").alias("e_len"), "offset", "window", "items")
+    small = windows.count() * n <= BROADCAST_ENTRIES
+    e = (F.broadcast(entries) if small else entries).select(F.col("gram").alias("e_gram"), F.col("len").alias("e_len"), "offset", "window", "items")
     words = docs.select(*keys, F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("w"))
     # a first element without a gram stands for the row itself
     none = F.struct(F.lit(-1).alias("at"), F.lit(None).cast("int").alias("len"), F.lit(None).cast("long").alias("gram"))
@@ -79,6 +78,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, keys: list[str], n: int = N) ->
                         F.concat(F.array(none), _grams(F.col("w"), lengths)).alias("grams"))
     looked = rows.select(*keys, "text_hash", "w", "n_words", F.explode_outer("grams").alias("g"))
     start = F.col("g.at") - F.col("offset")
+    if not small:
+        return _hits_by_shuffle(words, looked.drop("w").filter("g.at >= 0"), e, keys)
     found = looked.join(e, (F.col("g.gram") == F.col("e_gram")) & (F.col("g.len") == F.col("e_len"))
                         & (start >= 0) & (start + F.col("e_len") <= F.col("n_words"))
                         & (F.slice(F.col("w"), start + 1, F.col("e_len")) == F.col("window")), "left")
@@ -91,6 +92,30 @@ def hits(docs: DataFrame, benchmark: DataFrame, keys: list[str], n: int = N) ->
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
 
 
+def _hits_by_shuffle(words: DataFrame, looked: DataFrame, e: DataFrame, keys: list[str]) -> DataFrame:
+    """`hits` where the entries are too many to broadcast. Grams alone are shuffled to the
+    entries; places that agree in the gram then meet the words of their document, which
+    are shuffled once, and are compared word by word."""
+    same = [*keys, "text_hash"]
+    start = F.col("g.at") - F.col("offset")
+    near = looked.join(e, (F.col("g.gram") == F.col("e_gram")) & (F.col("g.len") == F.col("e_len"))
+                       & (start >= 0) & (start + F.col("e_len") <= F.col("n_words")))
+    near = near.select(*[F.col(k).alias(f"_near_{k}") for k in same], F.struct(start.alias("start"), F.col("e_len").alias("len")).alias("span"),
+                       "window", "items")
+    on = [words[k].eqNullSafe(F.col(f"_near_{k}")) for k in same]
+    found = words.join(near, on).filter(F.slice("w", F.col("span.start") + 1, F.col("span.len")) == F.col("window"))
+    found = found.select(*same, "span", "items").groupBy(*same).agg(
+        F.array_sort(F.collect_set("span")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    found = found.select(*[F.col(k).alias(f"_found_{k}") for k in same], F.col("spans").alias("_spans"), F.col("items").alias("_items"))
+    rows = words.select(*same, F.size("w").alias("n_words")).groupBy(*same).agg(
+        F.count("*").alias("n_rows"), F.first("n_words").cast("long").alias("n_words"))
+    out = rows.join(found, [rows[k].eqNullSafe(F.col(f"_found_{k}")) for k in same], "left")
+    none = F.array().cast("array<struct<start:int,len:int>>")
+    return out.select(*same, "n_rows", "n_words", F.coalesce("_spans", none).alias("spans"),
+                      F.coalesce("_items", F.array().cast("array<string>")).alias("items"))
+
+
 def covered(spans: Column) -> Column:
     """Words that lie in any span; spans sorted by start."""
     first = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))

@@ -101,7 +101,9 @@ def brute_hits(text, items, n=10):
     return len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)
 
 
-def test_decontamination(spark, documents, no_documents):
+@pytest.mark.parametrize("entries", [decontaminate.BROADCAST_ENTRIES, 0])
+def test_decontamination(spark, documents, no_documents, entries, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ENTRIES", entries)
     items = [(1, "Three, four five six seven eight nine ten eleven twelve!"), (2, "don t"), (3, ""), (4, None), (None, "word"),
              (10, "long words long words long words long words long words long"), (12, "six seven eight nine ten eleven twelve thirteen fourteen tail tail")]
     bench = spark.createDataFrame(items, "item_id long, text string")
