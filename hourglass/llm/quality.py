@@ -109,11 +109,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, 64):
+        found = [features(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), batch.column("y"), pa.array([p.astype("<i4").tobytes() for p, _ in found], pa.binary()),
+            pa.array([v.astype("<f8").tobytes() for _, v in found], pa.binary())], ["doc_id", "y", "place", "value"])
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
     """Weights from at most `rows` labelled documents outside the held-out fold, those
     with the smallest hashes of the id, both labels in the shares that they have there.
 
-    One task reads these rows, whose number is fixed. Null ids, texts and labels and
+    Features are made where the texts are; one task reads the sparse features of these
+    rows, whose number is fixed (2^BITS places of a row at most, however long its text),
+    and updates the weights row by row. Null ids, texts and labels and
     labels other than 0 and 1 are not learnt from; an id with both labels is learnt as
     both. Without any label all scores are 1/2.
     """
@@ -126,10 +136,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "y"])
-        w = ftrl([(*features(t), float(y)) for t, y in zip(group["text"], group["y"], strict=True)])
+        w = ftrl([(np.frombuffer(p, "<i4").astype(np.int64), np.frombuffer(v, "<f8"), float(y))
+                  for p, v, y in zip(group["place"], group["value"], group["y"], strict=True)])
         return pd.DataFrame({"w": [w.astype("<f8").tobytes()]})
 
-    found = chosen.groupBy(F.lit(0).alias("one")).applyInPandas(fit, "w binary").collect()
+    kind = dict(chosen.dtypes)["doc_id"]
+    examples = chosen.select("doc_id", "y", "text").mapInArrow(_examples, f"doc_id {kind}, y int, place binary, value binary")
+    found = examples.groupBy(F.lit(0).alias("one")).applyInPandas(fit, "w binary").collect()
     return np.frombuffer(found[0]["w"], "<f8") if found else np.zeros((1 << BITS) + 1)
 
 
