@@ -49,14 +49,24 @@ navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies c
 newsletter subscribe subscription signup login search share sharing social related recommended comment comments respond replies
 reply disqus pagination pager widget toolbar copyright legal disclaimer skip complementary contentinfo""".split())
 
+#: fixed values: words before such a name that make it tell of a part of the element
+PART_MARKS = frozenset("no has with without".split())
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 _NAME = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[^\W_]+")
 
 
 def _named_boiler(attributes: str) -> bool:
-    return "=" in attributes and any(
-        w in BOILER_NAMES for v in _NAME.findall(attributes) for w in _WORD.findall(v.lower()))
+    """Whether a name of the element marks boilerplate; names that tell of its parts or of
+    their absence ("has-sidebar", "no-ads") don't."""
+    if "=" not in attributes:
+        return False
+    for value in _NAME.findall(attributes):
+        words = _WORD.findall(value.lower())
+        if any(w in BOILER_NAMES and before not in PART_MARKS for before, w in zip(["", *words], words, strict=False)):
+            return True
+    return False
 
 
 class _Page:

@@ -166,6 +166,12 @@ def test_html_extraction(spark):
     assert html_extract.extract(pages(spark, rows).filter("false")).count() == 0
 
 
+def test_names_of_parts_mark_no_boilerplate():
+    text = "<p>Text of the page.</p>"
+    assert html_extract.main_text(f'<article class="post has-sidebar no-comments">{text}</article>') == "Text of the page."
+    assert html_extract.main_text(f'<article>{text}<div class="post sidebar">Aside</div></article>') == "Text of the page."
+
+
 def test_second_pass_takes_the_nearest_labels():
     got = html_extract._second_pass(["short", "good", "short", "near good", "good", "short", "bad", "near good", "bad"])
     assert got == [False, True, True, True, True, False, False, False, False]
