@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+from hourglass.llm.license_scan import PHRASES, TEMPLATES
+
 WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 OP2 = f"""
@@ -35,4 +37,54 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES = {"op2_benchmark_decontamination": OP2, "op3_exact_top_k": OP3}
+
+def _rows(pairs) -> str:
+    return ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in pairs)
+
+
+OP1 = f"""
+WITH phrases(phrase, label) AS (VALUES {_rows(PHRASES.items())}),
+templates AS (
+  SELECT label, list_distinct({WORDS}) AS w FROM (VALUES {_rows(TEMPLATES)}) AS v(label, text)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, text, {WORDS} AS w FROM documents),
+base AS (
+  SELECT r, s - 1 AS place, label FROM docs, phrases, unnest(generate_series(1, len(w))) AS u(s)
+  WHERE array_to_string(w[s : s + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
+lines AS (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM docs),
+blocks AS (SELECT r, {WORDS} AS w FROM lines),
+met AS (
+  SELECT r, label, len(list_intersect(blocks.w, templates.w)) AS shared, len(templates.w) AS size FROM blocks, templates
+  WHERE 10 * shared >= 8 * size),
+base_by AS (
+  SELECT r, count(*) AS n, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM base GROUP BY r),
+all_by AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM base UNION SELECT r, label FROM met) GROUP BY r),
+met_by AS (SELECT r, max(shared / size) AS score FROM met GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(b.labels, '') AS base_labels, coalesce(a.labels, '') AS labels,
+  CAST(CASE WHEN b.n > 0 THEN 1 ELSE coalesce(m.score, 0) END AS DOUBLE) AS score
+FROM docs LEFT JOIN base_by b USING (r) LEFT JOIN all_by a USING (r) LEFT JOIN met_by m USING (r)
+"""
+
+OP4 = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s : s + least(len(w), 3) - 1], ' ') AS g
+  FROM docs, unnest(generate_series(1, greatest(1, len(w) - 2))) AS u(s) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)),
+reach AS (SELECT doc_id, doc_id AS other FROM docs UNION SELECT reach.doc_id, b FROM reach JOIN links ON a = other),
+least_of AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM least_of LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES = {"op1_license_scan": OP1, "op4_near_dedup": OP4, "op2_benchmark_decontamination": OP2, "op3_exact_top_k": OP3}
