@@ -22,7 +22,7 @@ WEIGHTS = (1, 2, 3)
 #: no document and no source is taken more often than this
 MOST = 3
 #: rows of a block; a block is what one call of the flight holds in memory
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 4_000
 SEED = 7
 
 
