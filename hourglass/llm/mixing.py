@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from hourglass.llm.common import SPACED_WORD, stored
 
@@ -111,7 +112,8 @@ def _level(rows: DataFrame, level: int, block_rows: int, seed: int) -> DataFrame
         return group.assign(x=landing(size, x) if last else x, landed=last)[[*names, "landed"]]
 
     names = rows.columns
-    return dealt.groupBy("source", "block").applyInPandas(run, f"{rows._jdf.schema().toDDL()}, landed boolean")
+    out = StructType([*(StructField(f.name, f.dataType) for f in rows.schema), StructField("landed", BooleanType())])
+    return dealt.groupBy("source", "block").applyInPandas(run, out)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, most: int = MOST,

@@ -287,7 +287,7 @@ def _resolve(num: int, den: int):
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8, 10),
                     block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """One row per distinct (doc_id, set): doc_id, n_shingles, component_id, kept, text_hash.
+    """One row per distinct (doc_id, set): doc_id, n_shingles, component_id, kept, text_hash, root.
 
     Linked are documents with similarity[1] * |A & B| >= similarity[0] * |A | B| on their sets of
     `words`-word shingles; component_id is the smallest doc_id reachable over links.
@@ -295,6 +295,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     Null, empty and blank texts have an empty set and are linked with nothing. A null id
     never becomes a component's id unless the component has no other. Repeated rows (the
     same id and set) come out once. An empty table gives no rows. Other columns are not read.
+    `root` is one set of the component, the same for all its rows; null without a set.
     """
     num, den = similarity
     rows = stored(sketches(docs, words), "near-sketches")
@@ -330,24 +331,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     least = vertices.join(linked, F.col("set_id") == F.col("_v"), "left").withColumn("root", F.coalesce("root", "set_id"))
     by_root = least.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "_root")
     classes = least.select("set_id", "root").join(by_root, F.col("root") == F.col("_root")).select(
-        F.col("set_id").alias("_set"), "component_id")
+        F.col("set_id").alias("_set"), "root", "component_id")
     out = rows.groupBy("doc_id", "set_id", "n_shingles").agg(F.min("text_hash").alias("text_hash")).join(
         classes, F.col("set_id") == F.col("_set"), "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.withColumn("component_id", component).select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash", "root")
 
 
 def distinct_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """One document of each component, all columns as they were. Of rows repeated with the
-    same id one stays, the one with the smallest text hash."""
-    kept = near_duplicates(docs, **parameters).filter("kept").groupBy("doc_id").agg(F.min("text_hash").alias("_text")).select(
-        F.col("doc_id").alias("_doc"), "_text")
+    """One document of each component, all columns as they were: the one with the smallest
+    id, null ids last. Documents that share an id, or have none, but are linked with nothing
+    all stay; of rows equal in id and text one stays, and of rows equal in id without words."""
+    alone = F.col("root").isNull()
+    kept = near_duplicates(docs, **parameters).groupBy("root", F.when(alone, F.col("doc_id")).alias("alone")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("rep")).select(
+        F.col("rep.doc_id").alias("_doc"), F.col("rep.text_hash").alias("_text"))
     # rows travel as one struct, so that no column of theirs can clash with one made here
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
                        F.xxhash64(*docs.columns).alias("row_hash"), F.struct(*docs.columns).alias("row"))
     out = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_text")), "left_semi")
     if docs.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
         return out.select("row.*")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("row_hash"))
+    place = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("row_hash"))
     return out.withColumn("place", place).filter("place = 1").select("row.*")

@@ -34,7 +34,7 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=(85, 100)).drop("text_hash")
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=(85, 100)).drop("text_hash", "root")
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

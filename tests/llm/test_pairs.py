@@ -75,6 +75,17 @@ def test_one_document_of_each_group_stays(documents):
     assert ids == sorted({r["doc_id"] for r in out}, key=str)
 
 
+def test_unlinked_documents_stay_without_ids_or_with_a_shared_one(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(None, a), (None, a), (None, b), (None, b + " end"), (None, None), (None, ""), (7, a + " tail"), (8, b), (8, c), (9, " ")]
+    kept = near_dedup.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert {x for x in got if (x[1] or "").strip()} == {(7, a + " tail"), (8, b), (8, c)}
+    assert sorted(str(i) for i, t in got if not (t or "").strip()) == ["9", "None"] and len(got) == 5
+    nameless = near_dedup.distinct_documents(spark.createDataFrame([(None, a), (None, b), (None, c)], "doc_id long, text string"))
+    assert sorted(r["text"] for r in nameless.collect()) == [a, b, c]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=50, max_size=50), st.integers(0, 19), st.randoms())
 def test_index_guarantee(values, distance, random):
