@@ -3,10 +3,10 @@
 A page is cut into blocks at block-level tags. Parts that cannot be article text by their
 element or by the name of their class, id or role (scripts, menus, footers, adverts,
 comments, ...) are boilerplate whatever they hold. The first pass classifies the other
-blocks by stop-word density, length and link density as good, bad or undecided; the second
-gives an undecided short block the label of its nearest decided neighbours. Inside an
-element that marks the article (article, main) bad needs links: there short or rare words
-alone do not make a block boilerplate.
+blocks by stop-word density, length and link density as good, bad (many links) or undecided;
+the second gives an undecided block the label of its nearest decided neighbour, and a heading
+that of the block after it. Inside an element that marks the article (article, main) only
+links make a block bad.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 NEVER = frozenset("""head script style noscript template title textarea iframe noembed noframes xmp svg math canvas object
 nav footer aside form button select menu dialog fieldset label option audio video map""".split())
 ARTICLE = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: fixed values: words in class, id or role that mark what is not article text
 BOILER_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar
 navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay
@@ -165,57 +166,71 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, str]]:
     return page.blocks
 
 
-def _first_pass(text: str, linked: int, in_article: bool, tag: str) -> str:
+def _first_pass(text: str, linked: int, tag: str) -> str:
+    """good, bad, or an undecided kind: near good, rare (long, few stop words), short, heading."""
     length = len(text)
     solid = len(text.replace(" ", ""))
     density = linked / max(solid, 1)
     if density > LINK_HIGH:
         return "bad"
-    if in_article:
-        return "good"
     words = _WORD.findall(text.lower())
     stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    if stop >= STOP_HIGH and length > LONG:
+        return "good"
+    if tag in HEADINGS:
+        return "heading"
     if length < SHORT:
-        return "bad" if linked else "short"
-    if stop >= STOP_HIGH:
-        return "good" if length > LONG else "near good"
-    if stop >= STOP_LOW:
-        return "near good"
-    return "bad"
+        return "short"
+    return "near good" if stop >= STOP_LOW else "rare"
+
+
+def _decided(labels: list[str], inside: list[bool], edge: str, order: range) -> list[tuple[str, int]]:
+    """Label and distance of the last decided block before each one in this order, on the
+    same side of the article's border; the page's edge counts as `edge`, "" as no block."""
+    out = [("", 0)] * len(labels)
+    last: dict[bool, tuple[str, int]] = {}
+    for step, k in enumerate(order):
+        label, at = last.get(inside[k], (edge, -1))
+        out[k] = (label, step - at)
+        if labels[k] in ("good", "bad"):
+            last[inside[k]] = (labels[k], step)
+    return out
 
 
-def _second_pass(labels: list[str]) -> list[bool]:
-    """Undecided blocks take their nearest decided neighbours' label: good where both
-    sides agree on good; a longer one ("near good") also where one side is good."""
+def _second_pass(labels: list[str], edge: str = "bad") -> list[bool]:
+    """Undecided blocks take their nearest decided neighbour's label, bad where two are as
+    near; "near good" is good where one side is. A heading goes with the block after it.
+    What has no decided neighbour is good."""
     n = len(labels)
-    before, after = [""] * n, [""] * n
-    last = "bad"
-    for k in range(n):
-        before[k] = last
-        last = labels[k] if labels[k] in ("good", "bad") else last
-    last = "bad"
+    sides = [False] * n
+    before, after = _decided(labels, sides, edge, range(n)), _decided(labels, sides, edge, range(n - 1, -1, -1))
+    out = [label == "good" for label in labels]
     for k in range(n - 1, -1, -1):
-        after[k] = last
-        last = labels[k] if labels[k] in ("good", "bad") else last
-    out = []
-    for k, label in enumerate(labels):
-        near = (before[k], after[k])
-        out.append(label == "good" or label == "near good" and "good" in near or label == "short" and near == ("good", "good"))
+        near = [x for x in (before[k], after[k]) if x[0]]
+        if labels[k] in ("good", "bad"):
+            continue
+        if labels[k] == "heading" and k + 1 < n:
+            out[k] = out[k + 1]
+        elif not near:
+            out[k] = True
+        elif labels[k] == "near good":
+            out[k] = any(label == "good" for label, _ in near)
+        else:
+            least = min(d for _, d in near)
+            out[k] = all(label == "good" for label, d in near if d == least)
     return out
 
 
 def main_text(html: str | None) -> str:
     found = blocks(html or "")
     marked = any(a and not b for _, _, b, a, _ in found)
-    labels = []
-    for text, linked, boiler, in_article, tag in found:
-        if boiler or (marked and not in_article):
-            labels.append("bad")
-        else:
-            labels.append(_first_pass(text, linked, in_article, tag))
-    if not marked and "good" not in labels:  # a page of short paragraphs only
-        labels = ["good" if x == "near good" else x for x in labels]
-    return "\n".join(b[0] for b, keep in zip(found, _second_pass(labels), strict=True) if keep)
+    found = [b for b in found if not b[2] and (b[3] or not marked)]  # what markup rules out is no neighbour
+    labels = ["good" if in_article and label != "bad" else label
+              for text, linked, _, in_article, tag in found for label in [_first_pass(text, linked, tag)]]
+    if "good" not in labels:  # the surest undecided kind stands for the text
+        surest = next((x for x in ("near good", "rare", "short", "heading") if x in labels), "")
+        labels = ["good" if x == surest else x for x in labels]
+    return "\n".join(b[0] for b, keep in zip(found, _second_pass(labels, edge=""), strict=True) if keep)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

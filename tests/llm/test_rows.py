@@ -177,6 +177,17 @@ def test_second_pass_takes_the_nearest_labels():
     assert got == [False, True, True, True, True, False, False, False, False]
 
 
+def test_html_without_article_keeps_short_and_rare_text():
+    long = "It is the text of a page that has no article mark and yet is long enough to be read as one. " * 3
+    foreign = "Ogłoszenie dotyczy wszystkich mieszkańców naszego miasta, którzy chcą wziąć udział w spotkaniu."
+    page = f"<h1>Title</h1><p>{long}</p><h2>Next</h2><p>{foreign}</p><p>{long}</p><p>See <a>here</a> for the rest of this</p><p>The end.</p>"
+    want = ["Title", long.strip(), "Next", foreign, long.strip(), "See here for the rest of this", "The end."]
+    assert html_extract.main_text(page).split("\n") == want
+    links = "<div><a>Home</a> <a>News</a></div>"
+    assert html_extract.main_text(f"{links}<h1>Tytuł</h1><p>{foreign}</p><p>Koniec.</p>").split("\n") == ["Tytuł", foreign, "Koniec."]
+    assert html_extract.main_text(f"<p>{long}</p><h2>Elsewhere</h2>{links}") == long.strip()
+
+
 def test_quality_features_and_ftrl():
     assert len(quality.features(None)[0]) == len(quality.features(" \n")[0]) == 0
     place, value = quality.features("a b a b !!")
