@@ -5,8 +5,8 @@ element or by the name of their class, id or role (scripts, menus, footers, adve
 comments, ...) are boilerplate whatever they hold. The first pass classifies the other
 blocks by stop-word density, length and link density as good, bad (many links) or undecided;
 the second gives an undecided block the label of its nearest decided neighbour, and a heading
-that of the block after it. Inside an element that marks the article (article, main) only
-links make a block bad.
+that of the block after it. Both run inside and outside of elements that mark the article
+(article, main); these are a prior for undecided blocks.
 """
 
 from __future__ import annotations
@@ -197,22 +197,29 @@ def _decided(labels: list[str], inside: list[bool], edge: str, order: range) ->
     return out
 
 
-def _second_pass(labels: list[str], edge: str = "bad") -> list[bool]:
+def _second_pass(labels: list[str], inside: list[bool] | None = None, edge: str = "bad") -> list[bool]:
     """Undecided blocks take their nearest decided neighbour's label, bad where two are as
     near; "near good" is good where one side is. A heading goes with the block after it.
-    What has no decided neighbour is good."""
+
+    `inside` tells the blocks in the article, a prior for undecided ones: there they are bad
+    only between two bad ones, and no label is passed over the article's border. What has no
+    decided neighbour is good, but for short blocks outside an article that the page has.
+    """
     n = len(labels)
-    sides = [False] * n
+    sides = inside or [False] * n
+    marked = any(sides)
     before, after = _decided(labels, sides, edge, range(n)), _decided(labels, sides, edge, range(n - 1, -1, -1))
     out = [label == "good" for label in labels]
     for k in range(n - 1, -1, -1):
         near = [x for x in (before[k], after[k]) if x[0]]
         if labels[k] in ("good", "bad"):
             continue
-        if labels[k] == "heading" and k + 1 < n:
+        if sides[k]:
+            out[k] = [label for label, _ in near] != ["bad", "bad"]
+        elif labels[k] == "heading" and k + 1 < n:
             out[k] = out[k + 1]
         elif not near:
-            out[k] = True
+            out[k] = not marked or labels[k] in ("near good", "rare")
         elif labels[k] == "near good":
             out[k] = any(label == "good" for label, _ in near)
         else:
@@ -222,15 +229,14 @@ def _second_pass(labels: list[str], edge: str = "bad") -> list[bool]:
 
 
 def main_text(html: str | None) -> str:
-    found = blocks(html or "")
-    marked = any(a and not b for _, _, b, a, _ in found)
-    found = [b for b in found if not b[2] and (b[3] or not marked)]  # what markup rules out is no neighbour
-    labels = ["good" if in_article and label != "bad" else label
-              for text, linked, _, in_article, tag in found for label in [_first_pass(text, linked, tag)]]
-    if "good" not in labels:  # the surest undecided kind stands for the text
+    found = [b for b in blocks(html or "") if not b[2]]  # what markup rules out is no neighbour
+    labels = [_first_pass(text, linked, tag) for text, linked, _, _, tag in found]
+    inside = [in_article for *_, in_article, _ in found]
+    if "good" not in labels:  # the surest undecided kind stands for the text, in the article if it has some
         surest = next((x for x in ("near good", "rare", "short", "heading") if x in labels), "")
-        labels = ["good" if x == surest else x for x in labels]
-    return "\n".join(b[0] for b, keep in zip(found, _second_pass(labels, edge=""), strict=True) if keep)
+        within = any(i and x == surest for x, i in zip(labels, inside, strict=True))
+        labels = ["good" if x == surest and i >= within else x for x, i in zip(labels, inside, strict=True)]
+    return "\n".join(b[0] for b, keep in zip(found, _second_pass(labels, inside, edge=""), strict=True) if keep)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -188,6 +188,14 @@ def test_html_without_article_keeps_short_and_rare_text():
     assert html_extract.main_text(f"<p>{long}</p><h2>Elsewhere</h2>{links}") == long.strip()
 
 
+def test_article_mark_is_only_a_prior():
+    long = "It is the text of a page whose article marks are around the teasers and not around what is to be read. " * 3
+    card = "<article><h3><a>Some other story</a></h3><p>Teaser</p><p><a>Read on</a></p></article>"
+    assert html_extract.main_text(f"<div><h1>Title</h1><p>{long}</p><p>The end.</p></div>{card}{card}").split("\n") == ["Title", long.strip(), "The end."]
+    article = f"<article><h1>Title</h1><p>By <a>Somebody Known</a></p><p>{long}</p><p>a | b | c</p></article>"
+    assert html_extract.main_text(f"{article}<div>All rights kept</div>").split("\n") == ["Title", long.strip(), "a | b | c"]
+
+
 def test_quality_features_and_ftrl():
     assert len(quality.features(None)[0]) == len(quality.features(" \n")[0]) == 0
     place, value = quality.features("a b a b !!")
