@@ -46,7 +46,7 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages")).drop("block_score")
+    return url_filter.judge(table(spark, sf_dir, "pages"), labelled=url_filter.labelled_urls(spark)).drop("block_score")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """URL filter: list rules first, a logistic regression for the URLs that no rule decides.
 
 The regression works on hashed character n-grams of host and path and is trained from a
-small labelled URL table; without one, from URLs that the rules decide.
+small labelled URL table (`labelled_urls`); without one, from URLs that the rules decide.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.llm.common import ascii_lower
@@ -17,6 +17,26 @@ from hourglass.llm.common import ascii_lower
 #: (rule, verdict): host, then path prefix from the first slash on
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
          ("net/es/", "block"), ("net/fr/", "block"))
+#: names of hosts, labelled by hand from what the words say, whatever the rules are: gambling, pills, adult, adverts and
+#: tracking, spam and fraud are unwanted; the others are everyday names in four languages, plain and of two parts
+UNWANTED = tuple("""casino-win casino online-casino best-casino free-bets bets sports-bets poker-room slots-win jackpot-win roulette
+cheap-pills pills-shop pills viagra-shop pharmacy-deals adult-x adult-video adult xxx-cams porn-tube sex-chat ads-track ads
+ad-click click-track tracker-ads banner-ads popup-ads spam-farm spam link-farm seo-spam payday-loans fast-loans free-money
+get-rich free-prize warez-crack crack-keys phish-login""".split())
+ORDINARY = tuple("""news weather city-news museum library school science history travel recipes garden music theatre sports
+football health doctor hospital university research books reading letters nature mountain river forest ocean island family
+children farming-tips kitchen workshop engine railway station harbour market bakery shoemaker software computer network
+free-software open-data photo-album track-and-field green-farm winter-sports address-book nachrichten wetter stadt zeitung
+bibliothek schule wissenschaft geschichte reisen garten musik gesundheit strasse bahnhof nouvelles meteo ville journal
+bibliotheque ecole histoire voyage cuisine jardin musique sante gare noticias tiempo ciudad periodico biblioteca escuela
+ciencia historia viajes cocina jardin-botanico salud estacion then other thing another nothing thought reason mention
+attention nation station-house standing handing leading singing string ering thereon ashore fishing washed shelter
+shadow adding reading-room stone blending table stable able tested reader address wind window winter answer""".split())
+#: what stands before and after each of the names alike, so that neither domain nor language nor path tells the label
+PREFIXES = ("", "www.", "m.", "blog.")
+DOMAINS = ("example.com", "example.net", "example.org")
+LANGUAGES = ("en", "de", "fr", "es")
+TAILS = ("", "/", ".html")
 #: labelled URLs the regression is trained from, at most: those with the smallest hashes
 TRAIN_ROWS = 10_000
 FEATURES = 1 << 12
@@ -84,6 +104,18 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> UrlModel:
     return UrlModel(fit.fit(_features(bounded)))
 
 
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """The labelled URL table: host, path and block, twelve URLs of every name."""
+    def named(names: tuple[str, ...], block: float) -> DataFrame:
+        return spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("name"), F.lit(block).alias("block"))
+
+    shapes = [F.struct(F.lit(prefix).alias("before"), F.lit(f".{domain}").alias("after"),
+                       F.lit(f"/{LANGUAGES[(i + j) % 4]}/{1000 + 617 * (3 * i + j)}{TAILS[(i + j) % 3]}").alias("path"))
+              for i, prefix in enumerate(PREFIXES) for j, domain in enumerate(DOMAINS)]
+    urls = named(UNWANTED, 1.0).unionByName(named(ORDINARY, 0.0)).withColumn("shape", F.explode(F.array(*shapes)))
+    return urls.select(F.concat("shape.before", "name", "shape.after").alias("host"), F.col("shape.path").alias("path"), "block")
+
+
 def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> DataFrame:
     """One row per page row: page_id, host, path, rule, verdict, block_score.
 

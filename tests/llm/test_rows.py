@@ -142,6 +142,28 @@ def test_url_regression_learns(spark):
     assert wrong == 0
 
 
+def test_url_table_is_balanced_and_does_not_follow_the_rules(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from hourglass.llm.queries import op7_url_filter
+
+    table = url_filter.labelled_urls(spark)
+    shapes = {}
+    for r in table.collect():
+        name = re.sub(r"^(www\.|m\.|blog\.)|\.example\..*$", "", r["host"])
+        shapes.setdefault(name, []).append((r["host"].replace(name, "*"), r["path"]))
+    assert len({tuple(sorted(x)) for x in shapes.values()}) == 1 and not {*url_filter.UNWANTED} & {*url_filter.ORDINARY}
+    unseen = [(f"{p}{n}.example.{d}", f"/{lang}/77", float(k)) for k, names in enumerate((("river-house", "bookshelf", "mountains"), ("casino-bets", "cheap-viagra", "spam-ads")))
+              for n in names for p in ("", "www.") for d in ("com", "net", "org") for lang in ("en", "de", "fr", "es")]
+    scored = url_filter.train(table).score(spark.createDataFrame(unseen, "host string, path string, block double"))
+    names = scored.groupBy("block", F.regexp_replace("host", r"^www\.|\.example.*$", "").alias("name")).agg(
+        F.sum((F.col("block_score") >= 0.5).cast("int")).alias("blocked")).collect()
+    assert all(r["blocked"] in (0, 24) for r in names)  # neither domain nor language decides
+    assert not any(r["blocked"] for r in names if not r["block"]) and sum(r["blocked"] > 0 for r in names if r["block"]) >= 2
+    undecided = op7_url_filter(spark, sf_dir).filter("rule IS NULL")
+    assert undecided.filter("verdict = 'block'").count() < 0.1 * undecided.count()
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Menu of the site</a></ul></nav><header>Head of the page</header><!-- no <p>comment</p> -->
 <div class="ad">Buy the thing of the week</div><article><h1>Title &amp; more</h1><p><b>First   par
