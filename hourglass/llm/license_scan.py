@@ -1,7 +1,9 @@
 """License scan: phrases at their places, and an exact set-similarity join with templates.
 
-The join pairs text blocks (lines) with license templates of which they hold at least a
-share `containment` of the distinct words: |B & T| >= ceil(containment * |T|). Words that no
+The join pairs text blocks with license templates of which they hold at least a share
+`containment` of the distinct words: |B & T| >= ceil(containment * |T|). Blocks are the lines,
+and in paragraphs (runs of lines with words) the windows of consecutive lines that a
+template of so many words can be wrapped over. Words that no
 template holds cannot count, so a block's set is what it shares with the templates'
 vocabulary. Words are ordered by how many blocks of the corpus hold them, rarest first.
 Then with a = ceil(containment * |T|) shared words needed:
@@ -12,7 +14,8 @@ Then with a = ceil(containment * |T|) shared words needed:
 - position: with the first shared word at i in the template and j in the block, at most
   1 + min(|T|-i-1, |B|-j-1) words are shared.
 
-What passes all three is verified by counting.
+What passes all three is verified by counting. A paragraph's windows are counted for the
+templates alone that the paragraph as a whole meets.
 """
 
 from __future__ import annotations
@@ -58,6 +61,7 @@ class TemplateIndex:
     def __init__(self, templates, frequency: dict[bytes, int], containment: tuple[int, int] = CONTAINMENT):
         num, den = containment
         sets = [(label, frozenset(words(text))) for label, text in templates]
+        self.lengths = [len(words(text)) for (_, text), (_, s) in zip(templates, sets, strict=True) if s]
         sets = [(label, s) for label, s in sets if s]
         self.vocabulary = frozenset().union(*(s for _, s in sets))
         order = sorted(self.vocabulary, key=lambda w: (frequency.get(w, 0), w))
@@ -69,8 +73,8 @@ class TemplateIndex:
             for i, w in enumerate(sorted(s, key=self.rank.__getitem__)[: len(s) - a + 1]):
                 self.prefix[w].append((t, i))
 
-    def matches(self, block: set[bytes]) -> list[tuple[str, float]]:
-        """(label, containment) of every template that the block's words meet."""
+    def _met(self, block: set[bytes]) -> list[tuple[int, int]]:
+        """(template, shared words) of every template that the block's words meet."""
         block = block & self.vocabulary
         size = len(block)
         if size < self.least:
@@ -78,13 +82,39 @@ class TemplateIndex:
         out, seen = [], set()
         for j, w in enumerate(sorted(block, key=self.rank.__getitem__)[: size - self.least + 1]):
             for t, i in self.prefix.get(w, ()):
-                label, s, a = self.templates[t]
+                _, s, a = self.templates[t]
                 if t in seen or size < a or j > size - a or 1 + min(len(s) - i - 1, size - j - 1) < a:
                     continue
                 seen.add(t)
                 shared = len(s & block)
                 if shared >= a:
-                    out.append((label, shared / len(s)))
+                    out.append((t, shared))
+        return out
+
+    def matches(self, block: set[bytes]) -> list[tuple[str, float]]:
+        """(label, containment) of every template that the block's words meet."""
+        return [(self.templates[t][0], shared / len(self.templates[t][1])) for t, shared in self._met(block)]
+
+    def wrapped(self, lines: list[list[bytes]]) -> list[tuple[str, float]]:
+        """(label, containment) of every template that consecutive lines of a paragraph meet.
+
+        With a template of n words a window is two lines or more: the last n words of its first
+        line, the first n of its last, and all lines between, which hold fewer than n words.
+        """
+        out = []
+        for t, _ in self._met(set().union(*map(self.vocabulary.intersection, lines))):
+            label, s, a = self.templates[t]
+            n, most = self.lengths[t], 0
+            for i in range(len(lines) - 1):
+                held, between = s.intersection(lines[i][-n:]), 0
+                for k in range(i + 1, len(lines)):
+                    held |= s.intersection(lines[k][:n])
+                    between += len(lines[k])
+                    if between >= n:
+                        break
+                most = max(most, len(held))
+            if most >= a:
+                out.append((label, most / len(s)))
         return out
 
 
@@ -124,12 +154,17 @@ def _scan(shared, phrases: dict[str, str]):
         for batch in sliced(batches, 256):
             rows = []
             for text in batch.column("text").to_pylist():
-                found, met = [], []
-                for line in _lines(text):
+                found, met, paragraph = [], [], []
+                for line in [*_lines(text), ""]:
                     own = words(line)
                     found += own
                     if len(own) >= index.least:
                         met += index.matches(set(own))
+                    if own:
+                        paragraph.append(own)
+                    elif paragraph:
+                        met += index.wrapped(paragraph) if len(paragraph) > 1 else []
+                        paragraph = []
                 n, first, last, labels = base(found)
                 every = labels | {label for label, _ in met}
                 score = max([1.0] * bool(labels) + [c for _, c in met], default=0.0)
@@ -148,7 +183,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates=TEMPL
     base_labels, labels, score.
 
     n_base counts all places of all phrases; score is 1 with a phrase, else the largest
-    containment of a template that a line meets, else 0. Null and empty texts have no words
+    containment of a template that a line or a window of lines meets, else 0. Null and empty texts have no words
     and no labels (empty strings); null ids stay; repeated rows come out as often as they
     went in; an empty table gives no rows. Other columns are not read.
 

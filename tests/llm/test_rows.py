@@ -49,6 +49,24 @@ def test_set_similarity_join_is_exact():
         assert sorted(index.matches(block)) == want
 
 
+def test_wrapped_notices_are_met(spark):
+    import textwrap
+
+    texts = {label: text for label, text in license_scan.TEMPLATES if label in ("mit-notice", "bsd", "apache-notice")}
+    rows = []
+    for k, text in enumerate(texts.values()):
+        header = textwrap.wrap(f"Copyright of somebody, who wrote all of it. {text} and so on, as the rest of the notice goes.", 76)
+        rows += [(3 * k, "\n".join(f" * {x}" for x in header)), (3 * k + 1, "code();\r\n\r\n" + "\r\n".join(header)),
+                 (3 * k + 2, "\n \n".join(header))]
+    out = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), phrases={}).collect()}
+    for k, label in enumerate(texts):
+        assert out[3 * k]["labels"] == out[3 * k + 1]["labels"] == label and out[3 * k]["score"] == 1.0
+        assert out[3 * k + 2]["labels"] == "" and out[3 * k + 2]["score"] == 0  # one line each paragraph
+    index = license_scan.TemplateIndex([("t", "a b c d e")], {})
+    a = lambda text: [license_scan.words(x) for x in text.split("|")]
+    assert index.wrapped(a("x a b|c|d e y")) == [("t", 1.0)] and index.wrapped(a("a b|" + "x " * 5 + "|c d e")) == []
+
+
 @pytest.fixture(scope="module")
 def counter():
     with open(TOKENIZER, encoding="utf-8") as f:
