@@ -49,6 +49,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: copies of equal rows that one task makes at a time
+COPIES = 4_000
+
+
+def counted_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows of `df` and how often they came, as _n."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+
+
+def each_copy(counted: DataFrame, keys: list[str], copy: str) -> DataFrame:
+    """Every row _n times, numbered from 0 in `copy`; the copies of one row are dealt over tasks."""
+    parts = counted.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("_n") - 1, F.lit(COPIES)))))
+    first = F.col("_part") * COPIES
+    each = F.explode(F.sequence(first, F.least("_n", first + COPIES) - 1))
+    return parts.repartition(*keys, "_part").withColumn(copy, each).drop("_part", "_n")
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """Smaller batches: what a worker makes from one at a time stays small."""
     for batch in batches:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from hourglass.llm.common import SPACED_WORD, stored
+from hourglass.llm.common import SPACED_WORD, counted_copies, each_copy, stored
 
 WEIGHTS = (1, 2, 3)
 #: no document and no source is taken more often than this
@@ -96,15 +96,21 @@ def landing(size: np.ndarray, x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _level(rows: DataFrame, level: int, block_rows: int, seed: int) -> DataFrame:
-    """One flight over all blocks; sources that have one block land. Adds x and `landed`."""
+def _dealt(rows: DataFrame, level: int, block_rows: int) -> DataFrame:
+    """Adds the source's number of blocks and the row's block; copies of a row go to blocks in turn."""
     per = rows.groupBy("source").agg(F.count("*").alias("_rows")).select(F.col("source").alias("_source"), (
         F.ceil(F.col("_rows") / F.lit(block_rows))).cast("int").alias("blocks"))
-    dealt = rows.join(per, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(level)), F.col("blocks")))
+    first = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(level)), F.col("blocks"))
+    return rows.join(per, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
+        "block", F.pmod(first + F.col("copy"), F.col("blocks")))
+
+
+def _level(rows: DataFrame, level: int, block_rows: int, seed: int) -> DataFrame:
+    """One flight over all blocks; sources that have one block land. Adds x and `landed`."""
+    dealt = _dealt(rows, level, block_rows)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["size", "doc_id", "text_hash"], ascending=[False, True, True], ignore_index=True)
+        group = group.sort_values(["size", "doc_id", "text_hash", "copy"], ascending=[False, True, True, True], ignore_index=True)
         size = group["size"].to_numpy()
         rng = np.random.default_rng([seed, level, int(group["block"].iloc[0])])
         x = flight(size, group["x"].to_numpy(), rng)
@@ -133,8 +139,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
     t = targets(sized, weights, share, most).select(F.col("source").alias("_source"), "source_size", "target")
     factor = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
     whole = F.floor(factor + 1e-12)
-    rows = sized.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").select(
-        "doc_id", "source", "size", "text_hash", "source_size", "target",
+    single = each_copy(counted_copies(sized), sized.columns, "copy")
+    rows = single.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").select(
+        "doc_id", "source", "size", "text_hash", "copy", "source_size", "target",
         whole.cast("long").alias("whole"), F.greatest(factor - whole, F.lit(0.0)).alias("x"))
     done, level = [], 0
     while True:  # a level leaves two rows of each block: three levels for 10^12 rows

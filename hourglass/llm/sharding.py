@@ -18,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourglass.llm.common import counted_copies, each_copy
+
 ROUNDS = 6
 #: rows that one numbering bucket holds on average
 BUCKET_ROWS = 50_000
@@ -61,22 +63,24 @@ def row_at(shard: Column, slot: Column, n: int, shards: int, seed: int = 0) -> C
 
 
 def numbered(df: DataFrame, keys: list[str], number: str = "row_number") -> tuple[DataFrame, int]:
-    """Adds global row numbers 0..N-1 and returns N.
+    """The `keys` of every row with global row numbers 0..N-1, and N.
 
     Order: by hash bucket of `keys`, then by `keys`. Rows that agree in all keys take
-    neighbouring numbers in any order. Only the bucket counts are summed up in one place.
+    neighbouring numbers; they are counted first, so that a bucket sorts distinct keys only.
+    Only the bucket counts are summed up in one place.
     """
     n = df.count()
     buckets = max(1, -(-n // BUCKET_ROWS))
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    dealt = counted_copies(df.select(*keys)).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy("_bucket").agg(F.count("*").alias("_n")).select(
-        F.col("_bucket").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-    out = dealt.withColumn("_place", F.row_number().over(within) - 1).join(
+    starts = dealt.groupBy("_bucket").agg(F.sum("_n").alias("_rows")).select(
+        F.col("_bucket").alias("_at"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_first() for k in keys]).rowsBetween(Window.unboundedPreceding, -1)
+    out = dealt.withColumn("_place", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(
         starts, F.col("_bucket") == F.col("_at"))
-    return out.withColumn(number, F.col("_start") + F.col("_place")).drop(
-        "_bucket", "_at", "_start", "_place"), n
+    out = each_copy(out, keys, "_copy")
+    return out.withColumn(number, F.col("_start") + F.col("_place") + F.col("_copy")).drop(
+        "_bucket", "_at", "_start", "_place", "_copy"), n
 
 
 def shard(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:

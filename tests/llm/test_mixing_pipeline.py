@@ -67,6 +67,23 @@ def test_mix(spark, sf_dir, block):
     assert sorted(map(str, out)) == sorted(map(str, mixing.mix(docs.repartition(3), block_rows=block).collect()))
 
 
+def test_equal_rows_are_split(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(9000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    docs = docs.unionByName(docs.limit(100).withColumn("source", F.lit("t")))
+    out = mixing.mix(docs, block_rows=500)
+    assert out.groupBy("source").count().collect() and out.count() == 9100
+    rows = docs.select("doc_id", "source", F.lit(3).alias("size"), F.xxhash64("text").alias("text_hash"))
+    single = mixing.each_copy(mixing.counted_copies(rows), rows.columns, "copy").withColumn("x", F.lit(0.5))
+    blocks = mixing._dealt(single, 0, 500).filter("source = 's'").groupBy("block").count().collect()
+    assert len(blocks) == 18 and {r["count"] for r in blocks} == {500}
+    made = single.groupBy("source", F.floor(F.col("copy") / 4000)).agg(F.countDistinct("copy").alias("n")).collect()
+    assert sorted(r["n"] for r in made) == [100, 1000, 4000, 4000]
+    numbers, n = sharding.numbered(rows, ["doc_id", "source", "size"])
+    assert n == 9100 and sorted(r[0] for r in numbers.select("row_number").collect()) == [*range(n)]
+
+
 def test_mix_on_odd_rows(documents, no_documents):
     out = mixing.mix(documents).collect()
     assert len(out) == documents.count() and sum(r["size"] == 0 for r in out) == 3
