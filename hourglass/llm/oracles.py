@@ -87,4 +87,52 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, compo
 FROM least_of LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLES = {"op1_license_scan": OP1, "op4_near_dedup": OP4, "op2_benchmark_decontamination": OP2, "op3_exact_top_k": OP3}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    regexp_extract_all(unnest(regexp_split_to_array({LOWER}, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM documents),
+places AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS s FROM pieces),
+grams AS (
+  SELECT lang, m, w[s : s + m - 1] AS p FROM places, unnest(generate_series(1, 5)) AS u(m) WHERE s + m - 1 <= len(w)),
+counted AS (SELECT lang, m, p, array_to_string(p, ' ') AS phrase, count(*) AS f FROM grams GROUP BY lang, m, p),
+totals AS (SELECT lang, sum(f) AS n FROM counted WHERE m = 1 GROUP BY lang),
+often AS (SELECT * FROM counted WHERE f >= 100),
+inside AS (
+  SELECT lang, array_to_string(p[s : s + k - 1], ' ') AS phrase, max(f) AS most
+  FROM often, unnest(generate_series(2, 4)) AS a(k), unnest(generate_series(1, 4)) AS b(s)
+  WHERE k < m AND s + k - 1 <= m GROUP BY 1, 2),
+open AS (
+  SELECT often.* FROM often LEFT JOIN inside USING (lang, phrase) WHERE m > 1 AND (most IS NULL OR 100 * most < 100 * f)),
+cuts AS (
+  SELECT o.lang, o.phrase, o.f AS a, k, x.f AS l, y.f AS r, n,
+    (1000::HUGEINT * o.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM open o JOIN totals USING (lang), unnest(generate_series(1, 4)) AS u(k), often x, often y
+  WHERE k < o.m AND x.lang = o.lang AND x.phrase = array_to_string(o.p[1 : k], ' ')
+    AND y.lang = o.lang AND y.phrase = array_to_string(o.p[k + 1 : o.m], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+OP12 = """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1 : 8] AS BIGINT) % (len(u) + 1) AS h1, CAST('0x' || h[9 : 16] AS BIGINT) % (len(u) + 1) AS h2,
+    CAST('0x' || h[17 : 24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25 : 32] AS BIGINT) % 100 AS h4 FROM docs),
+formed AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+                 WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1 : least(h1, h2)], '') AS p, array_to_string(u[least(h1, h2) + 1 : greatest(h1, h2)], '') AS m,
+    array_to_string(u[greatest(h1, h2) + 1 : n], '') AS s FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM formed
+"""
+
+ORACLES = {"op1_license_scan": OP1, "op4_near_dedup": OP4, "op2_benchmark_decontamination": OP2, "op3_exact_top_k": OP3,
+           "op11_phrase_collocations": OP11, "op12_fill_in_middle": OP12}

@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hourglass.llm import (
+    collocations,
     decontaminate,
+    fill_middle,
     html_extract,
     license_scan,
     mixing,
     near_dedup,
+    packing,
     quality,
     sharding,
     token_count,
@@ -61,6 +64,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.transform(table(spark, sf_dir, "documents"), texts=False)
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_benchmark_decontamination, op3_exact_top_k, op4_near_dedup, op5_source_mixing, op6_token_count,
-    op7_url_filter, op8_html_extraction, op9_quality_classifier, op10_sharding)}
+    op7_url_filter, op8_html_extraction, op9_quality_classifier, op10_sharding, op11_phrase_collocations, op12_fill_in_middle,
+    op13_best_fit_packing)}
