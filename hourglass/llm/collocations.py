@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import stored
+from hourglass.llm.common import sliced, stored
 
 LONGEST = 5
 LEAST = 100
@@ -33,7 +33,9 @@ TOP = 2000
 #: bits of the bitmap of frequent phrases: 4 MB whatever the corpus holds
 FILTER_BITS = 1 << 25
 #: bytes of text that a worker counts at a time; a longer text is cut between its pieces
-BLOCK = 4_000_000
+BLOCK = 1_000_000
+#: rows of a batch that are turned into Python values at a time
+ROWS = 256
 UNKNOWN = "und"
 #: parts of a language that are ranked apart before the final ranking
 DEALT = 32
@@ -114,7 +116,7 @@ def _parts(text: bytes) -> Iterator[bytes]:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     texts, langs, size = [], [], 0
-    for batch in batches:
+    for batch in sliced(batches, ROWS):
         for whole, lang in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist(), strict=True):
             for text in _parts(whole):
                 texts.append(text)
