@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,10 +32,31 @@ def max2(a, b) -> Column:
     return F.when(a > b, a).otherwise(b)
 
 
-def in_list(c, values) -> Column:
-    """`c IN (@multi)`; `None` means the parameter does not restrict."""
+#: longer lists are joined as a table instead of being written into the plan
+LITERALS = 1_000
+
+
+def parameter_table(values) -> DataFrame:
+    """A parameter list as a relation of one column; a DataFrame's first column as it is."""
+    if isinstance(values, DataFrame):
+        return values.select(values.columns[0])
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(pa.table({"value": pa.array(list(values), pa.string())}))
+
+
+def in_parameters(x: Column, values) -> Column:
+    """`x IN (@multi)` for a condition of a filter; `None` means the parameter does not
+    restrict. A long list, or a parameter given as a DataFrame, is an IN subquery: Spark plans
+    a semi-join with it. NULLs as in SQL: a NULL `x` or a NULL in the list matches nothing."""
     if values is None:
         return F.lit(True)
     if isinstance(values, str):  # one value given bare, not a list of characters
         values = (values,)
-    return _c(c).isin(list(values))
+    if isinstance(values, DataFrame) or len(values) > LITERALS:
+        return x.isin(parameter_table(values))
+    return x.isin(list(values))
+
+
+def in_list(c, values) -> Column:
+    """`c IN (@multi)`."""
+    return in_parameters(_c(c), values)

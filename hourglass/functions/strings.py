@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hourglass.functions.nulls import in_parameters
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -39,11 +41,7 @@ def lacks_suffix_like(c, suffix: str = "C") -> Column:
 
 def first_char_in(c, values) -> Column:
     """`LEFT(c, 1) IN (values)`; `values=None` means no restriction."""
-    if values is None:
-        return F.lit(True)
-    if isinstance(values, str):
-        values = (values,)
-    return left(c, 1).isin(list(values))
+    return in_parameters(left(c, 1), values)
 
 
 def number_text(c) -> Column:

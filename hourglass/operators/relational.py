@@ -32,37 +32,60 @@ def top1_per_group(
     return df.withColumn("_rn", place).where("_rn = 1").select(*keys, *keep)
 
 
-def null_aware_anti_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
-                         materialize_right: bool = True) -> DataFrame:
+def null_aware_anti_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
     """`left.left_col NOT IN (SELECT right_col FROM right)` with SQL three-valued logic.
 
     * right empty: every left row is kept, NULL keys included;
     * a NULL among the right values: no row is kept;
     * otherwise: rows whose key is non-NULL and unmatched.
 
-    The right side is reduced to its distinct values (partial aggregate), anti-joined with
-    an ordinary equi-join that AQE may broadcast or shuffle, and guarded by a one-row
-    summary (size bound: one row) instead of Spark's null-aware join, which only exists
-    as a broadcast of the whole right side.
-
-    The join side and the summary both read the distinct list. With `materialize_right`
-    (default) that list is checkpointed once into the shared folder (one job when the
-    plan is built), so the right side's plan — possibly a whole ledger arm — runs once;
-    otherwise each consumer re-evaluates it, because the filters Catalyst pushes into the
-    two copies differ and defeat exchange reuse.
-    """
+    One aggregate reduces the right side to its distinct values. An ordinary anti join, which
+    AQE may broadcast or shuffle, and a scalar subquery that tells whether the list is empty
+    and whether it has a NULL both read that aggregate. The join compares null-safely, so that
+    no filter is pushed into one of the two reads, and Spark runs their exchange once. Nothing
+    runs before the caller's action, and no side is collected or broadcast by hand (Spark's
+    own null-aware join is a broadcast of the whole right side)."""
     vals = right.select(F.col(right_col).alias("_nav")).distinct()
-    if materialize_right:
-        from hourglass.session import cut_lineage
-
-        vals = cut_lineage(vals)
-    summary = vals.agg(
-        F.count(F.lit(1)).alias("_nav_n"),
-        F.count_if(F.col("_nav").isNull()).alias("_nav_null"),
-    )
-    unmatched = left.join(vals.where(F.col("_nav").isNotNull()), F.col(left_col) == F.col("_nav"), "left_anti")
-    keep = (F.col("_nav_n") == 0) | ((F.col("_nav_null") == 0) & F.col(left_col).isNotNull())
-    return unmatched.crossJoin(F.broadcast(summary)).where(keep).drop("_nav_n", "_nav_null")
+    summary = vals.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_nav").isNull()).alias("nulls"))
+    empty = summary.select(F.col("n") == 0).scalar()
+    no_null = summary.select(F.col("nulls") == 0).scalar()
+    key = F.col(left_col)
+    unmatched = left.join(vals, key.eqNullSafe(F.col("_nav")), "left_anti")
+    return unmatched.where(empty | (no_null & key.isNotNull()))
+
+
+def keys_in_no_list(keys: DataFrame, key: str, lists: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """`key NOT IN (list 1) AND key NOT IN (list 2) ...` for a frame of keys: its rows that pass,
+    as the one column `key`, repeated as often as they came.
+
+    All keys and list values go through one aggregate, each with a tag of the side it comes
+    from, reduced on the map side: a value says which sides hold it and how many key rows do.
+    A NULL in a list lets nothing pass (the flags are one row, from the same aggregate, whose
+    exchange is run once); a NULL key passes only if every list is empty. Each side is read
+    once and nothing runs before the caller's action."""
+    tagged = keys.select(F.col(key).alias("_key"), F.lit(0).alias("_side"))
+    for k, (df, col) in enumerate(lists, 1):
+        tagged = tagged.unionByName(df.select(F.col(col).alias("_key"), F.lit(1 << (k - 1)).alias("_side")))
+    sides = tagged.groupBy("_key").agg(F.bit_or("_side").alias("_in"), F.count_if(F.col("_side") == 0).alias("_n"), F.max("_key").alias("_value"))
+    # both reads of the aggregate have one shape: the flags read all of its columns, and the
+    # key goes out as an aggregate, through which no later join's null filter is pushed
+    whole = F.struct("_in", "_n", "_value")
+    flags = sides.agg(F.max(whole).alias("_most"), F.max(F.when(F.col("_key").isNull(), whole)).alias("_of_null")).select(
+        F.coalesce(F.col("_most._in"), F.lit(0)).alias("_any"), F.coalesce(F.col("_of_null._in"), F.lit(0)).alias("_null"))
+    passes = (F.col("_any") == 0) | ((F.col("_null") == 0) & F.col("_value").isNotNull())
+    out = sides.crossJoin(F.broadcast(flags)).where((F.col("_in") == 0) & (F.col("_n") > 0) & passes)
+    return out.select(F.col("_value").alias(key), F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))).alias("_copy")).select(key)
+
+
+def first_source_rows(rows: DataFrame, key: str, source: str, value: str) -> DataFrame:
+    """Rows whose `source` is the smallest one present for their `key`: the priority of
+    several feeds (`... AND key NOT IN (SELECT key FROM better feed)`), for any number of them.
+
+    `rows` must be an aggregate. The smallest source comes from the same aggregate, `value`
+    included, so that both reads of it have one shape and its exchange is run once. Keys are
+    compared null-safely: a NULL key is a key of its own."""
+    best = rows.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(F.col(source), F.col(value))).alias("_best"))
+    return rows.join(best, F.col(key).eqNullSafe(F.col("_key"))).where(F.col(source) == F.col("_best")[source]).drop("_key", "_best")
 
 
 def update_from_join(target: DataFrame, source: DataFrame, key: str, set_col: str, source_col: str | None = None) -> DataFrame:

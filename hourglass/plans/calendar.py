@@ -46,31 +46,18 @@ def period_rollup_table(sp: DataFrame) -> DataFrame:
                     "ActivityIsProcessed"))
 
 
-def previous_periods_frame(rollup: DataFrame, period_type: str, period) -> DataFrame:
-    """One row: the latest and second-latest snapshot of the type strictly before `period`."""
-    dates = rollup.where(F.col("PeriodType") == period_type).select(F.col("SnapshotDate").cast("date").alias("d"))
-    p = F.lit(period).cast("date")
-    last = dates.where(F.col("d") < p).agg(F.max("d").alias("last_period"))
-    return last.join(dates, F.col("d") < F.col("last_period"), "left").groupBy("last_period").agg(
-        F.max("d").alias("last2_period"))
-
-
 def resolve_periods(rollup: DataFrame, work_week: DataFrame, period_type: str, period: dt.date) -> ResolvedPeriods:
-    """The seven scalars of the EV report (period, previous two, and their work weeks), in
-    one small job: the one-row previous-periods frame meets the work weeks (linear in the
-    weeks) and a single aggregate returns everything."""
-    prev = previous_periods_frame(rollup, period_type, period)
+    """The seven scalars of the EV report (period, previous two, and their work weeks). Two
+    aggregates over dimensions: the snapshots of the type before `period` (one date each, so
+    the set is calendar-sized), then the work weeks."""
+    d = F.col("SnapshotDate").cast("date")
+    before = rollup.where((F.col("PeriodType") == period_type) & (d < F.lit(period).cast("date"))).agg(
+        F.slice(F.sort_array(F.collect_set(d), asc=False), 1, 2).alias("d")).collect()[0]["d"]
+    last, last2 = [*before, None, None][:2]
     start = F.col("WWStartDate")
-    row = work_week.crossJoin(F.broadcast(prev)).agg(
-        F.first("last_period", ignorenulls=True).alias("l1"), F.first("last2_period", ignorenulls=True).alias("l2"),
-        F.max(F.when(start <= F.lit(period), F.col("WorkWeek"))).alias("pw"),
-        F.max(F.when(start <= F.col("last_period"), F.col("WorkWeek"))).alias("l1w"),
-        F.max(F.when(start <= F.col("last2_period"), F.col("WorkWeek"))).alias("l2w"),
-    ).collect()[0]
-    if row["l1"] is None and row["pw"] is None:  # no work weeks at all: resolve the dates alone
-        r = prev.collect()[0]
-        return ResolvedPeriods(period, r["last_period"], r["last2_period"], None, None, None)
-    return ResolvedPeriods(period, row["l1"], row["l2"], row["pw"], row["l1w"], row["l2w"])
+    row = work_week.agg(*[F.max(F.when(start <= F.lit(x).cast("date"), F.col("WorkWeek"))).alias(name)
+                          for x, name in ((period, "pw"), (last, "l1w"), (last2, "l2w"))]).collect()[0]
+    return ResolvedPeriods(period, last, last2, row["pw"], row["l1w"], row["l2w"])
 
 
 def fiscal_week_map(date_dim: DataFrame, work_week: DataFrame, half_open: bool = False) -> DataFrame:
@@ -117,14 +104,11 @@ def year_axis(dates: DataFrame, report: str, base_year: str, date_col: str = "Da
     return ordinal(years, ["y"]).select(F.col("y").cast("string").alias("Year"), "rn")
 
 
-def axis_bounds(axis: DataFrame) -> tuple[str | None, str | None]:
-    """(year of rn 1, year of rn 7); NULL when the axis is shorter. As scalar subqueries,
-    both raise when the axis holds such a number twice."""
-    rows = axis.where(F.col("rn").isin(1, 7)).groupBy("rn").agg(F.count("*").alias("n"), F.max("Year").alias("Year")).collect()
-    if any(r["n"] > 1 for r in rows):
-        raise ValueError("a scalar subquery returned more than one row")
-    years = {r["rn"]: r["Year"] for r in rows}
-    return years.get(1), years.get(7)
+def axis_bounds(axis: DataFrame) -> tuple[Column, Column]:
+    """(year of rn 1, year of rn 7) as scalar subqueries: NULL when the axis is shorter; Spark
+    raises when the axis holds such a number twice. Nothing runs before the caller's action."""
+    first, last = (axis.where(F.col("rn") == n).select("Year").scalar() for n in (1, 7))
+    return first, last
 
 
 def spine_bounds(graph_start: str, graph_end: str, data_min, data_max) -> tuple[Column, Column]:

@@ -6,14 +6,16 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourglass.functions import concat_null, isnull
 from hourglass.operators import conditional_sums
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans.calendar import period_rollup_table, resolve_periods
 from hourglass.plans.gate import use_live_sources
-from hourglass.plans.ledger import EARNED, Branch, build_ledger, scope
+from hourglass.plans.ledger import EARNED, Branch, build_ledger, scope, share_activities
 from hourglass.sources.catalog import ProjectSources, live_scan, snapshot_scan
+from hourglass.sources.staging import Staging
 
 DEC = "decimal(19,6)"
 # Budget column per requested baseline (Daily branch, current rows).
@@ -52,20 +54,35 @@ def earned_value_rows(wp: DataFrame, current_date, last_date) -> DataFrame:
                      F.col("BR_PIEPCCC").alias("PIEPCCC"), F.col("BR_ProjectNumber").alias("ProjectNumber"),
                      ev.alias("ev"))
     attrs = ["Activity_ID", "Activity_Name", "PIEPCCC", "ProjectNumber"]
-    cur = snapshot_scan(base, current_date).alias("a")
-    last = snapshot_scan(base, last_date).alias("b")
-    pairs = cur.join(last, F.col("a.Activity_Key") == F.col("b.Activity_Key"), "full_outer").select(
-        F.lit(current_date).cast("date").alias("Snapshot_Date"),
-        *[F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in attrs],
-        F.coalesce(F.col("a.ev"), F.lit(0)).alias("Earned_LTD"),
-        F.coalesce(F.col("b.ev"), F.lit(0)).alias("Earned_Last_LTD"),
-    )
-    cd = F.lit(current_date).cast("date")
-    rest = base.where(F.col("Snapshot_Date").isNotNull() & (cd.isNull() | (F.col("Snapshot_Date") != cd))).select(
-        "Snapshot_Date", *attrs, F.col("ev").alias("Earned_LTD"), F.lit(0).alias("Earned_Last_LTD"))
+    cd, ld = F.lit(current_date).cast("date"), F.lit(last_date).cast("date")
+    d, row = F.col("Snapshot_Date"), F.struct(*attrs, "ev")
+    is_cur, is_last = F.coalesce(d == cd, F.lit(False)), F.coalesce(d == ld, F.lit(False))
+    rest = F.coalesce(d.isNotNull() & (cd.isNull() | (d != cd)), F.lit(False))
+    # one pass over both snapshots folds an activity's states into one row; a NULL key meets
+    # nothing, so each such row is folded by itself
+    lone = F.when(F.col("Activity_Key").isNull(), F.monotonically_increasing_id())
+    folded = base.groupBy("Activity_Key", lone.alias("_lone")).agg(
+        F.collect_list(F.when(is_cur, row)).alias("cur"), F.collect_list(F.when(is_last, row)).alias("last"),
+        F.collect_list(F.when(rest, F.struct(d, *attrs, "ev"))).alias("rest"))
+    none = F.lit(None).cast(row_type(base, attrs))
+    one = lambda c: F.when(F.size(c) == 0, F.array(none)).otherwise(F.col(c))
+    zero = F.lit(0).cast(base.schema["ev"].dataType)
+    # a repeated key joins each of its current rows with each of its previous ones
+    pairs = F.flatten(F.transform(one("cur"), lambda a: F.transform(one("last"), lambda b: F.struct(
+        cd.alias("Snapshot_Date"), *[F.coalesce(a[c], b[c]).alias(c) for c in attrs],
+        F.coalesce(a["ev"], zero).alias("Earned_LTD"), F.coalesce(b["ev"], zero).alias("Earned_Last_LTD")))))
+    met = (F.size("cur") > 0) | (F.size("last") > 0)
+    again = F.transform(F.col("rest"), lambda r: F.struct(
+        r["Snapshot_Date"].alias("Snapshot_Date"), *[r[c].alias(c) for c in attrs], r["ev"].alias("Earned_LTD"), zero.alias("Earned_Last_LTD")))
     if current_date is None:
-        return rest
-    return pairs.unionByName(rest)
+        made = again
+    else:
+        made = F.concat(F.when(met, pairs).otherwise(F.slice(pairs, 1, 0)), again)
+    return folded.select(F.explode(made).alias("r")).select("r.*")
+
+
+def row_type(df: DataFrame, attrs: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, df.schema[c].dataType) for c in (*attrs, "ev")])
 
 
 def earned_arm(br: Branch, calendar: DataFrame) -> DataFrame:
@@ -152,30 +169,28 @@ def project_report(ledger: DataFrame, br: Branch, sort: bool = True) -> DataFram
     return out
 
 
-def ev_report(src: ProjectSources, params: ReportParams, live: bool | None = None, sort: bool = True,
-              checkpoint_ledger: bool = False) -> DataFrame:
-    """The whole EV project report: resolve periods, pick sources, build the ledger, pivot.
-
-    `checkpoint_ledger=True` writes the ledger to the session's shared checkpoint folder
-    first (reliable checkpoint), for callers that pivot one ledger several ways or want the
-    thirteen-arm lineage cut before the report stage."""
+def resolved_branch(src: ProjectSources, params: ReportParams, live: bool | None = None) -> Branch:
+    """Periods resolved and sources picked, for functions that build single arms."""
     rollup = period_rollup_table(src.snapshot_period)
     periods = resolve_periods(rollup, src.work_week, params.period_type, params.period)
     if live is None:
         live = use_live_sources(src.snapshot_period, params.period)
-    br = Branch(src, params, periods, live)
-    ledger = build_ledger(br, earned=earned_arm(br, src.time_phase_period))
-    if checkpoint_ledger:
-        from hourglass.session import cut_lineage
+    return Branch(src, params, periods, live)
 
-        ledger = cut_lineage(ledger)
-    return project_report(ledger, br, sort=sort)
 
+def ev_report(src: ProjectSources, params: ReportParams, live: bool | None = None, sort: bool = True,
+              staging: Staging | None = None) -> DataFrame:
+    """The whole EV project report: resolve periods, pick sources, build the ledger, pivot.
 
-def ledger_only(src: ProjectSources, params: ReportParams, live: bool | None = None) -> DataFrame:
-    rollup = period_rollup_table(src.snapshot_period)
-    periods = resolve_periods(rollup, src.work_week, params.period_type, params.period)
-    if live is None:
-        live = use_live_sources(src.snapshot_period, params.period)
-    br = Branch(src, params, periods, live)
+    The L2 activities are read once and stored in `staging`, which the caller closes after
+    the report has run; without one they last until the application ends."""
+    br = resolved_branch(src, params, live)
+    br = share_activities(br, staging or Staging.of_application(src.snapshot_period.sparkSession))
+    return project_report(build_ledger(br, earned=earned_arm(br, src.time_phase_period)), br, sort=sort)
+
+
+def ledger_only(src: ProjectSources, params: ReportParams, live: bool | None = None, staging: Staging | None = None) -> DataFrame:
+    """The ledger of the report, all arms."""
+    br = resolved_branch(src, params, live)
+    br = share_activities(br, staging or Staging.of_application(src.snapshot_period.sparkSession))
     return build_ledger(br, earned=earned_arm(br, src.time_phase_period))

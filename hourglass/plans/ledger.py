@@ -9,18 +9,20 @@ aggregate here.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import concat_null, first_char_in, in_list, isnull, lacks_suffix
-from hourglass.operators import (append_typed, null_aware_anti_join, pre_aggregated_join, sum_of, top1_per_group,
-                                 two_level_ratio)
+from hourglass.functions.nulls import LITERALS, parameter_table
+from hourglass.operators import (append_typed, first_source_rows, keys_in_no_list, pre_aggregated_join, sum_of,
+                                 top1_per_group, two_level_ratio)
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans.calendar import fiscal_week_map
 from hourglass.sources.catalog import ProjectSources, live_scan, snapshot_scan
+from hourglass.sources.staging import Staging
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("ProjectNumber", T.StringType()),
@@ -82,9 +84,71 @@ class Branch:
         return snapshot_scan(self.need("time_phase_baseline_weekly"), self.periods.period)
 
 
+#: columns of the L2 activities that any arm of the report reads
+ACTIVITY_COLS = ["Snapshot_Date", "Activity_Key", "Activity_ID", "Activity_Name", "Activity_Type", "BR_ProjectNumber", "BR_PIEPCCC",
+                 "BR_CM_ACTIVITY_LEVEL_Val", "BR_NR_EXECUTION_WINDOWS_Val", "BR_NR_LOE_WORK_Val", "BR_L2WorkPackage",
+                 "BR_Percent_Complete", "ApprBL_Budgeted_Labor_Units", "RecBL_Budgeted_Labor_Units", "OrigBL_Budgeted_Labor_Units", "Finish"]
+#: what an activity row feeds, as bits of `arms`: the arms of this period (finish dates and
+#: actual hours take its rows as they are), the scoped arms, the scoped arms without the
+#: TT_WBS condition, the package map, the weekly burden
+NOW, SCOPED, SCOPED_ANY_TYPE, MAPPED, BURDENED = 1, 2, 4, 8, 16
+ARMS = "arms"
+
+
+def _feeds(df: DataFrame, arm: int) -> Column | None:
+    """Whether a row feeds the arm, where one pass has tagged the rows."""
+    return F.col(ARMS).bitwiseAND(F.lit(arm)) != 0 if ARMS in df.columns else None
+
+
+def _listed(df: DataFrame, column: str, values, flag: str) -> DataFrame:
+    """`column IN (@multi)` as a flag. A long list is joined, as a subquery may only stand in
+    a filter; its values are made distinct, so that no row is repeated."""
+    if values is None or isinstance(values, str) or (not isinstance(values, DataFrame) and len(values) <= LITERALS):
+        return df.withColumn(flag, F.coalesce(in_list(column, values), F.lit(False)))
+    named = parameter_table(values).toDF("_value").distinct().withColumn(flag, F.lit(True))
+    return df.join(named, F.col(column) == F.col("_value"), "left").withColumn(flag, F.coalesce(flag, F.lit(False))).drop("_value")
+
+
+def tagged_activities(df: DataFrame, p: ReportParams, now: Column) -> DataFrame:
+    """The L2 activity rows that feed any arm of the report, with the arms they feed as bits:
+    every condition of the arms is evaluated here, once per row."""
+    df = _listed(_listed(df, "BR_ProjectNumber", p.projects, "_project"), "BR_PIEPCCC", p.piepccc, "_pie")
+    windowed = F.coalesce(lacks_suffix("BR_NR_EXECUTION_WINDOWS_Val"), F.lit(False))
+    scoped = windowed & F.col("_project") & F.col("_pie") & F.coalesce(F.col("BR_CM_ACTIVITY_LEVEL_Val") == "2", F.lit(False))
+    wbs = scoped & F.coalesce(F.col("Activity_Type") == "TT_WBS", F.lit(False))
+    bits = [(NOW, now), (SCOPED, wbs), (SCOPED_ANY_TYPE, scoped), (MAPPED, F.col("_project")), (BURDENED, F.col("_project") & F.col("_pie"))]
+    arms = None
+    for bit, fed in bits:
+        here = F.when(fed, bit).otherwise(0)
+        arms = here if arms is None else arms.bitwiseOR(here)
+    return df.select("*", arms.alias(ARMS)).where(F.col(ARMS) != 0).drop("_project", "_pie")
+
+
+def share_activities(br: Branch, staging: Staging) -> Branch:
+    """The branch with its L2 activities read once: the rows of this and the last period that
+    feed any arm are tagged in one pass and stored, and all arms read what is stored. Weekly:
+    one scan of two partitions; Live: the Live rows of the daily view and one partition of
+    the weekly view."""
+    per, s = br.periods, br.src
+    extra = ["Snapshot_Period"] if br.live else []
+
+    def part(df: DataFrame, now: Column, name: str, more: list[str]) -> DataFrame:
+        cols = [c for c in [*ACTIVITY_COLS, *more] if c in df.columns]
+        return staging.store(tagged_activities(df.select(*cols), br.params, now), name, partition_by="Snapshot_Date")
+
+    if br.live:
+        return replace(br, src=replace(s, activity_l2_daily=part(live_scan(br.need("activity_l2_daily")), F.lit(True), "activities-live", extra),
+                                       activity_l2_weekly=part(br.l2_last(), F.lit(False), "activities-last", [])))
+    both = snapshot_scan(br.need("activity_l2_weekly"), [per.period, per.last_period])
+    return replace(br, src=replace(s, activity_l2_weekly=part(both, F.col("Snapshot_Date") == F.lit(per.period), "activities", [])))
+
+
 def scope(df: DataFrame, p: ReportParams, wbs_only: bool = True, level: bool = True) -> DataFrame:
     """The report's L2 filter: level '2', TT_WBS, window code not ending in C, PIEPCCC and
-    project lists."""
+    project lists. Rows that one pass has tagged already are told by their tag."""
+    tag = _feeds(df, SCOPED if wbs_only else SCOPED_ANY_TYPE)
+    if tag is not None and level:
+        return df.where(tag)
     cond = lacks_suffix("BR_NR_EXECUTION_WINDOWS_Val") & in_list("BR_PIEPCCC", p.piepccc) & in_list(
         "BR_ProjectNumber", p.projects)
     if level:
@@ -127,13 +191,15 @@ def work_package_map(br: Branch) -> DataFrame:
     period's and last period's rows in one scan."""
     order = [("BR_NR_LOE_WORK_Val", True), ("Activity_ID", False)]
     cols = ["Snapshot_Date", "BR_L2WorkPackage", "Activity_ID", "Activity_Name", "BR_NR_LOE_WORK_Val"]
-    proj = in_list("BR_ProjectNumber", br.params.projects)
     if br.live:
         arms = [live_scan(br.src.activity_l2_daily), br.l2_last()]
     else:
         arms = [snapshot_scan(br.src.activity_l2_weekly, [br.periods.period, br.periods.last_period])]
     out = None
     for a in arms:
+        proj = _feeds(a, MAPPED)
+        if proj is None:
+            proj = in_list("BR_ProjectNumber", br.params.projects)
         ranked = top1_per_group(a.where(proj).select(*cols), ["Snapshot_Date", "BR_L2WorkPackage"], order)
         out = ranked if out is None else out.unionByName(ranked)
     return out.withColumn("WorkPackage", concat_null(F.col("Activity_ID"), " - ", F.col("Activity_Name")))
@@ -315,17 +381,20 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     aa = br.l2_now()
 
     # 1. weekly burden
-    a1 = aa.where(in_list("BR_ProjectNumber", p.projects) & in_list("BR_PIEPCCC", p.piepccc)).select(
+    burdened = _feeds(aa, BURDENED)
+    if burdened is None:
+        burdened = in_list("BR_ProjectNumber", p.projects) & in_list("BR_PIEPCCC", p.piepccc)
+    a1 = aa.where(burdened).select(
         "Activity_ID", "BR_ProjectNumber", "Activity_Name", "BR_PIEPCCC")
     inv = s.weekly_burden.where(F.col("week_ending") <= F.lit(per.period))
     j1 = (pre_aggregated_join(inv, s.wbs_lookup, F.col("line_code") == F.col("alter_cost_c1_"),
                             ["alter_cost_c1_", "week_ending"], ["Total_Hours"])
           .join(a1, (F.col("Activity_ID") == F.col("wp")) & (F.col("BR_ProjectNumber") == F.col("project_no")))
           .join(cal, F.col("tpp_date") == F.col("week_ending")))
-    g1 = j1.groupBy(*_act_cols(j1), F.col("tpp_week").alias("WorkWeek")).agg(sum_of(j1, "Total_Hours").alias("h"))
-    src1 = _arm(g1, F.col("h"), F.lit(0), ACTUAL)
+    rows1 = j1.select(F.lit(1).alias("source"), *_act_cols(j1), F.col("tpp_week").alias("WorkWeek"), F.col("Total_Hours").alias("h"))
 
-    # 2. actual-hour feed for projects without source-1 rows
+    # 2. actual-hour feed; a project with source-1 rows takes those alone. Project numbers of
+    # both are never NULL here (they were joined on), so the smaller source decides.
     pm = s.project_master.where(in_list("ProjectNumber", p.projects)).select(F.col("ProjectNumber").alias("pm_project"))
     ah = s.actual_hour.where(first_char_in("wbs", p.piepccc))
     a2 = aa.select(F.col("Activity_ID").alias("a_id"), F.col("Activity_Name").alias("a_name"),
@@ -334,16 +403,18 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
                             ["Project", "wbs", "date00"], ["Hours"])
           .join(pm, F.col("pm_project") == F.col("Project"))
           .join(cal.where(F.col("tpp_date") <= F.lit(per.period)), F.col("tpp_date") == F.col("date00")))
-    j2 = null_aware_anti_join(j2, "pm_project", src1, "ProjectNumber")
-    g2 = j2.groupBy("Project", "wbs", "a_name", "tpp_week", "a_pie").agg(sum_of(j2, "Hours").alias("h"))
-    src2 = g2.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("wbs")).alias("Activity_ID"),
-                     isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
-                     F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
-                     F.lit(ACTUAL).alias("Type"))
+    rows2 = j2.select(F.lit(2).alias("source"), F.col("Project").alias("ProjectNumber"), F.col("a_id").alias("Activity_ID"),
+                      F.col("a_name").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"), F.col("tpp_week").alias("WorkWeek"),
+                      F.col("Hours").alias("h"))
+    both = rows1.unionByName(rows2)
+    g12 = both.groupBy("source", *KEYS).agg(sum_of(both, "h").alias("h"))
+    named = F.when(F.col("source") == 2, isnull("Activity_Name", "Not Available")).otherwise(F.col("Activity_Name"))
+    src12 = _arm(first_source_rows(g12, "ProjectNumber", "source", "h").withColumn("Activity_Name", named),
+                 F.col("h"), F.lit(0), ACTUAL)
 
     # projects allowed for sources 3 and 4
-    pm34 = null_aware_anti_join(pm, "pm_project", s.actual_hour, "Project")
-    pm34 = null_aware_anti_join(pm34, "pm_project", s.wbs_lookup.select(isnull("project_no", "N/A").alias("pn")), "pn")
+    pm34 = keys_in_no_list(pm, "pm_project", [
+        (s.actual_hour, "Project"), (s.wbs_lookup.select(isnull("project_no", "N/A").alias("pn")), "pn")])
     a34 = aa.select(F.col("Activity_ID").alias("a_id"), F.col("BR_ProjectNumber").alias("a_project"),
                     F.col("Activity_Name").alias("a_name"), F.col("BR_PIEPCCC").alias("a_pie"))
 
@@ -373,7 +444,7 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
                      F.lit(ACTUAL).alias("Type"))
-    return [src1, src2, src3, src4]
+    return [src12, src3, src4]
 
 
 def build_ledger(br: Branch, earned: DataFrame | None = None) -> DataFrame:

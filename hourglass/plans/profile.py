@@ -18,8 +18,8 @@ from hourglass.functions import concat_null, in_list, lacks_suffix_like, left, r
 from hourglass.operators import template_row, union_distinct, update_from_join
 from hourglass.params import ProfileParams
 from hourglass.plans.calendar import (axis_bounds, clamp_year_month, dense_month_spine, spine_bounds, year_axis)
-from hourglass.session import cut_lineage
 from hourglass.sources.catalog import ProjectSources, window_scan
+from hourglass.sources.staging import Staging
 
 ATTRS = ["ResourceCode", "BR_CM_RESOURCE_GROUP_Val", "Resource_ID", "Resource_Name", "BR_ProgramWBS", "BR_UnitWBS",
          "BR_BundleWBS", "Bundle", "ProjectNumber", "ProjectTitle", "Project", "Vendor", "BR_VendorDescription"]
@@ -86,7 +86,9 @@ def current_week(snapshot_period: DataFrame):
         F.max(F.col("SnapshotDate").cast("date"))).collect()[0][0]
 
 
-def resource_profile_parts(src: ProjectSources, pp: ProfileParams) -> ProfileParts:
+def resource_profile_parts(src: ProjectSources, pp: ProfileParams, staging: Staging | None = None) -> ProfileParts:
+    """All steps of the profile. `#BB` is stored in `staging`, which the caller closes after the
+    parts have run; without one it lasts until the application ends."""
     if pp.cw is None:
         pp = replace(pp, cw=current_week(src.snapshot_period))
     if pp.cw is None:
@@ -95,10 +97,11 @@ def resource_profile_parts(src: ProjectSources, pp: ProfileParams) -> ProfilePar
     axis = year_axis(cal, pp.report, pp.base_year)
     min_year, max_year = axis_bounds(axis)
     # `#BB` is read four times (bounds, spine, template, union) and sits on the two fact
-    # joins: checkpoint it into the shared folder rather than pinning executor memory.
-    bb = cut_lineage(monthly_profile(src, pp, resource_hours(src, pp), min_year, max_year))
-    row = bb.agg(F.min(F.concat("Year", "Month")).alias("mn"), F.max(F.concat("Year", "Month")).alias("mx")).collect()[0]
-    mn, mx = row["mn"], row["mx"]
+    # joins: stored in the shared folder rather than pinning executor memory.
+    staging = staging or Staging.of_application(cal.sparkSession)
+    bb = staging.store(monthly_profile(src, pp, resource_hours(src, pp), min_year, max_year), "monthly-profile")
+    code = F.concat("Year", "Month")
+    mn, mx = bb.agg(F.min(code)).scalar(), bb.agg(F.max(code)).scalar()
     lo, hi = spine_bounds(pp.graph_start, pp.graph_end, mn, mx)
 
     cw_hours = bb.where(F.col("RecordType") == "CW").groupBy(F.concat("Year", "Month").alias("FM")).agg(
@@ -132,5 +135,5 @@ def resource_profile_parts(src: ProjectSources, pp: ProfileParams) -> ProfilePar
     return ProfileParts(axis, (min_year, max_year), bb, (mn, mx), spine, template, years, final)
 
 
-def resource_profile(src: ProjectSources, pp: ProfileParams) -> DataFrame:
-    return resource_profile_parts(src, pp).final
+def resource_profile(src: ProjectSources, pp: ProfileParams, staging: Staging | None = None) -> DataFrame:
+    return resource_profile_parts(src, pp, staging).final

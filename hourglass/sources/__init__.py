@@ -1,5 +1,6 @@
 """Table access: catalog of named sources, snapshot-scoped scans, driver-table stand-ins."""
 
 from hourglass.sources.catalog import (  # noqa: F401
-    ProjectSources, read_tables, snapshot_scan, live_scan, stage,
+    ProjectSources, snapshot_scan, live_scan, stage,
 )
+from hourglass.sources.staging import Staging  # noqa: F401

@@ -51,10 +51,6 @@ class ProjectSources:
         return cls(**{k: spark.read.format(fmt).load(v) for k, v in paths.items() if k in names})
 
 
-def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{base}/{n}.parquet") for n in names}
-
-
 def snapshot_scan(df: DataFrame, dates, col: str = "Snapshot_Date") -> DataFrame:
     """Rows of one or several snapshots (`= @p` / `= @p OR = @last`); NULL dates select nothing."""
     if isinstance(dates, (dt.date, str)) or dates is None:
@@ -74,19 +70,11 @@ def live_scan(df: DataFrame, col: str = "Snapshot_Period") -> DataFrame:
     return df.where(F.col(col) == F.lit("Live"))
 
 
-def stage(df: DataFrame, columns: Iterable[str] | None = None, how: str = "persist") -> DataFrame:
-    """`SELECT ... INTO #t`: keep a relation that is read more than once.
-
-    Columns are pruned *before* staging (a staged `SELECT *` would keep every column).
-    `how="persist"`: MEMORY_AND_DISK, partitions that do not fit spill, a lost executor's
-    blocks are recomputed from lineage; the caller unpersists when done.
-    `how="checkpoint"`: a reliable checkpoint into the shared checkpoint folder, for
-    relations handed to code that cannot release them (nothing stays pinned in memory).
-    """
+def stage(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """`SELECT ... INTO #t` in memory: a relation that is read more than once before its caller
+    unpersists it. Columns are pruned first (a staged `SELECT *` would keep every column);
+    partitions that do not fit spill, and a lost executor's blocks are computed again. For
+    relations of frames that are handed out before they run, see `sources.staging`."""
     if columns is not None:
         df = df.select(*columns)
-    if how == "checkpoint":
-        from hourglass.session import cut_lineage
-
-        return cut_lineage(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK)

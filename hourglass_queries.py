@@ -9,6 +9,7 @@ mode '0' and as-of year 2000, graph 199601..200112.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,18 +18,19 @@ from pyspark.sql import functions as F
 from hourglass.functions import (add_days, add_months, add_weeks, concat_null, fiscal_month_code, isnull, lacks_suffix,
                                  lacks_suffix_like, left, mdy, number_text, right, spaces, work_week_code, year_text)
 from hourglass.functions.nulls import in_list
-from hourglass.operators import (append_typed, conditional_sums, null_aware_anti_join, range_join_days, running_total,
-                                 top1_per_group, update_from_join, ordinal)
+from hourglass.operators import (append_typed, asof_max_by_ranges, conditional_sums, null_aware_anti_join, ordinal, ordinal_by_ranges,
+                                 range_join_days, running_total, running_total_by_ranges, top1_per_group, update_from_join)
 from hourglass.params import ProfileParams, ReportParams, ResolvedPeriods
 from hourglass.plans import calendar as cal_plans
-from hourglass.plans.earned import earned_value_rows, ev_report, ledger_only, measures, work_packages
-from hourglass.plans.gate import gate_frame, use_live_sources
-from hourglass.plans.ledger import (LEDGER_SCHEMA, Branch, actuals_cascade, baseline_selection,
+from hourglass.plans.earned import earned_value_rows, ev_report, ledger_only, measures, resolved_branch, work_packages
+from hourglass.plans.gate import gate_frame
+from hourglass.plans.ledger import (LEDGER_SCHEMA, actuals_cascade, baseline_selection,
                                     forecast_remaining_burn, l3_rollup, planned_and_budget, scope, work_package_map)
 from hourglass.plans.matrix import snapshot_month_matrix
 from hourglass.plans.profile import resource_profile, resource_profile_parts
 from hourglass.sources import standins
-from hourglass.sources.catalog import snapshot_scan, stage
+from hourglass.sources.catalog import snapshot_scan
+from hourglass.sources.staging import Staging
 
 D = "decimal(19,6)"
 D38 = "decimal(38,6)"
@@ -50,12 +52,9 @@ def _cast(df: DataFrame, cols, to: str) -> DataFrame:
 
 # ------------------------------------------------------------------------- EV context
 
-def _ev(spark: SparkSession, d: str):
-    src = standins.build(spark, d)
-    rollup = cal_plans.period_rollup_table(src.snapshot_period)
-    per = cal_plans.resolve_periods(rollup, src.work_week, EV_PARAMS.period_type, EV_PARAMS.period)
-    live = use_live_sources(src.snapshot_period, EV_PARAMS.period)
-    return src, Branch(src, EV_PARAMS, per, live)
+def _ev(spark: SparkSession, d: str, params: ReportParams = EV_PARAMS):
+    br = resolved_branch(standins.build(spark, d), params)
+    return br.src, br
 
 
 def _ledger(frames) -> DataFrame:
@@ -165,9 +164,10 @@ def q_snapshot_scoped_scan(spark, d):
 
 def q_staged_relation_reuse(spark, d):
     src = standins.build(spark, d)
-    # read twice below; checkpointed (not persisted) because the returned frame outlives this call
-    staged = stage(src.time_phase_weekly, ["BR_WorkWeek", "BR_FiscalMonth", "Planned_Hours", "Remaining_Hours"],
-                   how="checkpoint")
+    # both reads want sums: what is staged is the fact at their common grain, not the fact
+    grain = src.time_phase_weekly.groupBy("BR_WorkWeek", "BR_FiscalMonth").agg(
+        F.sum("Planned_Hours").alias("Planned_Hours"), F.sum("Remaining_Hours").alias("Remaining_Hours"))
+    staged = Staging.of_application(spark).store(grain, "week-month-hours")
     a = staged.groupBy(F.col("BR_WorkWeek").alias("period")).agg(F.sum("Planned_Hours").alias("Hours")).select(
         F.lit("week").alias("grain"), "period", "Hours")
     b = staged.groupBy(F.col("BR_FiscalMonth").alias("period")).agg(F.sum("Remaining_Hours").alias("Hours")).select(
@@ -381,11 +381,6 @@ def q_null_defaults(spark, d):
                     isnull(F.when(F.col("p_size") > 10, F.col("p_size")), 0).alias("size_or_zero"))
 
 
-QUERIES = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
-}
-
-
 LIVE_PARAMS = ReportParams(period_type="Weekly", period=dt.date(2001, 1, 1), projects=None, piepccc=None,
                            baseline_type="Approved", group="Bundle")
 
@@ -398,11 +393,6 @@ def q_ev_project_report_live(spark, d):
     return _report_measures(ev_report(standins.build(spark, d), LIVE_PARAMS))
 
 
-QUERIES = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
-}
-
-
 RECOVERY_STRAT3 = ReportParams(period_type="Weekly", period=dt.date(2000, 1, 1), projects=None, piepccc=None,
                                baseline_type="Recovery", group="Strat III")
 
@@ -420,6 +410,73 @@ def q_snapshot_month_matrix_by_month(spark, d):
     return snapshot_month_matrix(standins.build(spark, d).wbs_monthly, project="73113", match="month")
 
 
+# ------------------------------------------------------------- reports with parameters set
+# The fixed values below are repeated in the SQL of the oracles.
+PROJECTS = ("ECONOMY", "MEDIUM", "PROMO", "LARGE", "NO SUCH PROJECT")
+PIEPCCC = ("0", "2", "3", "5", "6")
+LISTED = replace(EV_PARAMS, projects=PROJECTS, piepccc=PIEPCCC, group="Vendor")
+LISTED_LIVE_RECOVERY = replace(LIVE_PARAMS, projects=PROJECTS, piepccc=PIEPCCC, baseline_type="Recovery", group="Strat IV")
+LIVE_ORIGINAL = replace(LIVE_PARAMS, baseline_type="Original", group="Project")
+QUARTER = replace(EV_PARAMS, period_type="Quarter", group="none of the labels")
+LISTED_PROFILE = replace(PROFILE_PARAMS, projects=PROJECTS, piepccc=PIEPCCC, outage_segments=("0", "2", "3"),
+                         resources=("R1", "R2", "R8", "R12", "R20"))
+
+
+def q_actuals_cascade_listed(spark, d):
+    return _ledger(actuals_cascade(_ev(spark, d, LISTED)[1]))
+
+
+def q_ev_project_report_listed(spark, d):
+    return _report_measures(ev_report(standins.build(spark, d), LISTED))
+
+
+def q_ev_project_report_live_recovery_listed(spark, d):
+    return _report_measures(ev_report(standins.build(spark, d), LISTED_LIVE_RECOVERY))
+
+
+def q_ev_project_report_live_original(spark, d):
+    return _report_measures(ev_report(standins.build(spark, d), LIVE_ORIGINAL))
+
+
+def q_ev_project_report_quarter(spark, d):
+    return _report_measures(ev_report(standins.build(spark, d), QUARTER))
+
+
+def q_resource_hours_by_month_listed(spark, d):
+    return _cast(resource_profile_parts(standins.build(spark, d), LISTED_PROFILE).bb, ["Hours"], D38)
+
+
+def q_profile_union_listed(spark, d):
+    return resource_profile(standins.build(spark, d), LISTED_PROFILE)
+
+
+def q_param_long_list(spark, d):
+    """A list of 100,000 values and one given as a table: semi-joins, not literals."""
+    src = standins.build(spark, d)
+    keys = tuple(str(k) for k in range(0, 200_000, 2))
+    named = _t(spark, d, "part").where(F.col("p_size") > 40).select("p_type").distinct()
+    a = src.activity_l2_weekly.where(in_list(F.col("Activity_Key").cast("string"), keys) & in_list("BR_ProjectNumber", named))
+    return a.groupBy("Snapshot_Date", "BR_ProjectNumber").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------ one global order over a whole fact
+
+def q_ordinal_on_fact(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return ordinal_by_ranges(o, ["day", "o_orderkey"])
+
+
+def q_running_total_on_fact(spark, d):
+    li = _t(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("day"), "l_partkey").agg(F.sum(F.col("l_quantity").cast(D)).alias("qty"))
+    return _cast(running_total_by_ranges(li, ["day", "l_partkey"], "qty", "so_far"), ["qty", "so_far"], D38)
+
+
+def q_asof_on_fact(spark, d):
+    """The dearest order so far, for every shipment."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
+    return asof_max_by_ranges(li, "l_shipdate", _t(spark, d, "orders"), "o_orderdate", "o_totalprice", "dearest")
+
+
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -1,6 +1,7 @@
 """Invariants of the reports on the sf0.01 stand-ins."""
 
 import os
+import re
 from decimal import Decimal
 
 import pytest
@@ -68,14 +69,65 @@ def test_top1_is_limited_before_the_shuffle(spark):
     assert any("WindowGroupLimit" in line and "Partial" in line for line in plan.splitlines())
 
 
-def test_checkpointed_ledger_gives_the_same_report(spark):
+def _files(folder):
+    return [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs]
+
+
+def test_a_closed_staging_leaves_nothing(spark):
     from hourglass.plans.earned import ev_report
+    from hourglass.plans.profile import resource_profile
+    from hourglass.sources.staging import Staging
 
     src = R.standins.build(spark, SF)
-    lazy = ev_report(src, R.EV_PARAMS, sort=False)
-    cut = ev_report(src, R.EV_PARAMS, sort=False, checkpoint_ledger=True)
     key = lambda r: tuple(str(x) for x in r)
-    assert sorted(lazy.collect(), key=key) == sorted(cut.collect(), key=key)
+    with Staging(spark) as staging:
+        folder = staging.folder.removeprefix("file:")
+        got = ev_report(src, R.EV_PARAMS, sort=False, staging=staging).collect()
+        resource_profile(src, R.PROFILE_PARAMS, staging=staging).collect()
+        assert _files(folder)
+    assert not os.path.exists(folder)
+    assert sorted(got, key=key) == sorted(ev_report(src, R.EV_PARAMS, sort=False).collect(), key=key)
+
+
+def test_a_staging_is_emptied_when_a_query_fails(spark):
+    from hourglass.sources.staging import Staging
+
+    with pytest.raises(Exception, match="stop here"):
+        with Staging(spark) as staging:
+            folder = staging.folder.removeprefix("file:")
+            staging.store(spark.range(10), "whole")
+            assert _files(folder)
+            staging.store(spark.range(10).select(F.when(F.col("id") == 9, F.raise_error(F.lit("stop here"))).otherwise(F.col("id"))), "half")
+    assert not os.path.exists(folder)
+    with pytest.raises(ValueError, match="closed"):
+        staging.store(spark.range(1), "late")
+
+
+def _activity_scans(plan):
+    return len(re.findall(r"Scan parquet[^\n]*activity_l2|Location: [^\n]*hourglass-standins/[^\n]*activity_l2", plan))
+
+
+@pytest.mark.parametrize("params, scans", [(R.EV_PARAMS, 1), (R.LIVE_PARAMS, 2)])
+def test_a_report_reads_the_activities_once(spark, params, scans):
+    """Whatever runs for a report, plan building included: the views of the L2 activities are
+    read by the pass that tags them and by nothing else."""
+    from hourglass.plans.earned import ev_report
+    from hourglass.sources.catalog import ProjectSources
+    from hourglass.sources.staging import Staging
+
+    src = R.standins.build(spark, SF)
+    stored = []
+
+    class Watched(Staging):
+        def store(self, df, name, partition_by=None):
+            stored.append(_plan(df))
+            return super().store(df, name, partition_by)
+
+    with Watched(spark) as staging:
+        report = ev_report(src, params, staging=staging)
+        assert sum(map(_activity_scans, stored)) == scans
+        assert _activity_scans(_plan(report)) == 0
+        report.collect()
 
 
 @pytest.mark.parametrize("key, facts", [
@@ -84,8 +136,9 @@ def test_checkpointed_ledger_gives_the_same_report(spark):
                                 "fin_transaction", "timesheet")),
 ])
 def test_report_reads_each_fact_once(spark, key, facts):
-    """Executed (final adaptive) plan of each report branch: one scan of each time-phase
-    fact and of each actual-hour feed."""
+    """Executed (final adaptive) plan of each report branch, which no job precedes but the pass
+    over the activities and reads of dimensions: one scan of each time-phase fact and of each
+    actual-hour feed; of the actual-hour feed a second one, of its project column alone."""
     import collections
     import contextlib
     import io
@@ -106,4 +159,6 @@ def test_report_reads_each_fact_once(spark, key, facts):
     final = text.split("== Initial Plan ==")[0]
     scans = collections.Counter(names.get(m.group(1)) for m in re.finditer(r"Scan parquet\s+\((\d+)\)", final))
     for fact in facts:
-        assert scans[fact] == 1, (fact, dict(scans))
+        assert scans[fact] == (2 if fact == "actual_hour" else 1), (fact, dict(scans))
+    narrow = [b for b in text.split("\n\n") if "/actual_hour]" in b and re.search(r"ReadSchema: struct<Project:string>", b)]
+    assert narrow

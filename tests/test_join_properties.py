@@ -21,7 +21,7 @@ day = st.dates(min_value=dt.date(2017, 1, 1), max_value=dt.date(2017, 1, 31))
 def test_null_aware_anti_join_equals_not_in(spark, left, right):
     l_df = spark.createDataFrame([(i, k) for i, k in enumerate(left)], "id int, x int")
     r_df = spark.createDataFrame([(k,) for k in right], "y int")
-    got = null_aware_anti_join(l_df, "x", r_df, "y", materialize_right=False)
+    got = null_aware_anti_join(l_df, "x", r_df, "y")
     l_df.createOrReplaceTempView("l_prop")
     r_df.createOrReplaceTempView("r_prop")
     want = spark.sql("SELECT id, x FROM l_prop WHERE x NOT IN (SELECT y FROM r_prop)")

@@ -131,5 +131,7 @@ def test_axis_bounds_raise_on_two_rows(spark):
     from hourglass.plans.calendar import axis_bounds
 
     axis = spark.createDataFrame([("2014", 1), ("2015", 1)], "Year string, rn long")
-    with pytest.raises(ValueError):
-        axis_bounds(axis)
+    first, last = axis_bounds(axis)
+    assert spark.range(1).select(last).collect()[0][0] is None
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        spark.range(1).select(first).collect()

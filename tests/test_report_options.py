@@ -91,3 +91,31 @@ def test_no_list_restricts_by_default():
 
     p, q = ReportParams(), ProfileParams()
     assert (p.projects, p.piepccc, q.projects, q.piepccc, q.outage_segments, q.resources) == (None,) * 6
+
+
+def test_report_rows_come_in_the_final_order(spark):
+    """Ascending actual hours of the week, NULL first; then descending remaining hours, NULL last."""
+    s = _report_sources(spark)
+    rng = [(f"A{k}", Decimal(k % 3) if k % 4 else None, Decimal(k * 7 % 5) if k % 5 else None) for k in range(24)]
+    led = spark.createDataFrame(
+        [("P1", a, "n", "5", "2017WW22", actual, None, "Actual") for a, actual, _ in rng]
+        + [("P1", a, "n", "5", "2017WW22", left, None, "Remaining") for a, _, left in rng], LEDGER_SCHEMA)
+    per = ResolvedPeriods(D(2017, 6, 2), D(2017, 5, 26), None, "2017WW22", "2017WW21", None)
+    got = [(r["Week_AV"], r["LC_RV"]) for r in project_report(led, Branch(s, ReportParams(), per, live=False)).collect()]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] is None, -(r[1] or 0))
+    assert len(got) == 24 and got == sorted(got, key=key)
+    assert any(a == b for a, b in zip([r[0] for r in got], [r[0] for r in got][1:]))
+
+
+def test_long_lists_tag_the_activities_as_short_ones_do(spark):
+    from hourglass.plans.ledger import tagged_activities
+
+    acts = spark.createDataFrame(
+        [(k, f"P{k % 4}" if k % 7 else None, str(k % 3), "2" if k % 5 else "3", "9C" if k % 6 == 0 else "9", "TT_WBS" if k % 2 else "TT_LOE")
+         for k in range(60)],
+        "k int, BR_ProjectNumber string, BR_PIEPCCC string, BR_CM_ACTIVITY_LEVEL_Val string, BR_NR_EXECUTION_WINDOWS_Val string, Activity_Type string")
+    short = ReportParams(projects=("P1", "P2"), piepccc=("0", "1"))
+    long = ReportParams(projects=("P1", "P2", *[f"X{k}" for k in range(1500)], "P1"), piepccc=spark.createDataFrame([("0",), ("1",), (None,)], "p string"))
+    now = F.col("k") < 30
+    want = rows(tagged_activities(acts, short, now), "k", "arms")
+    assert rows(tagged_activities(acts, long, now), "k", "arms") == want and {a for _, a in want} >= {1, 15 + 16, 8}

@@ -1,0 +1,149 @@
+"""Operators over one global order, lazy NOT IN, feed priorities and parameter tables: against
+plain forms on random rows."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourglass.functions.nulls import LITERALS, in_list
+from hourglass.functions.strings import first_char_in
+from hourglass.operators import (asof_max_by_ranges, first_source_rows, keys_in_no_list, null_aware_anti_join, ordinal_by_ranges,
+                                 running_total_by_ranges)
+from hourglass.plans.earned import earned_value_rows
+from hourglass.sources.staging import Staging
+
+
+def plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def staging(spark):
+    with Staging(spark) as s:
+        yield s
+
+
+@pytest.mark.parametrize("n, ranges", [(0, 4), (1, 4), (3, 7), (500, 5)])
+def test_ordinal_and_running_total_by_ranges(spark, staging, n, ranges):
+    rng = random.Random(n)
+    data = [(k, rng.choice([None, *range(20)]), rng.choice([None, -3, 0, 7])) for k in range(n)]
+    df = spark.createDataFrame(data, "id int, a int, v int")
+    by = lambda r: (r[1] is not None, r[1] or 0, r[0])
+    want = sorted(data, key=by)
+    got = ordinal_by_ranges(df, ["a", "id"], staging=staging, ranges=ranges)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[3]) == [(*r, k) for k, r in enumerate(want, 1)]
+    total, sums = 0, []
+    for r in want:
+        total += r[2] or 0
+        sums.append((*r, total))
+    got = running_total_by_ranges(df, ["a", "id"], "v", "t", staging=staging, ranges=ranges)
+    assert sorted(map(tuple, got.collect()), key=by) == sums
+    assert "SinglePartition" not in plan(got)
+
+
+def test_ranges_hold_decimals_strings_and_repeats(spark, staging):
+    df = spark.range(2000).select((F.col("id") % 3).cast("string").alias("s"), (F.col("id") / 7).cast("decimal(19,6)").alias("d"))
+    got = running_total_by_ranges(df, ["s", "d"], "d", "t", staging=staging, ranges=6)
+    assert got.agg(F.max("t")).collect()[0][0] == df.agg(F.sum("d")).collect()[0][0]
+    numbers = ordinal_by_ranges(df.unionByName(df), ["s"], staging=staging, ranges=6)
+    assert numbers.agg(F.count_distinct("rn"), F.min("rn"), F.max("rn")).collect()[0][:] == (4000, 1, 4000)
+    by_s = numbers.groupBy("s").agg(F.min("rn").alias("a"), F.max("rn").alias("b")).orderBy("s").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(by_s, by_s[1:]))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_asof_by_ranges_equals_the_correlated_max(spark, staging, seed):
+    rng = random.Random(seed)
+    day = lambda: rng.choice([None] + [dt.date(2017, 1, 1) + dt.timedelta(days=rng.randrange(30))] * 9)
+    probes = [(k, day()) for k in range(rng.choice([0, 5, 80]))]
+    refs = [(day(), rng.choice([None, "a", "b", "c", "d"])) for _ in range(rng.choice([0, 3, 25]))]
+    got = asof_max_by_ranges(spark.createDataFrame(probes, "id int, p date"), "p", spark.createDataFrame(refs, "r date, v string"),
+                             "r", "v", "m", staging=staging, ranges=4)
+    want = [(k, p, max((v for r, v in refs if r is not None and p is not None and r <= p and v is not None), default=None)) for k, p in probes]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_asof_of_a_million_probes(spark, staging):
+    probes = spark.range(1_000_000).select("id", F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 90_000)).alias("p"))
+    ref = spark.range(5_000).select(F.timestamp_seconds(F.col("id") * 17 + 11).alias("r"), F.hash("id").alias("v"))
+    got = asof_max_by_ranges(probes, "p", ref, "r", "v", "m", staging=staging, ranges=8)
+    assert "SinglePartition" not in plan(got.where("m > 0").select("id"))
+    by_key = {r["p"]: r["m"] for r in got.select("p", "m").distinct().collect()}
+    assert got.count() == 1_000_000
+    best, at, refs = None, 0, sorted((r["r"], r["v"]) for r in ref.collect())
+    for p in sorted(by_key):
+        while at < len(refs) and refs[at][0] <= p:
+            best = refs[at][1] if best is None else max(best, refs[at][1])
+            at += 1
+        assert by_key[p] == best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_keys_in_no_list(spark, seed):
+    rng = random.Random(seed)
+    some = lambda n, nulls: [rng.choice([None] * nulls + [*"abcdef"]) for _ in range(n)]
+    keys, one, two = some(8, 1), some(rng.choice([0, 2]), seed % 2), some(rng.choice([0, 1, 3]), 0)
+    frame = lambda values, name: spark.createDataFrame([(v,) for v in values], f"{name} string")
+    got = keys_in_no_list(frame(keys, "k"), "k", [(frame(one, "x"), "x"), (frame(two, "y"), "y")])
+    not_in = lambda v, values: not values or (v is not None and None not in values and v not in values)
+    want = [v for v in keys if not_in(v, one) and not_in(v, two)]
+    assert sorted([r["k"] for r in got.collect()], key=str) == sorted(want, key=str)
+
+
+def test_not_in_runs_nothing_before_its_action_and_reads_the_list_once(spark):
+    left, right = spark.range(50).toDF("a"), spark.range(20).selectExpr("id % 7 AS b")
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy not in", "lazy not in")
+    df = null_aware_anti_join(left, "a", right, "b")
+    assert not sc.statusTracker().getJobIdsForGroup("lazy not in")
+    assert sorted(r["a"] for r in df.collect()) == [*range(7, 50)]
+    assert "ReusedExchange" in plan(null_aware_anti_join(left, "a", right, "b"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_first_source_rows(spark):
+    rows = spark.createDataFrame([("p", 2, 5), ("p", 1, 7), ("q", 2, 3), ("q", 2, None), ("r", 3, 1), (None, 2, 1), (None, 1, 9)],
+                                 "k string, s int, h int").groupBy("k", "s").agg(F.sum("h").alias("h"))
+    got = first_source_rows(rows, "k", "s", "h").select("k", "s", "h")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("p", 1, 7), ("q", 2, 3), ("r", 3, 1), (None, 1, 9)], key=str)
+
+
+def test_long_lists_and_tables_are_semi_joins(spark):
+    df = spark.createDataFrame([(str(k),) for k in range(50)] + [(None,)], "x string")
+    many = tuple(str(k) for k in range(0, 100_000))
+    got = df.where(in_list("x", many[::2]))
+    assert sorted(int(r["x"]) for r in got.collect()) == [*range(0, 50, 2)]
+    assert "LeftSemi" in plan(got)
+    table = spark.createDataFrame([("3",), ("3",), (None,), ("99",)], "v string")
+    assert [r["x"] for r in df.where(in_list("x", table)).collect()] == ["3"]
+    assert df.where(in_list("x", ())).count() == 0 and df.where(in_list("x", None)).count() == 51
+    assert sorted(r["x"] for r in df.where(first_char_in("x", many[:LITERALS + 1][4:5] + ("9",))).collect()) == sorted(
+        ["4", "9"] + [str(k) for k in range(40, 50)])
+    # a long list beside other conditions, and the same table in two conditions
+    assert df.where(in_list("x", many) & (F.col("x") > "48") & in_list("x", many[:60])).count() == 3 - 2 + len([k for k in range(5, 10)])
+
+
+def brute_earned(rows, cur, last):
+    a, b = ([r for r in rows if r[0] == d and d is not None] for d in (cur, last))
+    pairs = [(x, y) for x in a for y in b if x[1] is not None and x[1] == y[1]]
+    out = [(cur, x[2], x[3], y[3]) for x, y in pairs]
+    out += [(cur, x[2], x[3], 0) for x in a if not any(x is p for p, _ in pairs)]
+    out += [(cur, y[2], 0, y[3]) for y in b if not any(y is q for _, q in pairs)]
+    return (out if cur is not None else []) + [(r[0], r[2], r[3], 0) for r in rows if r[0] is not None and r[0] != cur]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_snapshot_difference_in_one_pass(spark, seed):
+    rng = random.Random(seed)
+    days = [dt.date(2017, 6, 2), dt.date(2017, 5, 26), dt.date(2017, 6, 3), None]
+    rows = [(rng.choice(days), rng.choice([None, 1, 2, 3, 4]), f"a{k}", rng.randrange(9)) for k in range(rng.choice([0, 6, 14]))]
+    wp = spark.createDataFrame([(d, key, name, "n", "p", "5", 100, v) for d, key, name, v in rows],
+                               "Snapshot_Date date, Activity_Key int, Activity_ID string, Activity_Name string, BR_ProjectNumber string, "
+                               "BR_PIEPCCC string, BR_Percent_Complete int, budget int").withColumns(
+        {c: F.col(c).cast("decimal(19,6)") for c in ("BR_Percent_Complete", "budget")})
+    for cur in (days[0], None):
+        got = earned_value_rows(wp, cur, days[1]).select("Snapshot_Date", "Activity_ID", F.col("Earned_LTD").cast("int"), F.col("Earned_Last_LTD").cast("int"))
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, brute_earned(rows, cur, days[1])))
