@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.session import ensure_checkpoint_dir
+from hourglass.sources.staging import Staging
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: everything that is neither an ASCII digit, a lower-case ASCII letter nor beyond ASCII
@@ -36,17 +35,11 @@ def words_of(text: Column) -> Column:
     return F.filter(pieces, lambda w: w != "")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder of the application."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: written as Parquet into the shared folder and read back, so that later
-    jobs read columns of it instead of running its plan again, also after a lost executor."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    jobs read columns of it instead of running its plan again, also after a lost executor.
+    What is stored is deleted when the application ends."""
+    return Staging.of_application(df.sparkSession).store(df, name)
 
 
 #: copies of equal rows that one task makes at a time

@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import words_of
+from hourglass.llm.common import stored, words_of
 
 #: words of a window
 N = 10
-#: The hash set is broadcast while it has at most so many entries (about 200 bytes each);
-#: beyond, grams and entries are shuffled to each other. Results are the same.
-BROADCAST_ENTRIES = 500_000
+#: The hash set is broadcast while its entries, words and item ids included, have at most so
+#: many bytes; beyond, grams and entries are shuffled to each other. Results are the same.
+BROADCAST_BYTES = 100_000_000
 
 
 def _gram(length: int) -> tuple[int, int]:
@@ -41,6 +41,14 @@ def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     return windows.groupBy("window").agg(F.collect_set("item").alias("items")).withColumn("len", F.size("window"))
 
 
+def _bytes(windows: DataFrame) -> int:
+    """Bytes of all entries: each window, with its items, once per offset."""
+    texts = F.octet_length(F.array_join("window", " ")) + F.octet_length(F.array_join("items", " "))
+    places = 16 * (F.size("window") + F.size("items")) + 64  # offsets and lengths of an array's parts
+    offsets = F.col("len") - F.ceil(F.col("len") / 2) + 1
+    return windows.agg(F.sum((texts + places) * offsets).cast("long").alias("n")).collect()[0]["n"] or 0
+
+
 def _entries(windows: DataFrame, lengths: list[int]) -> DataFrame:
     def of(length: int) -> Column:
         g, q = _gram(length)
@@ -66,10 +74,10 @@ def _grams(words: Column, lengths: list[int]) -> Column:
 def hits(docs: DataFrame, benchmark: DataFrame, keys: list[str], n: int = N) -> DataFrame:
     """Per group of rows equal in `keys` and text: `n_rows`, `n_words`, `spans` (start and
     length of every window found, words from 0, sorted, distinct) and `items`."""
-    windows = benchmark_windows(benchmark, n)
+    windows = stored(benchmark_windows(benchmark, n), "benchmark-windows")
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect()) or [n]  # n values at most
     entries = _entries(windows, lengths)
-    small = windows.count() * n <= BROADCAST_ENTRIES
+    small = _bytes(windows) <= BROADCAST_BYTES
     e = (F.broadcast(entries) if small else entries).select(F.col("gram").alias("e_gram"), F.col("len").alias("e_len"), "offset", "window", "items")
     words = docs.select(*keys, F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("w"))
     # a first element without a gram stands for the row itself
@@ -160,13 +168,14 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFr
 
 def masked(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """doc_id and clean_text: the words of each document (as matched: lower-cased, joined
-    by a space) without those inside a span."""
-    h = contamination(docs, benchmark, n).filter("contaminated").select(
-        F.col("doc_id").alias("_id"), "spans").dropDuplicates()
-    words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
+    by a space) without those inside a span. Spans belong to a text: documents that share an
+    id, or have none, lose the words of their own spans only."""
+    h = hits(docs.select("doc_id", "text"), benchmark, ["doc_id"], n).filter(F.size("spans") > 0).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
+    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("w"))
     spans = F.coalesce(F.col("spans"), F.array().cast("array<struct<start:int,len:int>>"))
     hit = F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1)))
     places = F.when(F.size("w") > 0, F.array_except(F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0))), hit))
     kept = F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.get("w", i))
-    return words.join(h, words["doc_id"].eqNullSafe(F.col("_id")), "left").select(
-        "doc_id", F.array_join(kept, " ").alias("clean_text"))
+    same = words["doc_id"].eqNullSafe(F.col("_id")) & (words["text_hash"] == F.col("_hash"))
+    return words.join(h, same, "left").select("doc_id", F.array_join(kept, " ").alias("clean_text"))

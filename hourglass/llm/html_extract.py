@@ -1,17 +1,21 @@
 """Main text of web pages: two passes of block rules.
 
-A page is cut into blocks at block-level tags. Parts that cannot be article text by their
-element or by the name of their class, id or role (scripts, menus, footers, adverts,
-comments, ...) are boilerplate whatever they hold. The first pass classifies the other
+A page is cut into blocks at block-level tags. Parts that are not article text by their
+element or by a whole name in class, id or role (scripts, menus, footers, adverts, comments,
+...) are boilerplate, unless they hold what they should stand beside: an element that holds
+the page's article, or without article marks most of its words, is not ruled out by its
+markup, as where a form or an unclosed menu spans the page. The first pass classifies the other
 blocks by stop-word density, length and link density as good, bad (many links) or undecided;
 the second gives an undecided block the label of its nearest decided neighbour, and a heading
 that of the block after it. Both run inside and outside of elements that mark the article
-(article, main); these are a prior for undecided blocks.
+(article, main); these are a prior for undecided blocks. A page is read in time linear in
+its length, whatever its tags.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -33,6 +37,8 @@ el los las una unos y o es son en del al por para con no su sus se lo como más
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.10, 0.20
 LINK_HIGH = 0.4
+#: linked blocks in a row that are a list of links inside an article
+LINKED = 3
 
 #: fixed values: elements by what they are in HTML
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
@@ -40,43 +46,81 @@ figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main m
 table tbody td tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-NEVER = frozenset("""head script style noscript template title textarea iframe noembed noframes xmp svg math canvas object
-nav footer aside form button select menu dialog fieldset label option audio video map""".split())
+NEVER = frozenset("head script style noscript template title textarea iframe noembed noframes xmp svg math canvas object".split())
+#: elements that are boilerplate unless they hold the page's article
+ASIDE = frozenset("nav footer aside form button select menu dialog fieldset label option audio video map".split())
+#: fixed values: elements that end where one of these begins, up to the element that holds them
+IMPLIED = {"p": ({"p"}, BLOCK), "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}),
+           "option": ({"option"}, {"select", "optgroup"})}
 ARTICLE = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: fixed values: words in class, id or role that mark what is not article text
-BOILER_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar
-navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay
-newsletter subscribe subscription signup login search share sharing social related recommended comment comments respond replies
-reply disqus pagination pager widget toolbar copyright legal disclaimer skip complementary contentinfo""".split())
-
-#: fixed values: words before such a name that make it tell of a part of the element
-PART_MARKS = frozenset("no has with without".split())
-
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
+#: fixed values: names in class, id or role that mark what is not article text
+BOILER_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsbygoogle taboola outbrain banner sponsor sponsored promo
+promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices alert
+popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended comment comments
+commentlist respond replies reply disqus discussion pagination pager widget toolbar copyright legal disclaimer skip complementary
+contentinfo""".split())
+#: fixed values: words that may stand beside such a name in a longer one ("site-footer"); any other word makes it another name
+BESIDE = frozenset("""site page top bottom left right wrapper wrap container box area section block inner outer list item items primary
+secondary global bar unit slot link links post posts article entry user reader readers view text form main mobile desktop fixed sticky
+center col column group thread body""".split())
+
+_START = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)""", re.S)
+_MARK = re.compile("[>\"']")
 _NAME = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[^\W_]+")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 
 
 def _named_boiler(attributes: str) -> bool:
-    """Whether a name of the element marks boilerplate; names that tell of its parts or of
-    their absence ("has-sidebar", "no-ads") don't."""
+    """Whether a whole name of the element marks boilerplate: such a word, or one with words
+    that only tell where it stands. "has-sidebar" or "search-result" are other names."""
     if "=" not in attributes:
         return False
     for value in _NAME.findall(attributes):
-        words = _WORD.findall(value.lower())
-        if any(w in BOILER_NAMES and before not in PART_MARKS for before, w in zip(["", *words], words, strict=False)):
-            return True
+        for name in value.strip("\"'").lower().split():
+            words = _WORD.findall(name)
+            if any(w in BOILER_NAMES for w in words) and all(w in BOILER_NAMES or w in BESIDE for w in words):
+                return True
     return False
 
 
+class _Tags:
+    """Where start tags end. A quote without a partner is a plain character; where none is
+    left is remembered, so that no page is searched for it again."""
+
+    def __init__(self, html: str):
+        self.html, self.none = html, {}
+
+    def end(self, at: int) -> int:
+        html = self.html
+        while True:
+            m = _MARK.search(html, at)
+            if m is None:
+                return len(html)
+            if m[0] == ">":
+                return m.end()
+            close = -1 if m[0] in self.none else html.find(m[0], m.end())
+            if close < 0:
+                self.none[m[0]] = True
+                at = m.end()
+            else:
+                at = close + 1
+
+
 class _Page:
     """The open elements while a page is read, and the blocks so far."""
 
     def __init__(self):
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, marks the article
-        self.boiler = self.article = self.link = self.skip = 0
-        self.blocks: list[tuple[str, int, bool, bool, str]] = []
+        self.stack: list[tuple[str, int, int, bool]] = []  # tag, aside and mark outside of it, in a line
+        self.open_tags: Counter[str] = Counter()
+        self.article = self.link = self.skip = self.never = 0
+        # elements that may be boilerplate: the one around each, whether it is so for sure, and its words
+        self.aside, self.around, self.sure, self.words = 0, [0], [False], [0]
+        # elements that mark the article: the one around each, the aside around it, and its words
+        self.mark, self.mark_around, self.mark_aside, self.mark_words = 0, [0], [0], [0]
+        self.blocks: list[tuple[str, int, int, bool, str]] = []
         self.text: list[str] = []
         self.linked = 0
         self.tag = ""
@@ -91,9 +135,26 @@ class _Page:
     def end_block(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((text, self.linked, self.boiler > self.skip, self.article > 0, self.tag))
+            n = text.count(" ") + 1
+            if not self.never:
+                self.words[self.aside] += n
+                self.mark_words[self.mark] += n
+            self.blocks.append((text, self.linked, self.aside, self.article > 0, self.tag))
         self.text, self.linked, self.tag = [], 0, ""
 
+    def _imply(self, tag: str) -> None:
+        """Closes what ends where this tag begins."""
+        ends, inside = IMPLIED[tag]
+        if not any(self.open_tags[t] for t in ends):
+            return
+        for k in range(len(self.stack) - 1, -1, -1):
+            here = self.stack[k][0]
+            if here in ends:
+                self.shut(k)
+                return
+            if here in inside:
+                return
+
     def open(self, tag: str, attributes: str) -> None:
         if tag == "br":
             self.text.append("\n")
@@ -102,49 +163,81 @@ class _Page:
             self.tag = tag
         if tag in VOID:
             return
-        if tag == "p":  # a paragraph ends where the next begins
-            for k in range(len(self.stack) - 1, -1, -1):
-                if self.stack[k][0] == "p":
-                    self.shut(k)
-                    break
-                if self.stack[k][0] in BLOCK:
-                    break
-            self.tag = tag
-        boiler = tag in NEVER or (tag not in ("html", "body") and _named_boiler(attributes))
+        if tag in IMPLIED:
+            self._imply(tag)
+            self.tag = tag if tag in BLOCK else self.tag
+        never = tag in NEVER
+        boiler = never or tag in ASIDE or (tag not in ("html", "body") and _named_boiler(attributes))
         if tag == "header" and not self.article:
             boiler = True
-        article = tag in ARTICLE
-        self.stack.append((tag, boiler, article))
-        self.boiler += boiler
-        self.skip += boiler and tag not in BLOCK
-        self.article += article
+        in_line = boiler and tag not in BLOCK
+        self.stack.append((tag, self.aside, self.mark, in_line))
+        self.open_tags[tag] += 1
+        self.never += never
+        self.skip += in_line
         self.link += tag == "a"
+        if boiler and not in_line:
+            self.around.append(self.aside)
+            self.sure.append(never)
+            self.words.append(0)
+            self.aside = len(self.around) - 1
+        if tag in ARTICLE:
+            self.article += 1
+            if not boiler:
+                self.mark_around.append(self.mark)
+                self.mark_aside.append(self.aside)
+                self.mark_words.append(0)
+                self.mark = len(self.mark_around) - 1
 
     def shut(self, k: int) -> None:
         """Closes all elements from place k of the stack on."""
-        if any(t in BLOCK for t, _, _ in self.stack[k:]):
+        if any(element[0] in BLOCK for element in self.stack[k:]):
             self.end_block()
-        for tag, boiler, article in self.stack[k:]:
-            self.boiler -= boiler
-            self.skip -= boiler and tag not in BLOCK
-            self.article -= article
+        self.aside, self.mark = self.stack[k][1:3]
+        for tag, _, _, in_line in self.stack[k:]:
+            self.open_tags[tag] -= 1
+            self.never -= tag in NEVER
+            self.skip -= in_line
+            self.article -= tag in ARTICLE
             self.link -= tag == "a"
         del self.stack[k:]
 
     def close(self, tag: str) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                self.shut(k)
-                return
+        if self.open_tags[tag]:
+            for k in range(len(self.stack) - 1, -1, -1):
+                if self.stack[k][0] == tag:
+                    self.shut(k)
+                    return
         if tag in BLOCK:  # a stray end still separates
             self.end_block()
 
+    def ruled_out(self) -> list[bool]:
+        """Of each element that may be boilerplate, whether it or one around it is."""
+        words, marked = self.words[:], self.mark_words[:]
+        for k in range(len(words) - 1, 0, -1):
+            words[self.around[k]] += words[k]
+        for k in range(len(marked) - 1, 0, -1):
+            marked[self.mark_around[k]] += marked[k]
+        holds = [False] * len(words)  # the article, or most words of a page that marks none
+        if max(marked[1:], default=0):
+            k = self.mark_aside[max(range(1, len(marked)), key=lambda m: marked[m])]
+            while k:
+                holds[k] = True
+                k = self.around[k]
+        else:
+            holds = [2 * n > words[0] for n in words]
+        out = [False] * len(words)
+        for k in range(1, len(words)):
+            out[k] = out[self.around[k]] or self.sure[k] or not holds[k]
+        return out
+
 
 def blocks(html: str) -> list[tuple[str, int, bool, bool, str]]:
     """(text, characters in links, boilerplate by markup, in the article, tag) in page order."""
-    page, at, n = _Page(), 0, len(html)
+    page, tags, at, n = _Page(), _Tags(html), 0, len(html)
+    unclosed: set[str] = set()
     while at < n:
-        m = _TAG.search(html, at)
+        m = _START.search(html, at)
         if m is None:
             page.add(html[at:])
             break
@@ -153,26 +246,30 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool, str]]:
         if m[1]:
             page.close(m[1].lower())
         elif m[2]:
-            tag = m[2].lower()
-            page.open(tag, m[3])
+            tag, at = m[2].lower(), tags.end(m.end())
+            page.open(tag, html[m.end() : at].removesuffix(">"))
             if tag in RAW:  # text up to its own end tag
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
+                end = _RAW_END[tag].search(html, at) if tag not in unclosed else None
+                if end is None:
+                    unclosed.add(tag)  # found once, for all that follow
                 stop = end.start() if end else n
                 page.add(html[at:stop])
                 at = stop
         elif m[0].startswith("<![CDATA["):
             page.add(m[0][9:].removesuffix("]]>"), decode=False)
     page.end_block()
-    return page.blocks
+    out = page.ruled_out()
+    return [(text, linked, out[aside], inside, tag) for text, linked, aside, inside, tag in page.blocks]
 
 
-def _first_pass(text: str, linked: int, tag: str) -> str:
-    """good, bad, or an undecided kind: near good, rare (long, few stop words), short, heading."""
+def _first_pass(text: str, linked: int, tag: str, inside: bool = False) -> str:
+    """good, bad, or an undecided kind: near good, rare (long, few stop words), short, heading,
+    linked (many links, in the article)."""
     length = len(text)
     solid = len(text.replace(" ", ""))
     density = linked / max(solid, 1)
     if density > LINK_HIGH:
-        return "bad"
+        return "linked" if inside else "bad"
     words = _WORD.findall(text.lower())
     stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
     if stop >= STOP_HIGH and length > LONG:
@@ -228,10 +325,23 @@ def _second_pass(labels: list[str], inside: list[bool] | None = None, edge: str
     return out
 
 
+def _lists_of_links(labels: list[str]) -> list[str]:
+    """In an article, LINKED or more linked blocks in a row are a list of links, and bad."""
+    out, k = labels[:], 0
+    while k < len(out):
+        end = k
+        while end < len(out) and labels[end] == "linked":
+            end += 1
+        if end - k >= LINKED:
+            out[k:end] = ["bad"] * (end - k)
+        k = max(end, k + 1)
+    return out
+
+
 def main_text(html: str | None) -> str:
     found = [b for b in blocks(html or "") if not b[2]]  # what markup rules out is no neighbour
-    labels = [_first_pass(text, linked, tag) for text, linked, _, _, tag in found]
     inside = [in_article for *_, in_article, _ in found]
+    labels = _lists_of_links([_first_pass(text, linked, tag, i) for (text, linked, _, _, tag), i in zip(found, inside, strict=True)])
     if "good" not in labels:  # the surest undecided kind stands for the text, in the article if it has some
         surest = next((x for x in ("near good", "rare", "short", "heading") if x in labels), "")
         within = any(i and x == surest for x, i in zip(labels, inside, strict=True))
@@ -250,7 +360,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page row: page_id, url, text, n_chars (code points of text).
 
-    Null or empty html, or a page without main text, gives an empty text. Null ids and urls
+    Null or empty html, or a page without main text, gives an empty text. Broken markup never
+    hides the rest of a page: elements end where HTML lets them end, stray ends separate, an
+    unclosed comment or script reaches to the end, and a menu or form that spans the article
+    does not rule it out. The time is linear in the page, its open elements included. Null ids and urls
     stay; repeated rows come out as often as they went in; an empty table gives no rows.
     Blocks are never shortened and have no upper length. Other columns are not read.
     """

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from hourglass.llm import decontaminate, near_dedup, topk
 
@@ -112,9 +113,9 @@ def brute_hits(text, items, n=10):
     return len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("entries", [decontaminate.BROADCAST_ENTRIES, 0])
+@pytest.mark.parametrize("entries", [decontaminate.BROADCAST_BYTES, 0])
 def test_decontamination(spark, documents, no_documents, entries, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_ENTRIES", entries)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", entries)
     items = [(1, "Three, four five six seven eight nine ten eleven twelve!"), (2, "don t"), (3, ""), (4, None), (None, "word"),
              (10, "long words long words long words long words long words long"), (12, "six seven eight nine ten eleven twelve thirteen fourteen tail tail")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -132,6 +133,24 @@ def test_decontamination(spark, documents, no_documents, entries, monkeypatch):
     assert text[1] == "one two thirteen fourteen" and text[8] == ""
 
 
+def test_masked_words_are_those_of_the_text(spark):
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    docs = spark.createDataFrame([(None, "one two three four five"), (None, "a b one c d"), (7, "x one two three"), (7, "one two x y z"),
+                                  (7, "x one two three")], "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["clean_text"]) for r in decontaminate.masked(docs, bench).collect())
+    assert got == [("7", "one two x y z"), ("7", "x"), ("7", "x"), ("None", "a b one c d"), ("None", "four five")]
+
+
+def test_the_broadcast_is_bounded_by_bytes(spark):
+    words = " ".join(f"w{k}" for k in range(10))
+    few = decontaminate.benchmark_windows(spark.createDataFrame([(1, words)], "item_id long, text string"))
+    # one window that very many items hold is one window, and large
+    many = decontaminate.benchmark_windows(spark.range(20_000).select(F.col("id").alias("item_id"), F.lit(words).alias("text")))
+    assert few.count() == many.count() == 1
+    assert decontaminate._bytes(few) < 2_000 and decontaminate._bytes(many) > 20_000 * 20 * 6
+    assert decontaminate._bytes(few.filter("false")) == 0
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(int(i), [float(x) for x in rng.normal(size=8)]) for i in range(0, 900, 3)]

@@ -297,3 +297,76 @@ def test_sharding(spark, documents, no_documents):
     again = sharding.shard(documents.repartition(5), shards=4).collect()
     assert sorted(map(str, out)) == sorted(map(str, again))
     assert sharding.shard(no_documents).count() == 0
+
+
+PROSE = ("This is the text of the article and it has the words that we want to keep in the page. " * 4).strip()
+
+
+@pytest.mark.parametrize("html, want", [
+    (f'<body><form id="aspnetForm"><nav><a>Home</a></nav><article><p>{PROSE}</p></article><div class="comments"><p>{PROSE} {PROSE}</p></div></form>', PROSE),
+    (f'<div class="social-layout"><article><p>{PROSE}</p></article></div>', PROSE),
+    (f'<nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul><article><p>{PROSE}</p></article>', PROSE),
+    (f'<div class="with-legal-notice"><p>{PROSE}</p></div>', PROSE),
+    (f'<div class="search-result-page"><p>{PROSE}</p></div>', PROSE),
+    (f'<article><ul><li class=ad>Buy<li>{PROSE}</ul></article>', PROSE),
+    (f'<article><table><tr><td class=ad>Buy<td>{PROSE}</table></article>', PROSE),
+    (f'<article><dl><dt class="ad">Buy<dd>{PROSE}</dl><select><option>A<option>B</select></article>', PROSE),
+    (f'<article><p>{PROSE}</p><ins class="adsbygoogle">Buy</ins><div id="taboola-below-article">{PROSE}</div></article>', PROSE + "\n" + PROSE),
+    (f'<article><p>{PROSE}</p><div class="taboola"><p>{PROSE}</p></div><div class="adsbygoogle">Buy</div></article>', PROSE),
+    (f'<article><p>{PROSE}</p></article><section class="reader-discussion"><p>{PROSE}</p></section>', PROSE),
+    (f'<article><p>{PROSE}</p><p>See <a href=x>the long report of the year</a></p><p>{PROSE}</p></article>',
+     f"{PROSE}\nSee the long report of the year\n{PROSE}"),
+    (f'<main><article><p>{PROSE} {PROSE}</p></article><section id="comments"><article class="comment"><p>{PROSE}</p></article></section></main>', f"{PROSE} {PROSE}"),
+    (f'<footer class="site-footer"><p>{PROSE}</p></footer><main><p>{PROSE} End.</p></main>', f"{PROSE} End."),
+    (f'<article><p title="it"s">{PROSE}</p></article>', PROSE),
+    (f'<article><p>{PROSE}</p><!-- never closed {PROSE}', PROSE),
+])
+def test_untidy_pages_keep_their_text(html, want):
+    assert html_extract.main_text(html) == want
+
+
+@pytest.mark.parametrize("unit", ["<b>", '<a title="x', "<a '>", "<div><p>x<b>", "<li><b>x", "<ul><li>", "<script>", "<b></i>", "<td><table>"])
+def test_time_is_linear_in_unclosed_tags(unit):
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        html_extract.main_text(unit * n + "</i>" * n + "end")
+        return time.process_time() - began
+
+    seconds(2_000)
+    assert seconds(40_000) < 12 * max(seconds(10_000), 0.02)
+
+
+def test_both_passes_equal_a_plain_reading_of_the_rules():
+    """Random label rows: every undecided block by the rules as written, block by block."""
+    import random
+
+    def plain(labels, inside):
+        out = []
+        n, marked = len(labels), any(inside)
+        for k in range(n - 1, -1, -1):
+            label = labels[k]
+            sides = [[(abs(j - k), labels[j]) for j in way if inside[j] == inside[k] and labels[j] in ("good", "bad")] for way in (range(k - 1, -1, -1), range(k + 1, n))]
+            near = [s[0] for s in sides if s]
+            if label in ("good", "bad"):
+                keep = label == "good"
+            elif inside[k]:
+                keep = not (len(near) == 2 and near[0][1] == near[1][1] == "bad")
+            elif label == "heading" and k + 1 < n:
+                keep = out[-1]
+            elif not near:
+                keep = not marked or label in ("near good", "rare")
+            elif label == "near good":
+                keep = any(x == "good" for _, x in near)
+            else:
+                keep = all(x == "good" for d, x in near if d == min(near)[0])
+            out.append(keep)
+        return out[::-1]
+
+    rng = random.Random(4)
+    for _ in range(3_000):
+        n = rng.randint(0, 12)
+        labels = [rng.choice(["good", "bad", "near good", "rare", "short", "heading", "linked"]) for _ in range(n)]
+        inside = [rng.random() < 0.5 for _ in range(n)] if rng.random() < 0.7 else [False] * n
+        assert html_extract._second_pass(labels, inside, edge="") == plain(labels, inside)
