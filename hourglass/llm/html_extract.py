@@ -37,8 +37,6 @@ el los las una unos y o es son en del al por para con no su sus se lo como más
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.10, 0.20
 LINK_HIGH = 0.4
-#: linked blocks in a row that are a list of links inside an article
-LINKED = 3
 
 #: fixed values: elements by what they are in HTML
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
@@ -325,23 +323,19 @@ def _second_pass(labels: list[str], inside: list[bool] | None = None, edge: str
     return out
 
 
-def _lists_of_links(labels: list[str]) -> list[str]:
-    """In an article, LINKED or more linked blocks in a row are a list of links, and bad."""
-    out, k = labels[:], 0
-    while k < len(out):
-        end = k
-        while end < len(out) and labels[end] == "linked":
-            end += 1
-        if end - k >= LINKED:
-            out[k:end] = ["bad"] * (end - k)
-        k = max(end, k + 1)
-    return out
+def _linked_lines(labels: list[str], inside: list[bool]) -> list[str]:
+    """A linked block is a line of the text, and undecided, only between two blocks of text in
+    the article; else it is one of a list of links, or of a teaser, and bad."""
+    def text_at(k: int) -> bool:
+        return 0 <= k < len(labels) and inside[k] and labels[k] in ("good", "near good", "rare")
+
+    return ["bad" if x == "linked" and not (text_at(k - 1) and text_at(k + 1)) else x for k, x in enumerate(labels)]
 
 
 def main_text(html: str | None) -> str:
     found = [b for b in blocks(html or "") if not b[2]]  # what markup rules out is no neighbour
     inside = [in_article for *_, in_article, _ in found]
-    labels = _lists_of_links([_first_pass(text, linked, tag, i) for (text, linked, _, _, tag), i in zip(found, inside, strict=True)])
+    labels = _linked_lines([_first_pass(text, linked, tag, i) for (text, linked, _, _, tag), i in zip(found, inside, strict=True)], inside)
     if "good" not in labels:  # the surest undecided kind stands for the text, in the article if it has some
         surest = next((x for x in ("near good", "rare", "short", "heading") if x in labels), "")
         within = any(i and x == surest for x, i in zip(labels, inside, strict=True))
