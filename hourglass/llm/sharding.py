@@ -83,6 +83,21 @@ def numbered(df: DataFrame, keys: list[str], number: str = "row_number") -> tupl
         "_bucket", "_at", "_start", "_place", "_copy"), n
 
 
+def _sized(docs: DataFrame) -> list[Column]:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"),
+            F.crc32(text).alias("text_crc32")]
+
+
+def _placed(rows: DataFrame, keys: list[str], shards: int, seed: int) -> DataFrame:
+    out, n = numbered(rows, keys)
+    return out.withColumn("_to", permuted(F.col("row_number"), max(n, 1), seed)).select(
+        *keys, F.lit("rows").alias("law"),
+        F.pmod(F.col("_to"), F.lit(shards)).cast("int").alias("shard"),
+        F.call_function("div", F.col("_to"), F.lit(shards)).cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def shard(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
     """Deals all rows into `shards` shards whose row counts are at most one apart.
 
@@ -94,14 +109,34 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
     id, size and checksum gets which slot cannot be told apart. An empty table gives no
     rows. Other columns are not read.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.octet_length(text) + 16).cast("long").alias("size"),
-                       F.crc32(text).alias("text_crc32"))
-    out, n = numbered(rows, ["doc_id", "size", "text_crc32"])
-    place = permuted(F.col("row_number"), max(n, 1), seed)
-    return out.withColumn("_to", place).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
-        F.pmod(F.col("_to"), F.lit(shards)).cast("int").alias("shard"),
-        F.call_function("div", F.col("_to"), F.lit(shards)).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+    return _placed(docs.select(*_sized(docs)), ["doc_id", "size", "text_crc32"], shards, seed)
+
+
+def row_digest(docs: DataFrame) -> Column:
+    """A 256-bit digest of all columns of a row; strings and binaries enter by their bytes."""
+    plain = [f.name for f in docs.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    rest = [c for c in docs.columns if c not in plain]
+    parts = [F.coalesce(F.sha2(F.col(f"`{c}`").cast("binary"), 256), F.lit("-")) for c in plain]
+    if rest:
+        parts.append(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])))
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+def sharded_documents(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
+    """The rows of `docs` themselves, dealt by the same law: all their columns, then size,
+    text_crc32, law, shard, slot and grown_shard, which take the place of columns of the
+    same names in `docs`.
+
+    Narrow rows (id, size, checksum and a digest of the whole row) are numbered; each number
+    then meets its row by the digest. Rows equal in all columns are kept once until they meet
+    their numbers, so that the join moves each distinct text once whatever its copies, and
+    Spark's skew join splits the numbers of a row that came very often. Nulls, repeated rows
+    and empty tables: as in `shard`.
+    """
+    own = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    digest = row_digest(docs).alias("_digest")
+    places = _placed(docs.select(*_sized(docs), digest), ["doc_id", "size", "text_crc32", "_digest"], shards, seed)
+    distinct = docs.select(digest, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).groupBy(
+        "_digest").agg(F.any_value("_row").alias("_row"))
+    kept = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in own]
+    return places.select("_digest", *own).join(distinct, "_digest").select(*kept, *own)
