@@ -10,8 +10,9 @@ them and kept, as are the counts of pieces, in tables of bounded size.
 
 A long text is cut into chunks anywhere, which any tasks may read in any order. What a chunk
 does to the state is a small map: the piece it finishes (head), the tokens of its inner
-pieces, and the piece it leaves open (tail). Maps compose associatively; a scan over the
-maps of a document in order gives its count.
+pieces, and the piece it leaves open (tail). Maps compose associatively, so that a document's
+maps are composed in rounds, `FAN` neighbours at a time, each group where the shuffle puts it:
+no task holds a document. Rounds are as many as the longest text Spark can hold needs.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import sliced
+from hourglass.llm.common import each_copy, sliced
 
 #: characters of a chunk; shorter texts are one chunk
 CHUNK = 1 << 16
@@ -34,6 +35,10 @@ TABLE = 700_000
 #: longer pieces are not kept in the table
 LONG_PIECE = 200
 LIMIT = 512
+#: neighbouring maps that one group of a round composes
+FAN = 32
+#: characters of the longest string, which bound a document's chunks and so the rounds
+LONGEST = 1 << 31
 
 LETTER, NUMBER, MARK, SPACE, WHITE = range(5)
 #: fixed values: letters after an apostrophe that make a piece with it
@@ -290,16 +295,37 @@ class Counter:
     def chunk_map(self, text: str) -> tuple[str, int, str | None]:
         """(head, inner tokens, tail) of a chunk; no tail: nothing in it surely ends a piece.
 
-        Head and tail are cut where a character that is not white is followed by a space:
-        there a piece ends whatever stands before and after, unless a special string is cut
-        through; those hold no space, so that their ends stay in head and tail.
+        Head and tail are cut where a piece ends whatever stands before and after: where a run
+        of letters, numbers or other marks ends, but not between an apostrophe and a letter,
+        nor where the two sides may belong to a special string.
         """
-        first = _boundary(text, 0)
-        if first < 0:
+        if not text:
+            return text, 0, None
+        at = self.ends(text)
+        first = next((k for k in at if not self._in_special(text, k)), None)
+        if first is None:
             return text, 0, None
-        last = _last_boundary(text)
+        last = next(k for k in reversed(at) if not self._in_special(text, k))
         return text[:first], self.text(text[first:last]), text[last:]
 
+    def ends(self, text: str) -> list[int]:
+        """Places where a piece ends whatever stands before and after, special strings aside."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = self.classes(codes)
+        left, right = kind[:-1], kind[1:]
+        run = (left == LETTER) | (left == NUMBER) | (left == MARK)
+        contraction = (codes[:-1] == ord("'")) & (right == LETTER)
+        return (np.flatnonzero(run & (left != right) & ~contraction) + 1).tolist()
+
+    def _in_special(self, text: str, at: int) -> bool:
+        """Whether a special string may lie across `at`, as far as the text shows."""
+        for s in self.special:
+            for k in range(1, len(s)):
+                before, after = text[max(0, at - k) : at], text[at : at + len(s) - k]
+                if s[:k].endswith(before) and s[k:].startswith(after):
+                    return True
+        return False
+
     def compose(self, left: tuple[str, int, str | None], right: tuple[str, int, str | None]):
         """The map of two chunks in a row."""
         if left[2] is None:
@@ -320,21 +346,6 @@ def compiled(shared) -> Counter:
     return shared.value["counter"]
 
 
-def _boundary(text: str, at: int) -> int:
-    """The first space from `at` on that follows a character that is not white."""
-    k = text.find(" ", max(at, 1))
-    while k > 0 and text[k - 1].isspace():
-        k = text.find(" ", k + 1)
-    return k
-
-
-def _last_boundary(text: str) -> int:
-    k = text.rfind(" ", 1)
-    while k > 0 and text[k - 1].isspace():
-        k = text.rfind(" ", 1, k)
-    return k
-
-
 def _maps(shared, limit: int):
     """Counts whole texts."""
 
@@ -351,13 +362,14 @@ def _maps(shared, limit: int):
 
 def _chunk_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deal = 0
         for batch in sliced(batches, 1):
             text = batch.column("text")[0].as_py()
-            cuts = range(0, len(text), size)
-            for k, at in enumerate(cuts):
+            for k, at in enumerate(range(0, len(text), size)):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("text_hash"), batch.column("n_bytes"), pa.array([k], pa.int64()),
-                     pa.array([text[at : at + size]], pa.string())], ["doc_id", "text_hash", "n_bytes", "chunk", "text"])
+                    [*batch.drop_columns(["text"]).columns, pa.array([k], pa.int64()), pa.array([text[at : at + size]], pa.string()),
+                     pa.array([deal], pa.int64())], ["doc_id", "text_hash", "n_bytes", "chunk", "text", "deal"])
+                deal += 1
 
     return run
 
@@ -368,49 +380,69 @@ def _chunk_maps(shared):
         for batch in sliced(batches, 16):
             maps = [counter.chunk_map(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([m[k] for m in maps], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.string()))]
-            rest = batch.drop_columns(["text"])
+            rest = batch.drop_columns(["text", "deal"])
             yield pa.RecordBatch.from_arrays([*rest.columns, *columns], [*rest.schema.names, "head", "inner", "tail"])
 
     return run
 
 
-def _scan(shared, limit: int):
-    """Composes the maps of each document in order; rows repeated k times give k results."""
+def _round(shared):
+    """Composes neighbouring maps with the same `part`, which come in order; gives one map of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = compiled(shared)
-        at, copies, n_bytes, total, chunk = None, 0, 0, None, -1
+        group, total = None, None
+        names = ["doc_id", "text_hash", "n_bytes", "_n", "part"]
 
         def done() -> pa.RecordBatch:
-            n = counter.value(total)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([at[0]] * copies, pa.int64()), pa.array([n_bytes] * copies, pa.int64()),
-                 pa.array([n] * copies, pa.int64()), pa.array([n > limit] * copies, pa.bool_())],
-                ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            kinds = (*[pa.int64()] * 5, pa.string(), pa.int64(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip((*group, *total), kinds, strict=True)],
+                                              [*names[:-1], "chunk", "head", "inner", "tail"])
 
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "n_bytes", "chunk", "head", "inner", "tail")]
-            for doc, text, size, k, *m in zip(*columns, strict=True):
-                if (doc, text) != at:
-                    if at is not None:
+        for batch in sliced(batches, 256):
+            columns = [batch.column(c).to_pylist() for c in (*names, "head", "inner", "tail")]
+            for *key, head, inner, tail in zip(*columns, strict=True):
+                if key != group:
+                    if group is not None:
                         yield done()
-                    at, copies, n_bytes, total, chunk = (doc, text), 0, size, None, -1
-                if k == 0:
-                    copies += 1
-                if k != chunk:  # the same chunk of a repeated row says nothing new
-                    total, chunk = (tuple(m) if total is None else counter.compose(total, tuple(m))), k
-        if at is not None:
+                    group, total = key, (head, inner, tail)
+                else:
+                    total = counter.compose(total, (head, inner, tail))
+        if group is not None:
             yield done()
 
     return run
 
 
+def _values(shared, limit: int):
+    """The counts of documents whose maps are composed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = compiled(shared)
+        for batch in sliced(batches, 16):
+            maps = zip(*[batch.column(c).to_pylist() for c in ("head", "inner", "tail")], strict=True)
+            n = [counter.value(m) for m in maps]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("doc_id", "text_hash", "n_bytes", "_n")], pa.array(n, pa.int64()),
+                 pa.array([k > limit for k in n], pa.bool_())], ["doc_id", "text_hash", "n_bytes", "_n", "n_tokens", "over_limit"])
+
+    return run
+
+
+def rounds(chunk: int, fan: int = FAN) -> int:
+    """Rounds after which the maps of the longest text are one."""
+    n, maps = 0, -(-LONGEST // chunk)
+    while maps > 1:
+        n, maps = n + 1, -(-maps // fan)
+    return n
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, chunk: int = CHUNK) -> DataFrame:
     """One row per document row: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
     The tokenizer's file is read on the driver and broadcast (its size does not depend on
     the data). Texts up to `chunk` characters are counted where they are read; longer ones
-    are cut, dealt out by chunk and scanned. Null and empty texts have no bytes and no
+    are cut, dealt out by chunk and composed in rounds. Null and empty texts have no bytes and no
     tokens; null ids stay; repeated rows come out as often as they went in; an empty table
     gives no rows. Other columns are not read.
     """
@@ -424,9 +456,17 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, chunk
     short = rows.filter(F.char_length("text") <= chunk).mapInArrow(_maps(shared, limit), out)
     long_ = rows.filter(F.char_length("text") > chunk).withColumn("text_hash", F.xxhash64("text")).select(
         "doc_id", "text_hash", "n_bytes", "text").mapInArrow(
-        _chunk_rows(chunk), "doc_id long, text_hash long, n_bytes long, chunk long, text string")
-    maps = long_.repartition("doc_id", "text_hash", "chunk").mapInArrow(
+        _chunk_rows(chunk), "doc_id long, text_hash long, n_bytes long, chunk long, text string, deal long")
+    maps = long_.repartition("doc_id", "text_hash", "chunk", "deal").mapInArrow(
         _chunk_maps(shared), "doc_id long, text_hash long, n_bytes long, chunk long, head string, inner long, tail string")
-    scanned = maps.repartition("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "chunk").mapInArrow(
-        _scan(shared, limit), out)
-    return short.unionByName(scanned)
+    # rows equal in id and text have equal maps: composed once, counted as _n
+    key = ["doc_id", "text_hash", "n_bytes"]
+    maps = maps.groupBy(*key, "chunk").agg(F.count("*").alias("_n"), F.any_value(F.struct("head", "inner", "tail")).alias("m"))
+    maps = maps.select(*key, "_n", "chunk", "m.*")
+    for _ in range(rounds(chunk)):
+        parts = maps.withColumn("part", F.call_function("div", F.col("chunk"), F.lit(FAN)))
+        maps = parts.repartition(*key, "part").sortWithinPartitions(*key, "chunk").mapInArrow(
+            _round(shared), "doc_id long, text_hash long, n_bytes long, _n long, chunk long, head string, inner long, tail string")
+    counts = maps.mapInArrow(_values(shared, limit), "doc_id long, text_hash long, n_bytes long, _n long, n_tokens long, over_limit boolean")
+    counts = each_copy(counts, ["doc_id", "text_hash"], "_copy").select("doc_id", "n_bytes", "n_tokens", "over_limit")
+    return short.unionByName(counts)
