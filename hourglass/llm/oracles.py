@@ -45,16 +45,27 @@ def _rows(pairs) -> str:
 OP1 = f"""
 WITH phrases(phrase, label) AS (VALUES {_rows(PHRASES.items())}),
 templates AS (
-  SELECT label, list_distinct({WORDS}) AS w FROM (VALUES {_rows(TEMPLATES)}) AS v(label, text)),
+  SELECT row_number() OVER () AS t, label, len({WORDS}) AS n, list_distinct({WORDS}) AS w FROM (VALUES {_rows(TEMPLATES)}) AS v(label, text)),
+near AS (
+  SELECT a.t, list_filter(a.w, lambda x: NOT list_contains(b.w, x)) AS own, list_filter(b.w, lambda x: NOT list_contains(a.w, x)) AS other
+  FROM templates a JOIN templates b ON a.label <> b.label AND 10 * len(list_intersect(a.w, b.w)) >= 8 * len(a.w)),
 docs AS (SELECT row_number() OVER () AS r, doc_id, text, {WORDS} AS w FROM documents),
 base AS (
   SELECT r, s - 1 AS place, label FROM docs, phrases, unnest(generate_series(1, len(w))) AS u(s)
   WHERE array_to_string(w[s : s + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
 lines AS (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM docs),
 blocks AS (SELECT r, {WORDS} AS w FROM lines),
+whole AS (
+  SELECT r, t, n, label, blocks.w AS line, templates.w AS tw FROM blocks, templates
+  WHERE 10 * len(list_intersect(blocks.w, templates.w)) >= 8 * len(templates.w)),
+windows AS (
+  SELECT r, t, label, tw, line[s : s + 2 * n - 1] AS w FROM whole, unnest(generate_series(1, greatest(1, len(line) - 2 * n + 1))) AS u(s)),
 met AS (
-  SELECT r, label, len(list_intersect(blocks.w, templates.w)) AS shared, len(templates.w) AS size FROM blocks, templates
-  WHERE 10 * shared >= 8 * size),
+  SELECT r, label, len(list_intersect(w, tw)) AS shared, len(tw) AS size FROM windows
+  WHERE 10 * shared >= 8 * size AND NOT EXISTS (
+    SELECT 1 FROM near WHERE near.t = windows.t AND CASE
+      WHEN len(own) > 0 THEN len(list_intersect(own, w)) < len(own)
+      ELSE len(other) > 0 AND len(list_intersect(other, w)) = len(other) END)),
 base_by AS (
   SELECT r, count(*) AS n, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM base GROUP BY r),

@@ -370,3 +370,97 @@ def test_both_passes_equal_a_plain_reading_of_the_rules():
         labels = [rng.choice(["good", "bad", "near good", "rare", "short", "heading", "linked"]) for _ in range(n)]
         inside = [rng.random() < 0.5 for _ in range(n)] if rng.random() < 0.7 else [False] * n
         assert html_extract._second_pass(labels, inside, edge="") == plain(labels, inside)
+
+
+NOTICES = [
+    ("Licensed under CC BY 4.0.", "cc-by-notice"), ("Licensed under CC BY-NC 4.0.", "cc-by-nc"), ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa"),
+    ("This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0.", "epl"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 which is available here", "epl"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl"),
+    ("Licensed under the Apache License, Version 1.0.", "apache-1-notice"), ("Licensed under the Apache License, Version 2.0.", "apache-notice"),
+    ("This work is licensed under the GNU General Public License, version 2.", "gpl-2-notice"),
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl-notice"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl-notice"),
+    ("The film was released under the new license in May", ""), ("Released under the MIT License.", "mit-notice"),
+]
+
+
+def test_telling_words_and_long_lines(spark):
+    rng = random.Random(4)
+    filler = [f"w{k}" for k in range(50)]
+    scattered = [*rng.choices(filler, k=4000)]
+    for k, w in enumerate("released under the mit license".split()):
+        scattered[k * 900] = w
+    rows = [(k, text) for k, (text, _) in enumerate(NOTICES)]
+    rows += [(100 + k, " ".join(rng.choices(filler, k=2000)) + f" {text} " + " ".join(rng.choices(filler, k=2000))) for k, (text, _) in enumerate(NOTICES)]
+    rows.append((200, " ".join(scattered)))
+    out = {r["doc_id"]: r["labels"] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), phrases={}).collect()}
+    assert [out[k] for k in range(len(NOTICES))] == [label for _, label in NOTICES]
+    assert [out[100 + k] for k in range(len(NOTICES))] == [label for _, label in NOTICES]
+    assert out[200] == ""
+
+
+def test_windows_of_long_lines_equal_brute_force():
+    rng = random.Random(5)
+    words = [f"w{x}".encode() for x in range(12)]
+    for _ in range(400):
+        templates = [(f"t{k}", b" ".join(rng.choices(words, k=rng.randint(2, 6))).decode()) for k in range(5)]
+        index = license_scan.TemplateIndex(templates, {}, (8, 10), telling=True)
+        sets = [(label, set(license_scan.words(t)), len(license_scan.words(t))) for label, t in templates]
+        line = rng.choices([*words, b"x", b"y", b"z"], k=rng.randint(1, 40))
+        want = []
+        for label, s, n in sets:
+            best = 0
+            for k in range(max(1, len(line) - 2 * n + 1)):
+                block, ok = set(line[k : k + 2 * n]), True
+                for other, u, _ in sets:
+                    if other != label and 10 * len(s & u) >= 8 * len(s) and s != u:
+                        ok &= (s - u <= block) if s - u else not (u - s <= block)
+                if ok and 10 * len(s & block) >= 8 * len(s):
+                    best = max(best, len(s & block))
+            want += [(label, best / len(s))] if best else []
+        assert sorted(index.in_line(line)) == sorted(want)
+
+
+def test_sharded_rows_keep_their_columns(spark, documents, no_documents):
+    from pyspark.sql import functions as F
+
+    docs = documents.unionByName(documents).withColumn("shard", F.lit("mine")).withColumn("more", F.array("doc_id"))
+    out = sharding.sharded_documents(docs, shards=4)
+    rows = out.collect()
+    columns = [*(c for c in documents.columns if c != "size"), "more"]  # size and shard are made here
+    assert out.columns == [*columns, "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert sorted(str([r[c] for c in columns]) for r in rows) == sorted(str([r[c] for c in columns]) for r in docs.collect())
+    assert all(r["size"] == len((r["text"] or "").encode()) + 16 and r["text_crc32"] == zlib.crc32((r["text"] or "").encode()) for r in rows)
+    slots = [sorted(r["slot"] for r in rows if r["shard"] == k) for k in range(4)]
+    assert all(s == [*range(len(s))] for s in slots) and max(map(len, slots)) - min(map(len, slots)) <= 1
+    assert sorted(map(str, rows)) == sorted(map(str, sharding.sharded_documents(docs.repartition(5), shards=4).collect()))
+    assert sharding.sharded_documents(no_documents).count() == 0
+
+
+def test_row_at_gives_the_row_of_a_slot(spark):
+    from pyspark.sql import functions as F
+
+    n, shards = 1_003, 8
+    out = spark.range(n).select("id", sharding.permuted(F.col("id"), n, 5).alias("p"))
+    back = out.select("id", sharding.row_at(F.pmod("p", F.lit(shards)), F.call_function("div", F.col("p"), F.lit(shards)), n, shards, 5).alias("back"))
+    assert back.filter("id <> back").count() == 0
+
+
+def test_long_texts_without_spaces(spark, library):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("ab,1漢字。é'<|", k=5 * token_count.CHUNK)), "x" * (token_count.CHUNK + 5), "no spaces," * 20_000]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(0, texts[0]), (None, texts[2])]
+    out = token_count.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER)
+    want = [(i, len(t.encode()), n := len(library.encode(t, add_special_tokens=False)), n > 512) for i, t in rows]
+    assert by_id(out, "doc_id", "n_bytes", "n_tokens", "over_limit") == sorted(want, key=str)
+
+
+def test_no_map_holds_its_chunk(counter):
+    rng = random.Random(9)
+    head, _, tail = counter.chunk_map("".join(rng.choices("ab,1漢字。é", k=token_count.CHUNK)))
+    assert len(head) < 100 and len(tail) < 100
+    assert token_count.rounds(token_count.CHUNK) == 3 and token_count.FAN ** token_count.rounds(7) * 7 >= token_count.LONGEST
