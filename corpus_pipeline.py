@@ -33,8 +33,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row of the mix."""
-    return sharding.shard(docs)
+    """Every row of the mix with its text, shard and slot."""
+    return sharding.sharded_documents(docs)
 
 
 STAGES = [
