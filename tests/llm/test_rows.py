@@ -464,3 +464,22 @@ def test_no_map_holds_its_chunk(counter):
     head, _, tail = counter.chunk_map("".join(rng.choices("ab,1漢字。é", k=token_count.CHUNK)))
     assert len(head) < 100 and len(tail) < 100
     assert token_count.rounds(token_count.CHUNK) == 3 and token_count.FAN ** token_count.rounds(7) * 7 >= token_count.LONGEST
+
+
+def test_url_grams_are_linear_and_hosts_are_held_out(spark, sf_dir):
+    import time
+
+    from pyspark.sql import functions as F
+
+    host, path = "é漢😀.com", "/a"
+    got = spark.createDataFrame([(host, path), ("", "")], "host string, path string").select(url_filter.grams(F.col("host"), F.col("path")).alias("g")).collect()
+    plain = lambda h, p: [m + f"^{t}$"[k : k + n] for t, m in ((h, "h"), (p, "p")) for n in url_filter.GRAMS for k in range(max(1, len(t) + 3 - n))]
+    assert [r["g"] for r in got] == [plain(host, path), plain("", "")]
+    long_url = spark.range(1).select(F.lit("h.org").alias("host"), F.repeat(F.lit("/abc"), 40_000).alias("path"))
+    start = time.time()
+    assert long_url.select(F.size(F.filter(url_filter.grams(F.col("host"), F.col("path")), lambda g: g != "")).alias("n")).first()["n"] > 300_000
+    assert time.time() - start < 20
+    hosts = url_filter.host_and_path(F.col("url"))[0]
+    names = {r[0] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        F.regexp_extract(hosts, r"^(?:www\.|m\.|blog\.)?([^.]*)", 1)).distinct().collect()}
+    assert not names & {*url_filter.UNWANTED, *url_filter.ORDINARY}
