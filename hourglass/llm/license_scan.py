@@ -99,10 +99,11 @@ class TemplateIndex:
         self.templates = [(label, s, -(-num * len(s) // den)) for label, s in sets]
         self.least = min((a for _, _, a in self.templates), default=1)
         #: words that a block must hold, and sets of words of which it must not hold all
-        self.own, self.others = [frozenset()] * len(sets), [[] for _ in sets]
+        self.own, self.others, self.near = [frozenset()] * len(sets), [[] for _ in sets], [set() for _ in sets]
         for t, (label, s, a) in enumerate(self.templates if telling else ()):
-            for u_label, u, _ in self.templates:
+            for k, (u_label, u, _) in enumerate(self.templates):
                 if u_label != label and len(s & u) >= a and s != u:
+                    self.near[t].add(k)
                     if s <= u:
                         self.others[t].append(u - s)
                     else:
@@ -141,15 +142,18 @@ class TemplateIndex:
     def in_line(self, line: list[bytes]) -> list[tuple[str, float]]:
         """(label, containment) of every template that a line meets: as a whole where it has at
         most twice the template's words, else in a window of so many consecutive words."""
+        return [(self.templates[t][0], shared / len(self.templates[t][1])) for t, shared in self._of_line(line)]
+
+    def _of_line(self, line: list[bytes]) -> list[tuple[int, int]]:
         out, block = [], set(line)
         for t, shared in self._met(block):
-            label, s, a = self.templates[t]
+            a = self.templates[t][2]
             if len(line) > 2 * self.lengths[t]:
                 shared = self._best_window(t, line, 2 * self.lengths[t])
             elif not self.told(t, block):
                 continue
             if shared >= a:
-                out.append((label, shared / len(s)))
+                out.append((t, shared))
         return out
 
     def _best_window(self, t: int, line: list[bytes], size: int) -> int:
@@ -172,15 +176,24 @@ class TemplateIndex:
         """(label, containment) of every template that consecutive lines of a paragraph meet.
 
         With a template of n words a window is two lines or more: the last n words of its first
-        line, the first n of its last, and all lines between, which hold fewer than n words.
+        line, the first n of its last, and all lines between, which hold fewer than n words. No
+        line of it is by itself a notice of a nearest other template: a telling word that stands
+        by chance beside such a line makes no other license of it.
         """
-        out = []
-        for t, _ in self._met(set().union(*map(self.vocabulary.intersection, lines))):
+        out, met = [], self._met(set().union(*map(self.vocabulary.intersection, lines)))
+        if not met:
+            return out
+        alone = [{t for t, _ in self._of_line(line)} if len(line) >= self.least else set() for line in lines]
+        for t, _ in met:
             label, s, a = self.templates[t]
             n, most = self.lengths[t], 0
             for i in range(len(lines) - 1):
+                if alone[i] & self.near[t]:
+                    continue
                 held, between = self.vocabulary.intersection(lines[i][-n:]), 0
                 for k in range(i + 1, len(lines)):
+                    if alone[k] & self.near[t]:
+                        break
                     held |= self.vocabulary.intersection(lines[k][:n])
                     between += len(lines[k])
                     shared = len(s & held)

@@ -483,3 +483,9 @@ def test_url_grams_are_linear_and_hosts_are_held_out(spark, sf_dir):
     names = {r[0] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select(
         F.regexp_extract(hosts, r"^(?:www\.|m\.|blog\.)?([^.]*)", 1)).distinct().collect()}
     assert not names & {*url_filter.UNWANTED, *url_filter.ORDINARY}
+
+
+def test_a_telling_word_beside_a_whole_notice_is_no_other_license(spark):
+    rows = [(1, "some nd words\nLicensed under CC BY-NC 4.0.\nsa and so on"), (2, "text of the author, licensed under\nCC BY-NC-ND 4.0 and more")]
+    out = {r["doc_id"]: r["labels"] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), phrases={}).collect()}
+    assert out == {1: "cc-by-nc", 2: "cc-by-nc-nd"}
