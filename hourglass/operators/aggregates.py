@@ -45,6 +45,18 @@ def conditional_sums(
     return df.groupBy(*keys).agg(*aggs, *extra)
 
 
+def week_bits(code: str) -> tuple[Column, Column]:
+    """(block, mask) of a `YYYYWWnn` code: its year and one bit of a long for its week, so that
+    the distinct weeks of any rows are the OR of their masks by block, and their number the sum
+    of the bits. Any other code is a block of its own with one bit; NULL has no block and no bit."""
+    c = F.col(code)
+    formed = c.rlike("^[0-9]{4}WW[0-5][0-9]$")
+    one = F.lit(1).cast("long")
+    block = F.when(formed, F.substring(c, 1, 4)).otherwise(F.concat(F.lit("="), c))
+    mask = F.when(formed, F.call_function("shiftleft", one, F.right(c, F.lit(2)).cast("int"))).when(c.isNotNull(), one)
+    return block, mask
+
+
 def two_level_ratio(
     df: DataFrame,
     detail_keys: Sequence[str],
@@ -56,24 +68,25 @@ def two_level_ratio(
 ) -> DataFrame:
     """`SUM(value) / COUNT(DISTINCT distinct_of)` at two grouping levels, unioned.
 
-    Detail rows group by `detail_keys`; total rows by `total_keys` and carry the literal
-    labels of `label_cols` (column -> label) in the detail-only columns. The fact is first
-    reduced to one row per (detail keys, distinct_of), so the grouping sets expand a
-    pre-aggregated frame and the distinct count becomes a plain count there. A sum over
-    no distinct value at all raises, as a division by zero does; a NULL sum gives NULL.
+    Detail rows group by `detail_keys`; total rows by `total_keys`, a subset of them, and carry the
+    literal labels of `label_cols` (column -> label) in the detail-only columns. Distinct codes
+    are kept as bits (`week_bits`) that merge upward: the map side folds a fact to one row per
+    (detail keys, year), both levels read that one aggregate (its exchange runs once), and no
+    row is expanded into one per level or per code. `_gid` is the grouping id of the level, 0
+    for detail. A sum over no distinct value at all raises, as a division by zero does; a NULL
+    sum gives NULL.
     """
-    pre = df.groupBy(*detail_keys, distinct_of).agg(F.sum(value).alias("_v"))
-    g = pre.groupingSets([list(detail_keys), list(total_keys)], *detail_keys).agg(
-        F.sum("_v").alias("_s"),
-        F.count_distinct(F.col(distinct_of)).alias("_n"),
-        F.grouping_id().alias("_gid"),
-    )
-    cols = []
-    for c in detail_keys:
-        if c in label_cols:
-            cols.append(F.when(F.col("_gid") == 0, F.col(c)).otherwise(F.lit(label_cols[c])).alias(c))
-        else:
-            cols.append(F.col(c))
-    zero = (F.col("_n") == 0) & F.col("_s").isNotNull()
-    ratio = F.when(zero, F.raise_error(F.lit(f"division by zero: no {distinct_of}"))).otherwise(F.try_divide(F.col("_s"), F.col("_n")))
-    return g.select(*cols, ratio.alias(out), F.col("_gid"))
+    block, mask = week_bits(distinct_of)
+    rows = df.select(*detail_keys, F.col(value).alias("_v"), block.alias("_block"), mask.alias("_mask"))
+    folded = rows.groupBy(*detail_keys, "_block").agg(F.sum("_v").alias("_v"), F.bit_or("_mask").alias("_mask"))
+    coarse = folded.groupBy(*total_keys, "_block").agg(F.sum("_v").alias("_v"), F.bit_or("_mask").alias("_mask"))
+    gid = sum(1 << k for k, c in enumerate(reversed(detail_keys)) if c not in total_keys)
+
+    def level(by_block: DataFrame, keys: Sequence[str], gid: int) -> DataFrame:
+        g = by_block.groupBy(*keys).agg(F.sum("_v").alias("_s"), F.sum(F.coalesce(F.bit_count("_mask"), F.lit(0))).alias("_n"))
+        zero = (F.col("_n") == 0) & F.col("_s").isNotNull()
+        ratio = F.when(zero, F.raise_error(F.lit(f"division by zero: no {distinct_of}"))).otherwise(F.try_divide(F.col("_s"), F.col("_n")))
+        cols = [F.col(c) if c in keys else F.lit(label_cols.get(c)).cast(df.schema[c].dataType).alias(c) for c in detail_keys]
+        return g.select(*cols, ratio.alias(out), F.lit(gid).cast("long").alias("_gid"))
+
+    return level(folded, detail_keys, 0).unionByName(level(coarse, total_keys, gid))

@@ -205,13 +205,17 @@ def work_package_map(br: Branch) -> DataFrame:
     return out.withColumn("WorkPackage", concat_null(F.col("Activity_ID"), " - ", F.col("Activity_Name")))
 
 
+def baseline_types(requested: str) -> tuple[str, str]:
+    """The requested type and its fallback: 'Approved' for 'Recovery' and 'Homer' otherwise."""
+    return requested, "Approved" if requested == "Recovery" else "Homer"
+
+
 def baseline_selection(baseline: DataFrame, requested: str) -> DataFrame:
     """One baseline type per project among {requested, fallback}, highest name first.
 
-    Fallback is 'Approved' for 'Recovery' and 'Homer' otherwise. `max` per project equals
-    the report's ROW_NUMBER ... ORDER BY BaselineType DESC = 1, as a partial aggregate."""
-    fallback = "Approved" if requested == "Recovery" else "Homer"
-    return (baseline.where(F.col("BaselineType").isin(requested, fallback))
+    `max` per project equals the report's ROW_NUMBER ... ORDER BY BaselineType DESC = 1, as a
+    partial aggregate."""
+    return (baseline.where(F.col("BaselineType").isin(*baseline_types(requested)))
             .groupBy("Project_ID").agg(F.max("BaselineType").alias("BaselineType")))
 
 
@@ -220,18 +224,29 @@ def baseline_selection(baseline: DataFrame, requested: str) -> DataFrame:
 def planned_and_budget(br: Branch) -> list[DataFrame]:
     """Planned (chosen baseline) and Budget (Approved) hours per L2 activity and week.
 
-    One scan of the baseline, one join to the activities and one aggregate with a
-    conditional sum per arm, stacked into ledger rows; a group yields an arm row only if
+    One scan of the baseline: its rows of the types in question are summed by activity,
+    project, type and week, and both the choice of a type per project (over all rows, as
+    `baseline_selection` makes it) and the labour hours are read off that aggregate. Both
+    reads have one shape, so that its exchange runs once: they read all of its columns, the
+    activity's key goes out as an aggregate and projects are compared null-safely, so that no
+    join's null filter is pushed into one of them. One join to the activities and one aggregate with
+    a conditional sum per arm, stacked into ledger rows; a group yields an arm row only if
     the arm had rows in it.
     """
     acts = scope(br.l2_now(), br.params, wbs_only=not br.live)
     a = acts.select("Activity_Key", "BR_ProjectNumber", "Activity_ID", "Activity_Name", "BR_PIEPCCC")
-    bl_all = br.baseline()
-    pb = baseline_selection(bl_all, br.params.baseline_type).withColumn("_planned", F.lit(True))
-    bl = bl_all.where(F.col("BR_Resource_Type") == LABOUR)
-    j = pre_aggregated_join(bl, a, "Activity_Key", ["Activity_Key", "Project_ID", "BaselineType", "BR_WorkWeek"],
-                          ["Planned_Hours"]).join(pb, ["Project_ID", "BaselineType"], "left")
-    is_planned = F.col("_planned").isNotNull()
+    offered = baseline_types(br.params.baseline_type)
+    labour = F.col("BR_Resource_Type") == LABOUR
+    bl = (br.baseline().where(F.col("BaselineType").isin(*dict.fromkeys([*offered, "Approved"])))
+          .groupBy("Activity_Key", "Project_ID", "BaselineType", "BR_WorkWeek")
+          .agg(F.sum(F.when(labour, F.col("Planned_Hours"))).alias("Planned_Hours"), F.count_if(labour).alias("n"),
+               F.max("Activity_Key").alias("b_key")).drop("Activity_Key"))
+    whole = F.struct("BaselineType", "Planned_Hours", "n", "b_key", "BR_WorkWeek")
+    pb = bl.groupBy(F.col("Project_ID").alias("b_project")).agg(
+        F.max(F.when(F.col("BaselineType").isin(*offered), whole)).alias("_best"))
+    j = (bl.where(F.col("n") > 0).join(a, F.col("b_key") == F.col("Activity_Key"))
+         .join(pb, F.col("Project_ID").eqNullSafe(F.col("b_project")), "left"))
+    is_planned = F.coalesce((F.col("BaselineType") == F.col("_best.BaselineType")) & F.col("Project_ID").isNotNull(), F.lit(False))
     is_budget = F.col("BaselineType") == "Approved"
     g = j.where(is_planned | is_budget).groupBy(*_act_cols(j), F.col("BR_WorkWeek").alias("WorkWeek")).agg(
         sum_of(j, "Planned_Hours", is_planned).alias("planned"), F.count_if(is_planned).alias("n_planned"),

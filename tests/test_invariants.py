@@ -131,9 +131,9 @@ def test_a_report_reads_the_activities_once(spark, params, scans):
 
 
 @pytest.mark.parametrize("key, facts", [
-    ("ev_project_report", ("time_phase_weekly", "weekly_burden", "actual_hour", "fin_transaction", "timesheet")),
-    ("ev_project_report_live", ("time_phase_daily", "time_phase_weekly", "weekly_burden", "actual_hour",
-                                "fin_transaction", "timesheet")),
+    ("ev_project_report", ("time_phase_weekly", "time_phase_baseline_weekly", "weekly_burden", "actual_hour", "fin_transaction", "timesheet")),
+    ("ev_project_report_live", ("time_phase_daily", "time_phase_weekly", "time_phase_baseline", "weekly_burden",
+                                "actual_hour", "fin_transaction", "timesheet")),
 ])
 def test_report_reads_each_fact_once(spark, key, facts):
     """Executed (final adaptive) plan of each report branch, which no job precedes but the pass

@@ -57,7 +57,8 @@ def test_asof_max_equals_correlated_max(spark, probes, ref):
 
 @settings(**SETTINGS)
 @given(data=st.lists(st.tuples(st.sampled_from(["P", "Q"]), st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
-                               st.one_of(st.none(), st.sampled_from(["w1", "w2", "w3"])),
+                               st.one_of(st.none(), st.sampled_from(["w1", "w2", "w3", "1999WW01", "1999WW02", "1999WW53", "2000WW01", "1999WW60",
+                                                                      "1999", "1999WW", "=1999", ""])),
                                st.one_of(st.none(), st.integers(min_value=-5, max_value=9))), min_size=1, max_size=20))
 def test_two_level_ratio_equals_two_group_bys(spark, data):
     from pyspark.sql import functions as F

@@ -135,3 +135,12 @@ def test_axis_bounds_raise_on_two_rows(spark):
     assert spark.range(1).select(last).collect()[0][0] is None
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         spark.range(1).select(first).collect()
+
+
+def test_two_level_ratio_expands_no_row_and_reads_once(spark):
+    """Weeks are bits of one aggregate that both levels read: no Expand, one exchange of it."""
+    df = spark.createDataFrame([("P", "a", f"{y}WW{w:02}", 1.0) for y in (1999, 2000) for w in range(60)] * 2, "p string, act string, wk string, h double")
+    out = two_level_ratio(df, ["p", "act"], ["p"], "h", "wk", {"act": "dummy"})
+    assert {(r["act"], r["ratio"], r["_gid"]) for r in out.collect()} == {("a", 2.0, 0), ("dummy", 2.0, 1)}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Expand" not in plan and "ReusedExchange" in plan
