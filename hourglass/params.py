@@ -32,6 +32,8 @@ class ReportParams:
     # the scripts' constant bucket for burn-rate rows
     burn_week: str = "2019WW01"
     safe_finish: bool = False
+    # how strings are compared: 'binary', or 'case_blind' (see sources.comparison)
+    comparison: str = "binary"
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,7 @@ class ProfileParams:
     graph_start: str = "201001"
     graph_end: str = "202701"
     as_of: dt.date = field(default_factory=dt.date.today)
+    comparison: str = "binary"
 
     @property
     def base_year(self) -> str:

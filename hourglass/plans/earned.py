@@ -15,6 +15,7 @@ from hourglass.plans.calendar import period_rollup_table, resolve_periods
 from hourglass.plans.gate import use_live_sources
 from hourglass.plans.ledger import EARNED, Branch, build_ledger, scope, share_activities
 from hourglass.sources.catalog import ProjectSources, live_scan, snapshot_scan
+from hourglass.sources.comparison import WRITTEN, compared_params, compared_sources
 from hourglass.sources.staging import Staging
 
 DEC = "decimal(19,6)"
@@ -152,25 +153,34 @@ REPORT_KEYS = ["ProjectNumber", "BundleTitleLong", "ProgramWBS", "ProjectTitleCo
 
 def project_report(ledger: DataFrame, br: Branch, sort: bool = True) -> DataFrame:
     """Ledger -> one row per (project attributes, activity, PIEPCCC) with 22 measures and
-    the activity's latest finish."""
+    the activity's latest finish. Where activities are compared by keys, an activity of this
+    period is shown as it is written, the first of several spellings."""
     s, p = br.src, br.params
     mpl = s.project_master_ext.where(F.col("IsCurrent") == 1).select(
         F.col("ProjectNumber").alias("m_project"), "BundleTitleLong", "ProgramWBS",
         concat_null(F.col("ProjectNumber"), " - ", F.col("ProjectTitleLong")).alias("ProjectTitleCombined"),
         "VendorDescription", grouping_label(p.group).alias("Grouping"))
-    fin = br.l2_now().select(F.col("Activity_ID").alias("f_id"), F.col("BR_ProjectNumber").alias("f_project"), "Finish")
+    now = br.l2_now()
+    shown = [c for c in ("Activity_ID", "Activity_Name") if c + WRITTEN in now.columns]
+    first = [F.min(c + WRITTEN).alias(c + WRITTEN) for c in shown]
+    fin = now.select(F.col("Activity_ID").alias("f_id"), F.col("BR_ProjectNumber").alias("f_project"), "Finish", *[c + WRITTEN for c in shown])
     if p.safe_finish:
-        fin = fin.groupBy("f_id", "f_project").agg(F.max("Finish").alias("Finish"))
+        fin = fin.groupBy("f_id", "f_project").agg(F.max("Finish").alias("Finish"), *first)
     j = (ledger.join(mpl, F.col("m_project") == F.col("ProjectNumber"), "left")
          .join(fin, (F.col("f_id") == F.col("Activity_ID")) & (F.col("f_project") == F.col("ProjectNumber")), "left"))
-    out = conditional_sums(j, REPORT_KEYS, measures(br.periods, br.live), extra=[F.max("Finish").alias("finish")])
+    out = conditional_sums(j, REPORT_KEYS, measures(br.periods, br.live), extra=[F.max("Finish").alias("finish"), *first])
+    if shown:
+        written = {c: F.coalesce(F.col(c + WRITTEN), F.col(c)).alias(c) for c in shown}
+        out = out.select(*[written.get(c, F.col(c)) for c in out.columns if not c.endswith(WRITTEN)])
     if sort:
         out = out.orderBy(F.col("Week_AV").asc_nulls_first(), F.col("LC_RV").desc_nulls_last())
     return out
 
 
 def resolved_branch(src: ProjectSources, params: ReportParams, live: bool | None = None) -> Branch:
-    """Periods resolved and sources picked, for functions that build single arms."""
+    """Periods resolved and sources picked, for functions that build single arms; strings are
+    compared as the parameters say."""
+    src, params = compared_sources(src, params.comparison), compared_params(params)
     rollup = period_rollup_table(src.snapshot_period)
     periods = resolve_periods(rollup, src.work_week, params.period_type, params.period)
     if live is None:
@@ -186,11 +196,11 @@ def ev_report(src: ProjectSources, params: ReportParams, live: bool | None = Non
     the report has run; without one they last until the application ends."""
     br = resolved_branch(src, params, live)
     br = share_activities(br, staging or Staging.of_application(src.snapshot_period.sparkSession))
-    return project_report(build_ledger(br, earned=earned_arm(br, src.time_phase_period)), br, sort=sort)
+    return project_report(build_ledger(br, earned=earned_arm(br, br.src.time_phase_period)), br, sort=sort)
 
 
 def ledger_only(src: ProjectSources, params: ReportParams, live: bool | None = None, staging: Staging | None = None) -> DataFrame:
     """The ledger of the report, all arms."""
     br = resolved_branch(src, params, live)
     br = share_activities(br, staging or Staging.of_application(src.snapshot_period.sparkSession))
-    return build_ledger(br, earned=earned_arm(br, src.time_phase_period))
+    return build_ledger(br, earned=earned_arm(br, br.src.time_phase_period))

@@ -22,6 +22,7 @@ from hourglass.operators import (append_typed, first_source_rows, keys_in_no_lis
 from hourglass.params import ReportParams, ResolvedPeriods
 from hourglass.plans.calendar import fiscal_week_map
 from hourglass.sources.catalog import ProjectSources, live_scan, snapshot_scan
+from hourglass.sources.comparison import FEED_KEY, WRITTEN
 from hourglass.sources.staging import Staging
 
 LEDGER_SCHEMA = T.StructType([
@@ -87,7 +88,7 @@ class Branch:
 #: columns of the L2 activities that any arm of the report reads
 ACTIVITY_COLS = ["Snapshot_Date", "Activity_Key", "Activity_ID", "Activity_Name", "Activity_Type", "BR_ProjectNumber", "BR_PIEPCCC",
                  "BR_CM_ACTIVITY_LEVEL_Val", "BR_NR_EXECUTION_WINDOWS_Val", "BR_NR_LOE_WORK_Val", "BR_L2WorkPackage",
-                 "BR_Percent_Complete", "ApprBL_Budgeted_Labor_Units", "RecBL_Budgeted_Labor_Units", "OrigBL_Budgeted_Labor_Units", "Finish"]
+                 "BR_Percent_Complete", "ApprBL_Budgeted_Labor_Units", "RecBL_Budgeted_Labor_Units", "OrigBL_Budgeted_Labor_Units", "Finish", "Activity_ID" + WRITTEN, "Activity_Name" + WRITTEN]
 #: what an activity row feeds, as bits of `arms`: the arms of this period (finish dates and
 #: actual hours take its rows as they are), the scoped arms, the scoped arms without the
 #: TT_WBS condition, the package map, the weekly burden
@@ -382,6 +383,14 @@ def l3_rollup(br: Branch, package_map: DataFrame | None = None) -> DataFrame:
 
 # ------------------------------------------------------------------------ actuals cascade
 
+def _feed_key(feed: DataFrame, wbs: str) -> tuple[Column, list[str]]:
+    """`Project + wbs` of a feed's rows, and the columns it is made of: the normalised key that
+    stands beside them, where there is one."""
+    if FEED_KEY in feed.columns:
+        return F.col(FEED_KEY), ["Project", wbs, FEED_KEY]
+    return concat_null(F.col("Project"), F.col(wbs)), ["Project", wbs]
+
+
 def actuals_cascade(br: Branch) -> list[DataFrame]:
     """Actual hours from four feeds, with the report's priorities.
 
@@ -414,8 +423,8 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
     ah = s.actual_hour.where(first_char_in("wbs", p.piepccc))
     a2 = aa.select(F.col("Activity_ID").alias("a_id"), F.col("Activity_Name").alias("a_name"),
                    F.col("BR_PIEPCCC").alias("a_pie"))
-    j2 = (pre_aggregated_join(ah, a2, F.col("a_id") == concat_null(F.col("Project"), F.col("wbs")),
-                            ["Project", "wbs", "date00"], ["Hours"])
+    key, made_of = _feed_key(ah, "wbs")
+    j2 = (pre_aggregated_join(ah, a2, F.col("a_id") == key, [*made_of, "date00"], ["Hours"])
           .join(pm, F.col("pm_project") == F.col("Project"))
           .join(cal.where(F.col("tpp_date") <= F.lit(per.period)), F.col("tpp_date") == F.col("date00")))
     rows2 = j2.select(F.lit(2).alias("source"), F.col("Project").alias("ProjectNumber"), F.col("a_id").alias("Activity_ID"),
@@ -450,12 +459,13 @@ def actuals_cascade(br: Branch) -> list[DataFrame]:
 
     # 4. timesheets
     onc = s.timesheet.where(first_char_in("WBS", p.piepccc) & F.col("Approval_Status").isin(*TIMESHEET_STATUSES))
-    j4 = (pre_aggregated_join(onc, a34, (F.col("a_id") == concat_null(F.col("Project"), F.col("WBS")))
-                            & (F.col("a_project") == F.col("Project")), ["Project", "WBS", "TS_Date"], ["Hrs"], how="left")
+    key, made_of = _feed_key(onc, "WBS")
+    j4 = (pre_aggregated_join(onc, a34, (F.col("a_id") == key) & (F.col("a_project") == F.col("Project")),
+                            [*made_of, "TS_Date"], ["Hrs"], how="left")
           .join(cal.where(F.col("tpp_week") <= F.lit(per.period_week)), F.col("tpp_date") == F.col("TS_Date"))
           .join(pm34, F.col("pm_project") == F.col("Project")))
-    g4 = j4.groupBy("Project", "WBS", "a_name", "tpp_week", "a_pie").agg(sum_of(j4, "Hrs").alias("h"))
-    src4 = g4.select(F.col("Project").alias("ProjectNumber"), concat_null(F.col("Project"), F.col("WBS")).alias("Activity_ID"),
+    g4 = j4.groupBy("Project", key.alias("a_id"), "a_name", "tpp_week", "a_pie").agg(sum_of(j4, "Hrs").alias("h"))
+    src4 = g4.select(F.col("Project").alias("ProjectNumber"), F.col("a_id").alias("Activity_ID"),
                      isnull("a_name", "Not Available").alias("Activity_Name"), F.col("a_pie").alias("PIEPCCC"),
                      F.col("tpp_week").alias("WorkWeek"), F.col("h").alias("Hours"), F.lit(0).alias("HoursLTD"),
                      F.lit(ACTUAL).alias("Type"))

@@ -19,6 +19,7 @@ from hourglass.operators import template_row, union_distinct, update_from_join
 from hourglass.params import ProfileParams
 from hourglass.plans.calendar import (axis_bounds, clamp_year_month, dense_month_spine, spine_bounds, year_axis)
 from hourglass.sources.catalog import ProjectSources, window_scan
+from hourglass.sources.comparison import compared_params, compared_sources
 from hourglass.sources.staging import Staging
 
 ATTRS = ["ResourceCode", "BR_CM_RESOURCE_GROUP_Val", "Resource_ID", "Resource_Name", "BR_ProgramWBS", "BR_UnitWBS",
@@ -89,6 +90,7 @@ def current_week(snapshot_period: DataFrame):
 def resource_profile_parts(src: ProjectSources, pp: ProfileParams, staging: Staging | None = None) -> ProfileParts:
     """All steps of the profile. `#BB` is stored in `staging`, which the caller closes after the
     parts have run; without one it lasts until the application ends."""
+    src, pp = compared_sources(src, pp.comparison), compared_params(pp)
     if pp.cw is None:
         pp = replace(pp, cw=current_week(src.snapshot_period))
     if pp.cw is None:

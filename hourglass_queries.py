@@ -9,7 +9,7 @@ mode '0' and as-of year 2000, graph 199601..200112.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import replace
+from dataclasses import fields, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +29,8 @@ from hourglass.plans.ledger import (LEDGER_SCHEMA, actuals_cascade, baseline_sel
 from hourglass.plans.matrix import snapshot_month_matrix
 from hourglass.plans.profile import resource_profile, resource_profile_parts
 from hourglass.sources import standins
-from hourglass.sources.catalog import snapshot_scan
+from hourglass.sources.catalog import ProjectSources, snapshot_scan
+from hourglass.sources.comparison import CASE_BLIND, KEYS, SPELLINGS
 from hourglass.sources.staging import Staging
 
 D = "decimal(19,6)"
@@ -477,6 +478,53 @@ def q_asof_on_fact(spark, d):
     return asof_max_by_ranges(li, "l_shipdate", _t(spark, d, "orders"), "o_orderdate", "o_totalprice", "dearest")
 
 
+# ------------------------------------------------- comparison without case and trailing blanks
+
+#: compared columns that stand inside a computed key, where blanks count
+INSIDE = ("Project",)
+CASE_BLIND_EV = replace(EV_PARAMS, projects=tuple(p.lower() + " " for p in PROJECTS), piepccc=PIEPCCC, baseline_type="APPROVED ",
+                        group="vendor", comparison=CASE_BLIND)
+CASE_BLIND_PROFILE = replace(LISTED_PROFILE, projects=tuple(p.title() for p in PROJECTS), resources=("r1", "r2 ", "R8", "r12", "R20"),
+                             comparison=CASE_BLIND)
+
+
+def _misspelled(df: DataFrame) -> DataFrame:
+    """A source view in which a third of the rows have their compared texts in lower case, and
+    a third with blanks behind them."""
+    draw = F.pmod(F.xxhash64(*df.columns), F.lit(3))
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and (f.name in KEYS or f.name in SPELLINGS)]
+
+    def written(c: str):
+        blanks = F.col(c) if c in INSIDE else F.concat(F.col(c), F.lit("  "))
+        return F.when(draw == 0, F.lower(c)).when(draw == 1, blanks).otherwise(F.col(c)).alias(c)
+
+    return df.select(*[written(c) if c in texts else F.col(c) for c in df.columns])
+
+
+def _misspelled_sources(spark, d) -> ProjectSources:
+    src = standins.build(spark, d)
+    views = {f.name: getattr(src, f.name) for f in fields(src)}
+    return replace(src, **{n: _misspelled(df) for n, df in views.items() if df is not None})
+
+
+def _keyed(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(*[F.upper(F.rtrim(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def q_ledger_case_blind(spark, d):
+    out = ledger_only(_misspelled_sources(spark, d), replace(CASE_BLIND_EV, projects=None, piepccc=None))
+    return _keyed(out, "ProjectNumber", "Activity_ID", "Activity_Name", "PIEPCCC", "WorkWeek")
+
+
+def q_ev_project_report_case_blind(spark, d):
+    out = _report_measures(ev_report(_misspelled_sources(spark, d), CASE_BLIND_EV))
+    return _keyed(out, "ProjectNumber", "ProjectTitleCombined", "Activity_ID", "Activity_Name", "PIEPCCC")
+
+
+def q_resource_hours_by_month_case_blind(spark, d):
+    return _cast(resource_profile_parts(_misspelled_sources(spark, d), CASE_BLIND_PROFILE).bb, ["Hours"], D38)
+
+
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
