@@ -31,13 +31,12 @@ STEP = 256
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
-    """vec_id and `v` (floor(SCALE * x)), one row per id; without rows that take no part."""
+    """vec_id and `v` (floor(SCALE * x)) of every row that takes part."""
     x = F.transform("embedding", lambda e: e.cast("double"))
     whole = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
     bad = F.exists("x", lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
-    whole = whole.filter(~bad).select("vec_id", F.transform("x", lambda e: F.floor(e * SCALE).cast("long")).alias("v"))
-    return whole.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return whole.filter(~bad).select("vec_id", F.transform("x", lambda e: F.floor(e * SCALE).cast("long")).alias("v"))
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -77,15 +76,17 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def search(q_id: int, q: np.ndarray, q_far: np.ndarray, ids: np.ndarray, vectors: np.ndarray, far: np.ndarray,
-           square: np.ndarray, k: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray, int]:
+           square: np.ndarray, k: int, step: int = STEP, own_row: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """Ids and scores of the best k of one block, ties to smaller ids, and how many
-    candidates were scored."""
+    candidates were scored. `own_row` marks the query's own row among them; where ids are
+    unique, its id does."""
+    mine = ids == q_id if own_row is None else own_row
     below = np.abs(far - q_far).max(1) if far.shape[1] else np.zeros(len(ids))
     own = float((q.astype(float) ** 2).sum())
     scale = own + square + 1.0
     bound = (own + square - np.maximum(below - 1e-9 * np.sqrt(scale), 0.0) ** 2) / 2 + 1e-9 * scale
-    bound[ids == q_id] = -np.inf
-    order = np.argsort(-bound, kind="stable")[: int((ids != q_id).sum())]
+    bound[mine] = -np.inf
+    order = np.argsort(-bound, kind="stable")[: int((~mine).sum())]
     best_id, best, done = np.empty(0, np.int64), np.empty(0, np.int64), 0
     while done < len(order) and (len(best) < k or bound[order[done]] >= best[-1]):
         part = order[done : done + step]
@@ -98,17 +99,17 @@ def search(q_id: int, q: np.ndarray, q_far: np.ndarray, ids: np.ndarray, vectors
 
 def _block(k: int):
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, int, int, int]] = []
         if queries.num_rows and candidates.num_rows:
-            ids = candidates.column("vec_id").to_numpy()
+            ids, numbers = candidates.column("vec_id").to_numpy(), candidates.column("row").to_numpy()
             vectors = np.array(candidates.column("v").to_pylist(), np.int64).reshape(len(ids), -1)
             far = np.array([np.frombuffer(x) for x in candidates.column("far").to_pylist()]).reshape(len(ids), -1)
             square = (vectors.astype(float) ** 2).sum(1)
-            columns = [queries.column(c).to_pylist() for c in ("vec_id", "v", "far")]
-            for q_id, q, q_far in zip(*columns, strict=True):
-                found, scores, _ = search(q_id, np.array(q, np.int64), np.frombuffer(q_far), ids, vectors, far, square, k)
-                out += [(q_id, i, s) for i, s in zip(found.tolist(), scores.tolist(), strict=True)]
-        return pa.table({c: pa.array([r[n] for r in out], pa.int64()) for n, c in enumerate(("query_id", "vec_id", "score"))})
+            columns = [queries.column(c).to_pylist() for c in ("row", "vec_id", "v", "far")]
+            for row, q_id, q, q_far in zip(*columns, strict=True):
+                found, scores, _ = search(q_id, np.array(q, np.int64), np.frombuffer(q_far), ids, vectors, far, square, k, own_row=numbers == row)
+                out += [(row, q_id, i, s) for i, s in zip(found.tolist(), scores.tolist(), strict=True)]
+        return pa.table({c: pa.array([r[n] for r in out], pa.int64()) for n, c in enumerate(("row", "query_id", "vec_id", "score"))})
 
     return run
 
@@ -119,20 +120,22 @@ def top_k(vectors: DataFrame, k: int = K, step: int = QUERY_STEP, pivots: int =
     `step`, the k others with the highest integer inner products, ties to smaller ids.
 
     Vectors null or with null or non-finite components, and rows with a null id, take no
-    part. Repeated rows of an id count once, as the smallest vector among them. Vectors of
-    different lengths never meet; of empty vectors all products are 0. An empty table gives
-    no rows. Other columns are not read.
+    part. Rows are told apart by their place, not by their id: each of the rows that share an id
+    is a candidate, for the others too, and a query with its own k rows. Vectors of different
+    lengths never meet; of empty vectors all products are 0. An empty table gives no rows.
+    Other columns are not read.
 
     Each block of candidates meets each block of queries of the same length in one task,
     whose memory holds one of either; of a pair of blocks only k rows per query are kept.
     """
     spark = vectors.sparkSession
-    base = stored(quantized(vectors).withColumn("dim", F.size("v")), "topk-vectors")
+    # numbers of rows hold once they are stored; no result depends on which row has which
+    base = stored(quantized(vectors).select("*", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("row")), "topk-vectors")
     per_dim = {r["dim"]: (r["n"], r["q"]) for r in base.groupBy("dim").agg(
         F.count("*").alias("n"), F.count_if(F.col("vec_id") % step == 0).alias("q")).collect()}  # one row per vector length
     chosen = {}
     for dim in per_dim:
-        rows = base.filter(F.col("dim") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).select("v").collect()
+        rows = base.filter(F.col("dim") == dim).orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(PIVOT_SAMPLE).select("v").collect()
         chosen[dim] = choose_pivots(np.array([r["v"] for r in rows], float).reshape(len(rows), dim), pivots)
     shared = spark.sparkContext.broadcast(chosen)
     blocks = F.lit(1)
@@ -140,15 +143,15 @@ def top_k(vectors: DataFrame, k: int = K, step: int = QUERY_STEP, pivots: int =
     for dim, (n, q) in per_dim.items():
         blocks = F.when(F.col("dim") == dim, -(-n // block)).otherwise(blocks)
         query_blocks = F.when(F.col("dim") == dim, max(1, -(-q // query_block))).otherwise(query_blocks)
-    table = base.mapInArrow(_distances(shared), "vec_id long, v array<long>, dim int, far binary")
+    table = base.mapInArrow(_distances(shared), "vec_id long, v array<long>, dim int, row long, far binary")
     table = stored(table.select("*", blocks.cast("int").alias("blocks"), query_blocks.cast("int").alias("query_blocks")), "topk-table")
-    place = F.xxhash64("vec_id")
+    place = F.xxhash64("row")
     candidates = table.withColumn("c", F.pmod(place, F.col("blocks")).cast("int")).withColumn(
         "q", F.explode_outer(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
     queries = table.filter(F.col("vec_id") % step == 0).withColumn("q", F.pmod(place, F.col("query_blocks")).cast("int")).withColumn(
         "c", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["dim", "c", "q", "vec_id", "v", "far"]
+    columns = ["dim", "c", "q", "row", "vec_id", "v", "far"]
     found = queries.select(columns).groupBy("dim", "c", "q").cogroup(candidates.select(columns).groupBy("dim", "c", "q")).applyInArrow(
-        _block(k), "query_id long, vec_id long, score long")
-    place_in = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        _block(k), "row long, query_id long, vec_id long, score long")
+    place_in = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place_in.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -154,17 +154,15 @@ def test_the_broadcast_is_bounded_by_bytes(spark):
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(int(i), [float(x) for x in rng.normal(size=8)]) for i in range(0, 900, 3)]
-    rows += [(3, rows[1][1]), (5, None), (7, [1.0, None]), (400, [float("nan")] * 8), (11, [float("inf")] * 8), (None, [1.0] * 8),
+    rows += [(3, rows[1][1]), (3, rows[7][1]), (300, rows[4][1]), (300, rows[4][1]), (5, None), (7, [1.0, None]), (400, [float("nan")] * 8), (11, [float("inf")] * 8), (None, [1.0] * 8),
              (13, []), (500, []), (17, [1.0, 2.0]), (1000, [0.5, 0.5]), (1001, rows[0][1]), (1002, rows[0][1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, rank int")
-    whole = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            whole[i] = min(whole.get(i, (1e9,)), tuple(int(np.floor(1024 * x)) for x in v))
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q, a in whole.items():
+    for at, (q, a) in enumerate(whole):
         if q % 100 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole.items() if i != q and len(a) == len(b))
+            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for k, (i, b) in enumerate(whole) if k != at and len(a) == len(b))
             want += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:10], 1)]
     for sizes in ({}, {"block": 50, "query_block": 2, "pivots": 3}):
         got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, **sizes).collect()]
