@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -159,18 +159,58 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
                       "source", "copies", "text_hash")
 
 
+#: parts that rows equal in id, text and source are numbered in
+PARTS = 4_096
+SAME = ["doc_id", "_hash", "source"]
+
+
+def _meet(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """`left` with the rows of `right` that are equal in `columns`, nulls included."""
+    other = right.select(*[F.col(c).alias(f"_r{c}") if c in columns else F.col(c) for c in right.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in columns]
+    return left.join(other, on).drop(*[f"_r{c}" for c in columns])
+
+
+def _places(rows: DataFrame) -> DataFrame:
+    """Adds `_place`: rows equal in SAME numbered from 1, in the order of their `_row_hash`.
+
+    Counts run ahead of the numbers: by part of the hashes, within a part by hash and stored
+    partition; only rows of one hash and partition, which are alike, are numbered together.
+    """
+    parts = rows.withColumn("_part", F.pmod("_row_hash", F.lit(PARTS)))
+    runs = parts.groupBy(*SAME, "_part", "_row_hash", "_stored_in").agg(F.count("*").alias("_n"))
+
+    def before(count: str, group: list[str], order: list[str]) -> Column:
+        ahead = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(count).over(ahead), F.lit(0))
+
+    by_part = runs.groupBy(*SAME, "_part").agg(F.sum("_n").alias("_m"))
+    by_part = by_part.select(*SAME, "_part", before("_m", SAME, ["_part"]).alias("_before_part"))
+    in_part = runs.withColumn("_before_run", before("_n", [*SAME, "_part"], ["_row_hash", "_stored_in"]))
+    starts = _meet(in_part, by_part, [*SAME, "_part"]).select(
+        *SAME, "_row_hash", "_stored_in", (F.col("_before_part") + F.col("_before_run")).alias("_start"))
+    run = [*SAME, "_row_hash", "_stored_in"]
+    own = F.row_number().over(Window.partitionBy(*run).orderBy("_row_hash"))
+    return _meet(rows.withColumn("_own", own), starts, run).withColumn("_place", F.col("_start") + F.col("_own")).drop("_own", "_start")
+
+
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """The mixed corpus: every document row as often as the mix takes it, all columns."""
-    taken = mix(docs, **parameters).groupBy("doc_id", "text_hash", "source").agg(F.sum("copies").alias("_all")).filter("_all > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("source").alias("_source"), "_all")
+    """The mixed corpus: every document row as often as the mix takes it, all columns.
+
+    Rows equal in id, text and source share the copies taken of them as evenly as can be, the
+    first in the order of a hash of their columns one more; nulls there are values like any other.
+    An empty table gives no rows.
+    """
+    taken = mix(docs, **parameters).groupBy("doc_id", F.col("text_hash").alias("_hash"), "source").agg(
+        F.sum("copies").alias("_all"), F.count("*").alias("_rows")).filter("_all > 0")
+    taken = stored(taken, "mix-taken")
+    hashable = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
     # rows travel as one struct, so that no column of theirs can clash with one made here
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                         F.xxhash64("text").alias("_hash"), F.struct(*docs.columns).alias("row"))
-    same = Window.partitionBy("doc_id", "_hash", "source")
-    hashed = hashed.withColumn("_rows", F.count("*").over(same)).withColumn(
-        "_place", F.row_number().over(same.orderBy("doc_id")))
-    joined = hashed.join(taken, hashed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
-                         & hashed["source"].eqNullSafe(F.col("_source")))
-    own = F.call_function("div", F.col("_all"), F.col("_rows")) + (F.col("_place") <= F.pmod("_all", "_rows")).cast("int")
-    repeated = joined.withColumn("_own", own.cast("int")).filter("_own > 0")
-    return repeated.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.col("_own")))).select("row.*")
+                         F.xxhash64("text").alias("_hash"), F.xxhash64(*hashable).alias("_row_hash"), F.struct(*docs.columns).alias("row"))
+    alone = _meet(hashed, taken.filter("_rows = 1"), SAME).select("row", F.col("_all").alias("_own"))
+    shared = _meet(hashed, taken.filter("_rows > 1"), SAME).withColumn("_stored_in", F.spark_partition_id())
+    shared = _places(stored(shared, "mix-shared"))
+    own = F.call_function("div", F.col("_all"), F.col("_rows")) + (F.col("_place") <= F.pmod("_all", "_rows")).cast("long")
+    out = alone.unionByName(shared.select("row", own.alias("_own"))).filter("_own > 0")
+    return out.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_own")))).select("row.*")

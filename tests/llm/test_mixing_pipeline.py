@@ -95,6 +95,28 @@ def test_mix_on_odd_rows(documents, no_documents):
         (Counter({r["doc_id"]: r["copies"]}) for r in out), Counter()).items() if n})
 
 
+def test_equal_rows_share_their_copies(spark):
+    """Rows equal in id, text and source, some alike in all columns: each comes out as often as
+    any other or once more, the same ones however the table is dealt over partitions."""
+    import collections
+
+    rows = [(None, None, None, k % 7) for k in range(50)] + [(1, "a b c", "s", k) for k in range(40)] + [(2, "a b c", "s", 0), (3, "x y", "t", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _own int")
+    taken = collections.Counter()
+    for r in mixing.mix(docs).collect():
+        taken[r["doc_id"], r["source"]] += r["copies"]
+    seen = []
+    for parts in (1, 7):
+        mixed = mixing.mixed_documents(docs.repartition(parts))
+        assert mixed.columns == docs.columns
+        seen.append(collections.Counter(tuple(r) for r in mixed.collect()))
+    assert seen[0] == seen[1] and set(seen[0]) <= set(rows)
+    came = collections.Counter((r[0], r[2]) for r in seen[0].elements())
+    assert came == +taken
+    each = [seen[0][1, "a b c", "s", k] for k in range(40)]
+    assert max(each) - min(each) <= 1 and sum(each) == taken[1, "s"]
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
     from test_pairs import brute_components, brute_hits
