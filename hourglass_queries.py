@@ -411,6 +411,15 @@ def q_snapshot_month_matrix_by_month(spark, d):
     return snapshot_month_matrix(standins.build(spark, d).wbs_monthly, project="73113", match="month")
 
 
+def q_snapshot_month_matrix_gaps(spark, d):
+    """Snapshots on month ends, with gaps (every July, the whole of 1998): the steps drift to the
+    28th, and months without a snapshot stay empty."""
+    taken = F.to_date("o_orderdate")
+    ends = _t(spark, d, "orders").where((F.month(taken) != 7) & (F.year(taken) != 1998)).select(
+        F.last_day(taken).cast("timestamp_ntz").alias("SNAPSHOT_DATE"))
+    return snapshot_month_matrix(ends, project="73113", match="month")
+
+
 # ------------------------------------------------------------- reports with parameters set
 # The fixed values below are repeated in the SQL of the oracles.
 PROJECTS = ("ECONOMY", "MEDIUM", "PROMO", "LARGE", "NO SUCH PROJECT")
