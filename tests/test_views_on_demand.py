@@ -46,3 +46,21 @@ def test_views_asked_for_later_join_those_that_are_there(spark, empty_folder):
         assert got.schema.names == want.schema.names and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     with pytest.raises(ValueError, match="no source views"):
         standins.build(spark, SF, views=["time_phase"])
+
+
+def test_a_partitioned_view_is_written_without_sorting_it(spark, empty_folder, monkeypatch):
+    """Tasks keep a file open per snapshot; the caller's session keeps its own settings."""
+    plans, written = [], standins._writing_session
+
+    def watched(session):
+        own = written(session)
+        plans.append(own)
+        return own
+
+    monkeypatch.setattr(standins, "_writing_session", watched)
+    before = dict(spark.conf.getAll.items())
+    standins.build(spark, SF, views=["time_phase_weekly"])
+    assert dict(spark.conf.getAll.items()) == before
+    own = plans[0]
+    assert int(own.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == standins.OPEN_FILES
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
