@@ -64,3 +64,20 @@ def test_a_partitioned_view_is_written_without_sorting_it(spark, empty_folder, m
     own = plans[0]
     assert int(own.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == standins.OPEN_FILES
     assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_views_of_one_part_key_share_one_exchange_of_the_lines(spark):
+    """Joins to the parts and distinct rows by part find the staged lines dealt by part."""
+    staged = []
+    derived = standins.derive(spark, SF, staged, {"time_phase_baseline_weekly", "timesheet", "activity_l2_weekly"})
+    try:
+        staged[0].count()  # the lines
+        for df in (derived.timesheet, derived.time_phase_baseline_weekly):
+            df.collect()
+            plan = df.hint("merge")._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(l_partkey" not in plan.split("InMemoryRelation")[0]
+        lines = staged[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" in lines and "hashpartitioning(l_partkey" in lines
+    finally:
+        for df in staged:
+            df.unpersist()
