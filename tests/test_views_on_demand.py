@@ -81,3 +81,15 @@ def test_views_of_one_part_key_share_one_exchange_of_the_lines(spark):
     finally:
         for df in staged:
             df.unpersist()
+
+
+def test_summed_feeds_are_dealt_over_all_shuffle_partitions(spark):
+    """The joins of the feeds to the activities, and the sums after them, are not merged into a few large tasks."""
+    from hourglass.operators import pre_aggregated_join
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fact = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 3.0), ("b", 2, 4.0), (None, 2, 5.0)], "k string, d int, h double")
+    dim = spark.createDataFrame([("a", "A"), ("c", "C")], "key string, name string")
+    dealt = pre_aggregated_join(fact, dim.hint("merge"), fact.k == dim.key, ["k", "d"], ["h"], how="left", dealt_by=["k"])
+    assert dealt.rdd.getNumPartitions() == n
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted([("a", 1, 5.0, "a", "A"), ("b", 2, 4.0, None, None), (None, 2, 5.0, None, None)], key=str)
