@@ -93,3 +93,27 @@ def test_summed_feeds_are_dealt_over_all_shuffle_partitions(spark):
     dealt = pre_aggregated_join(fact, dim.hint("merge"), fact.k == dim.key, ["k", "d"], ["h"], how="left", dealt_by=["k"])
     assert dealt.rdd.getNumPartitions() == n
     assert sorted(map(tuple, dealt.collect()), key=str) == sorted([("a", 1, 5.0, "a", "A"), ("b", 2, 4.0, None, None), (None, 2, 5.0, None, None)], key=str)
+
+
+def test_views_are_written_in_the_order_the_lines_are_staged_in(spark):
+    """The lines are sorted by snapshot once; a join to the parts keeps that order and sorts none of them again."""
+    staged = []
+    derived = standins.derive(spark, SF, staged, {"time_phase_weekly", "time_phase_baseline_weekly", "timesheet", "activity_l2_weekly", "activity_l3_weekly"})
+    try:
+        assert {"l_orderkey", "o_orderpriority"}.isdisjoint(staged[0].columns)
+        for view in (derived.time_phase_weekly, derived.time_phase_baseline_weekly, derived.activity_l2_weekly):
+            parts = [[r[0] for r in p] for p in view.select("Snapshot_Date").rdd.glom().collect()]
+            assert any(len(set(p)) > 1 for p in parts) and all(p == sorted(p) for p in parts)
+            assert "Sort [" not in view._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+        plain = standins.derive(spark, SF)
+        for name in ("time_phase_baseline_weekly", "timesheet", "activity_l2_weekly"):
+            got, want = getattr(derived, name), getattr(plain, name)
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    finally:
+        for df in staged:
+            df.unpersist()
+
+
+def test_snapshot_periods_read_the_lines_once(spark):
+    plan = standins.derive(spark, SF).snapshot_period._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
