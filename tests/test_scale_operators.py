@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions.nulls import LITERALS, in_list
 from hourglass.functions.strings import first_char_in
-from hourglass.operators import (asof_max_by_ranges, first_source_rows, keys_in_no_list, null_aware_anti_join, ordinal_by_ranges,
+from hourglass.operators import (asof_max_by_ranges, first_source_rows, join_to_few, keys_in_no_list, null_aware_anti_join, ordinal_by_ranges,
                                  running_total_by_ranges)
 from hourglass.plans.earned import earned_value_rows
 from hourglass.sources.staging import Staging
@@ -111,6 +111,27 @@ def test_first_source_rows(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([("p", 1, 7), ("q", 2, 3), ("r", 3, 1), (None, 1, 9)], key=str)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_rows_that_meet_few_keys_join_as_plainly(spark, how):
+    rows = spark.createDataFrame([(k % 2 or None, k) for k in range(100)] + [(7, 100)], "k int, v int")
+    few = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "key int, name string")
+    for on in (F.col("k").eqNullSafe(F.col("key")), F.col("k") == F.col("key")):
+        plain, got = rows.join(few, on, how), join_to_few(rows, few, on, ["v"], how)
+        assert got.columns == plain.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_a_source_with_one_key_is_not_one_task(spark):
+    """The rows that take the smallest source of their key lie in several partitions, though all have one key."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", 8)
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = own.range(400).selectExpr("'p' AS k", "1 AS s", "id AS a", "id AS h").groupBy("k", "s", "a").agg(F.sum("h").alias("h"))
+    sizes = [len(p) for p in first_source_rows(rows, "k", "s", "h").select("a").rdd.glom().collect()]
+    assert sum(sizes) == 400 and sum(n > 0 for n in sizes) > 3 and max(sizes) < 200
+
+
 def test_long_lists_and_tables_are_semi_joins(spark):
     df = spark.createDataFrame([(str(k),) for k in range(50)] + [(None,)], "x string")
     many = tuple(str(k) for k in range(0, 100_000))
