@@ -127,7 +127,7 @@ def test_a_source_with_one_key_is_not_one_task(spark):
     own.conf.set("spark.sql.shuffle.partitions", 8)
     own.conf.set("spark.sql.adaptive.enabled", "false")
     own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    rows = own.range(400).selectExpr("'p' AS k", "1 AS s", "id AS a", "id AS h").groupBy("k", "s", "a").agg(F.sum("h").alias("h"))
+    rows = own.createDataFrame([("p", 1, n, n) for n in range(400)], "k string, s int, a int, h int").groupBy("k", "s", "a").agg(F.sum("h").alias("h"))
     sizes = [len(p) for p in first_source_rows(rows, "k", "s", "h").select("a").rdd.glom().collect()]
     assert sum(sizes) == 400 and sum(n > 0 for n in sizes) > 3 and max(sizes) < 200
 
