@@ -1,9 +1,11 @@
 """A query derives and stores the source views that it reads, and no others."""
 
+import datetime as dt
 import os
 from dataclasses import fields
 
 import pytest
+from pyspark.sql import functions as F
 
 import hourglass_queries as R
 from hourglass.plans.earned import ARM_VIEWS
@@ -117,3 +119,34 @@ def test_views_are_written_in_the_order_the_lines_are_staged_in(spark):
 def test_snapshot_periods_read_the_lines_once(spark):
     plan = standins.derive(spark, SF).snapshot_period._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 1
+
+
+def _dates(spark, ordered, shipped, to):
+    """Order and ship dates, given in UTC seconds, as columns of the type `to`."""
+    def table(name, seconds):
+        return spark.createDataFrame([(s,) for s in seconds], "s long").select(F.timestamp_seconds("s").cast(to).alias(name))
+
+    return {"orders": table("o_orderdate", ordered), "lineitem": table("l_shipdate", shipped)}
+
+
+@pytest.mark.parametrize("to", ["timestamp_ntz", "date", "timestamp", "string"])
+def test_the_calendar_runs_from_the_first_to_the_last_day(spark, to):
+    """Of local times, the day is taken of the two bounds and not of every row."""
+    day = 86400
+    cal = standins.calendar(_dates(spark, [None, 2 * day - 1, 4 * day], [3 * day, None, 5 * day - 1, -1], to))
+    assert sorted(r.Date for r in cal.select("Date").collect()) == [dt.date(1970, 1, d) for d in (2, 3, 4, 5)]
+    plan = cal._jdf.queryExecution().optimizedPlan().toString()
+    assert ("cast(min(o_orderdate" in plan and "cast(max(l_shipdate" in plan) == (to == "timestamp_ntz")
+    assert standins.calendar(_dates(spark, [None], [day], to)).isEmpty()
+
+
+def test_the_calendar_ends_on_the_last_day_where_clocks_go_back_over_midnight(spark):
+    """Of two instants, the later one can have the earlier day."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    last = int(dt.datetime(2000, 10, 29, 2, 30, 30, tzinfo=dt.timezone.utc).timestamp())
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/St_Johns")
+        cal = standins.calendar(_dates(spark, [last - 86400], [last, last + 600], "timestamp"))
+        assert sorted(r.Date for r in cal.select("Date").collect()) == [dt.date(2000, 10, 28), dt.date(2000, 10, 29)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
