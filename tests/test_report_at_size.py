@@ -117,9 +117,31 @@ def test_activities_are_staged_as_keys_and_daily_views_start_from_the_latest_row
         assert ["Activity_Key", "Snapshot_Date"] in [df.columns for df in staged]
         for view in (derived.activity_l2_weekly, derived.activity_l3_daily, derived.activity_l2_daily):
             assert "SortMergeJoin" not in view._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
-        plan = derived.time_phase_daily._jdf.queryExecution().optimizedPlan().toString().splitlines()
-        join = next(k for k, line in enumerate(plan) if "Join Inner" in line)
-        assert any("weekofyear" in line for line in plan[:join]) and not any("weekofyear" in line for line in plan[join:])
+        plan = derived.time_phase_daily._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+        scan = next(line for line in plan.splitlines() if "InMemoryTableScan" in line)
+        assert "Join" not in plan and "Snapshot_Date" in scan.split("], [")[-1] and " = 2" in scan  # its batches are pruned by the date
+        assert not derived.time_phase_daily.exceptAll(standins.derive(spark, SF).time_phase_daily).count()
     finally:
         for df in staged:
             df.unpersist()
+
+
+def test_choices_per_project_sort_no_aggregate(spark):
+    """The first source and the baseline of a project are read off an aggregate by hash, and its exchange runs once."""
+    from hourglass.operators import first_source_rows
+    from hourglass.plans.ledger import planned_and_budget
+
+    led = spark.createDataFrame([("a", 2, "x", 1.0), ("a", 1, "x", 2.0), ("a", 1, "y", None), ("b", 2, "x", 4.0), (None, 2, "z", 5.0)],
+                                "k string, s int, v string, h double").withColumn("s", F.coalesce("s", F.lit(0))).groupBy("k", "s", "v").agg(F.sum("h").alias("h"))
+    first = first_source_rows(led, "k", "s", "h")
+    assert rows(first) == rows(led.where("NOT (k <=> 'a' AND s = 2)"))
+    params = ReportParams(period_type="Weekly", period=D(2000, 1, 1), baseline_type="Approved")
+    src = standins.build(spark, SF, views=["activity_l2_weekly", "time_phase_baseline_weekly"])
+    planned = planned_and_budget(Branch(src, params, ResolvedPeriods(D(2000, 1, 1), None, None, None, None, None), live=False))[0]
+    for df in (first, planned):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ReusedExchange" in plan
+        for node in plan.split("SortAggregate(")[1:]:
+            assert "struct(" in node.splitlines()[0]  # of the few pairs of project and source, or type
+        assert "REPARTITION_BY_NUM" not in plan.split("BroadcastHashJoin")[0]  # what meets the choices is not shuffled for it
