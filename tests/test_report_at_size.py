@@ -142,6 +142,15 @@ def test_choices_per_project_sort_no_aggregate(spark):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert "ReusedExchange" in plan
-        for node in plan.split("SortAggregate(")[1:]:
-            assert "struct(" in node.splitlines()[0]  # of the few pairs of project and source, or type
-        assert "REPARTITION_BY_NUM" not in plan.split("BroadcastHashJoin")[0]  # what meets the choices is not shuffled for it
+        lines = [line.lstrip(" :+-*()0123456789") for line in plan.splitlines()]
+        partial = [k for k, line in enumerate(lines) if line.startswith("SortAggregate(") and "functions=[partial_m" in line]
+        assert partial
+        for k in partial:  # what is sorted is one row per project and source, or type
+            assert lines[k + 1].startswith("Sort [") and lines[k + 2].startswith("HashAggregate(keys=[")
+            assert lines[k + 2].split("keys=[")[1].split("]")[0].count(",") == 1
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    led = own.createDataFrame([("p", 1, n, n) for n in range(40)], "k string, s int, a int, h int").groupBy("k", "s", "a").agg(F.sum("h").alias("h"))
+    plan = first_source_rows(led, "k", "s", "h")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # the rows are not shuffled to meet the choices
